@@ -1,5 +1,6 @@
 from ledgerlark.functions.scalars import (  # noqa: F401
     asset_key,
+    evaluate_once,
     half_up_ratio,
     parse_report_date,
     parse_locale_number,

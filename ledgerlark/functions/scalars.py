@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values -----------------------------------------------------------
 # The warehouse NUMERIC type.
@@ -114,3 +114,13 @@ def half_up_ratio(numerator: Column, denominator: Column) -> Column:
     return F.call_function(
         "div", numerator * F.lit(2) + denominator, denominator * F.lit(2)
     )
+
+
+def evaluate_once(df: DataFrame, **exprs: Column) -> DataFrame:
+    """Add columns in a way that later filters on them do not repeat the expressions.
+
+    A filter on a projected column is pushed below the projection with the whole expression
+    inlined. A one-element generator is a boundary for that, and stays in generated code.
+    """
+    row = F.struct(*[e.alias(n) for n, e in exprs.items()])
+    return df.select("*", F.inline(F.array(row)))

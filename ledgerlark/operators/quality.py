@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlark.functions import strict_iso_date, tolerant_float
+from ledgerlark.functions import evaluate_once, strict_iso_date, tolerant_float
 from ledgerlark.functions.scalars import WS
 
 # The order in which a batch record is checked.
@@ -33,30 +33,31 @@ def read_records(df: DataFrame, json_col: str = "record") -> DataFrame:
     value is a string; numbers and booleans pass as prices.
     """
     doc = F.try_parse_json(json_col)
-    kind = F.schema_of_variant(doc)
-    items = F.when(kind.startswith("ARRAY"), F.try_variant_get(doc, "$", "array<variant>"))
-    wide = df.withColumn("_items", items).withColumn("n_fields", F.size("_items"))
-
-    def at(i: int) -> Column:
-        return F.try_element_at("_items", F.lit(i + 1))
+    items = F.when(
+        F.schema_of_variant(doc).startswith("ARRAY"), F.try_variant_get(doc, "$", "array<variant>")
+    )
 
-    def text(i: int) -> Column:
-        return F.when(
-            F.schema_of_variant(at(i)) == "STRING", F.try_variant_get(at(i), "$", "string")
+    def field(value: Column) -> Column:
+        return F.struct(
+            F.schema_of_variant(value).alias("kind"),
+            F.try_variant_get(value, "$", "string").alias("text"),
         )
 
-    price = F.when(
-        F.schema_of_variant(at(1)) == "BOOLEAN",
-        F.try_variant_get(at(1), "$", "boolean").cast("int").cast("string"),
-    ).otherwise(F.try_variant_get(at(1), "$", "string"))
-    return wide.select(
-        *df.columns,
-        F.when(F.col("n_fields") >= 0, F.col("n_fields")).alias("n_fields"),
-        text(0).alias("ticker"),
-        price.alias("price"),
-        text(2).alias("market"),
-        text(3).alias("date"),
-    )
+    def text(i: int) -> Column:
+        at = F.try_element_at("_fields", F.lit(i + 1))
+        return F.when(at["kind"] == "STRING", at["text"])
+
+    price = F.try_element_at("_fields", F.lit(2))
+    # A boolean is a number to the loader.
+    number = F.when(price["kind"] == "BOOLEAN", F.when(price["text"] == "true", "1").otherwise("0"))
+    return evaluate_once(
+        df.withColumn("_fields", F.transform(items, field)),
+        n_fields=F.when(F.col("_fields").isNotNull(), F.size("_fields")),
+        ticker=text(0),
+        price=F.coalesce(number, price["text"]),
+        market=text(2),
+        date=text(3),
+    ).drop("_fields")
 
 
 def validate_records(records: DataFrame) -> DataFrame:
@@ -118,14 +119,11 @@ def quarantine(df: DataFrame, parsed: Mapping[str, tuple[str, Column]]) -> DataF
     names the first output whose source has text but whose value is null.
     """
     reasons = [
-        F.when(expr.isNull() & F.col(source).isNotNull(), F.lit(f"bad_{name}"))
-        for name, (source, expr) in parsed.items()
+        F.when(F.col(name).isNull() & F.col(source).isNotNull(), F.lit(f"bad_{name}"))
+        for name, (source, _) in parsed.items()
     ]
-    return df.select(
-        "*",
-        *[expr.alias(name) for name, (_, expr) in parsed.items()],
-        F.coalesce(*reasons).alias("reject_reason"),
-    )
+    typed = evaluate_once(df, **{name: expr for name, (_, expr) in parsed.items()})
+    return typed.withColumn("reject_reason", F.coalesce(*reasons))
 
 
 def split_quarantine(df: DataFrame, on_error: str = "quarantine") -> tuple[DataFrame, DataFrame]:

@@ -20,13 +20,15 @@ def append_fact(
     cluster: Sequence[str] = ("asset_key",),
     mode: str = "append",
 ) -> None:
-    """Add rows to a day-partitioned fact, clustered inside each file.
+    """Add rows to a day-partitioned fact, clustered across and inside its files.
 
-    The rebalance hint lets adaptive execution size the write tasks: small days share a
-    task and a hot day is split over several.
+    Write tasks are ranges of (day, cluster key): small days share a task, a hot day is cut
+    at its cluster keys, and every file holds a narrow key range that scans can skip.
     """
+    context = df.sparkSession.sparkContext
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.hint("rebalance", F.col(partition))
+        df.repartitionByRange(max(width, context.defaultParallelism), partition, *cluster)
         .sortWithinPartitions(partition, *cluster)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

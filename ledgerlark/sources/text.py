@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -72,47 +73,65 @@ def extract_section_rows(
     document is parsed where it was read.
     """
     keep = [c for c in docs.columns if c != text]
-    lines = F.split(F.col(text), "\n")
+    numbered = list(enumerate(titles))
 
-    def rows_of(title: str) -> Column:
-        others = [t for t in titles if t != title]
+    def has(title: str) -> Callable[[Column], Column]:
+        return lambda line: F.contains(line, F.lit(title))
 
-        def ends(line: Column) -> Column:
-            hit = F.lit(False)
-            for other in others:
-                hit = hit | F.contains(line, F.lit(other))
-            return hit & ~F.contains(line, F.lit(title))
+    def has_other(title: str) -> Callable[[Column], Column]:
+        others = [has(t) for t in titles if t != title]
+        return lambda line: reduce(lambda a, h: a | h(line), others, F.lit(False)) & ~has(title)(line)
 
-        starts_at = F.array_position(
-            F.transform("_lines", lambda x: F.contains(x, F.lit(title))), True
-        )
-        tail = F.when(
-            starts_at > 0, F.slice("_lines", starts_at.cast("int") + 1, F.size("_lines"))
-        )
-        ends_at = F.array_position(F.transform(tail, ends), True).cast("int")
-        body = F.when(ends_at > 0, F.slice(tail, 1, ends_at - 1)).otherwise(tail)
+    def row_tokens(lines: Column, title: str) -> Column:
         rows = F.filter(
-            body,
-            lambda x: ~F.contains(x, F.lit(title))
-            & F.element_at(F.split(x, " "), 1).rlike(row_pattern),
-        )
-        tokens = F.transform(
-            rows, lambda x: F.filter(F.split(x, f"{WS}+"), lambda token: token != "")
+            lines,
+            lambda x: ~has(title)(x) & F.substring_index(x, " ", 1).rlike(row_pattern),
         )
+        # A literal split is cheap; the white-space class is compiled once by regexp_replace.
+        single = F.transform(rows, lambda x: F.regexp_replace(x, f"{WS}+", " "))
+        tokens = F.transform(single, lambda x: F.filter(F.split(x, " "), lambda t: t != ""))
         full = F.filter(tokens, lambda t: F.size(t) >= len(headers))
         return F.transform(
             full, lambda t: F.struct(F.lit(title).alias("section"), t.alias("tokens"))
         )
 
-    parts = [F.coalesce(rows_of(t), F.array()) for t in titles]
-    return (
-        docs.select(*keep, lines.alias("_lines"))
-        .select(*keep, F.explode(F.flatten(F.array(*parts))).alias("_row"))
-        .select(
-            *keep,
-            F.col("_row.section").alias("section"),
-            *[F.col("_row.tokens")[i].alias(h) for i, h in enumerate(headers)],
-        )
+    # Documents without any title end here. Then each step is a column of its own, so that
+    # no step is evaluated twice.
+    titled = docs.filter(reduce(lambda a, b: a | b, [has(t)(F.col(text)) for t in titles]))
+    lines = titled.select(*keep, F.split(F.col(text), "\n").alias("_lines"))
+    starts = lines.select(
+        "*",
+        *[
+            F.array_position(F.transform("_lines", has(t)), True).cast("int").alias(f"_start{i}")
+            for i, t in numbered
+        ],
+    )
+    tails = starts.select(
+        "*",
+        *[
+            F.when(
+                F.col(f"_start{i}") > 0,
+                F.slice("_lines", F.col(f"_start{i}") + 1, F.size("_lines")),
+            ).alias(f"_tail{i}")
+            for i, _ in numbered
+        ],
+    )
+    ends = tails.select(
+        "*",
+        *[
+            F.array_position(F.transform(f"_tail{i}", has_other(t)), True).cast("int").alias(f"_end{i}")
+            for i, t in numbered
+        ],
+    )
+    sections = []
+    for i, title in numbered:
+        tail, end = F.col(f"_tail{i}"), F.col(f"_end{i}")
+        body = F.when(end > 0, F.slice(tail, 1, end - 1)).otherwise(tail)
+        sections.append(F.coalesce(row_tokens(body, title), F.array()))
+    return ends.select(*keep, F.explode(F.flatten(F.array(*sections))).alias("_row")).select(
+        *keep,
+        F.col("_row.section").alias("section"),
+        *[F.col("_row.tokens")[i].alias(h) for i, h in enumerate(headers)],
     )
 
 
@@ -131,13 +150,20 @@ def extract_pattern_rows(
     fields = DUAL_FIELDS if fields is None else fields
     pattern = line_pattern(fields)
     keep = [c for c in docs.columns if c != text]
-    body = F.col(text)
-    begin = F.locate(start, body)
-    tail = F.when(begin > 0, F.substring(body, begin, F.length(body)))
-    stop = F.locate(end, tail)
-    span = F.when(stop > 0, F.substring(tail, F.lit(1), stop - 1)).otherwise(tail)
-    rows = F.filter(F.split(span, "\n"), lambda x: x.rlike(pattern))
-    return docs.select(*keep, F.explode(rows).alias("_line")).select(
-        *keep,
-        *[F.regexp_extract("_line", pattern, i + 1).alias(n) for i, n in enumerate(fields)],
+    # Each step is a column of its own, so that no step is evaluated twice.
+    found = docs.select(*keep, text, F.locate(start, F.col(text)).alias("_begin"))
+    tails = found.filter("_begin > 0").select(
+        *keep, F.substring(F.col(text), F.col("_begin"), F.length(text)).alias("_tail")
+    )
+    stops = tails.select("*", F.locate(end, F.col("_tail")).alias("_stop"))
+    span = F.when(F.col("_stop") > 0, F.substring("_tail", F.lit(1), F.col("_stop") - 1))
+    lines = F.split(span.otherwise(F.col("_tail")), "\n")
+    rows = F.filter(lines, lambda x: x.rlike(pattern))
+    # One replacement puts a separator between all groups: the pattern runs once per row.
+    mark = "\u0001"
+    parts = F.split(F.regexp_replace("_line", pattern, mark.join(f"${i + 1}" for i in range(len(fields)))), mark)
+    return (
+        stops.select(*keep, F.explode(rows).alias("_line"))
+        .select(*keep, parts.alias("_parts"))
+        .select(*keep, *[F.col("_parts")[i].alias(n) for i, n in enumerate(fields)])
     )

@@ -29,7 +29,6 @@ def open_landing(spark: SparkSession, paths: IngestPaths, schema: T.StructType =
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
-        .option("columnPruning", False)
         .option("recursiveFileLookup", True)
     )
     if paths.archive:
