@@ -184,7 +184,11 @@ def value_positions(df: DataFrame, price: str = "current_price") -> DataFrame:
 
 
 def portfolio_snapshot(
-    txns: DataFrame, prices: DataFrame, as_of: str, max_age_days: int = 5
+    txns: DataFrame,
+    prices: DataFrame,
+    as_of: str,
+    max_age_days: int = 5,
+    last_open: str | None = None,
 ) -> DataFrame:
     """Every open position at a date with its cost, its as-of price, value and quality flag.
 
@@ -205,6 +209,7 @@ def portfolio_snapshot(
         "price_currency",
     )
     day = F.lit(as_of).cast("date")
+    open_day = None if last_open is None else F.lit(last_open).cast("date")
     valued = value_positions(held.join(quoted, "asset_key", "left"))
     return valued.select(
         day.alias("snapshot_date"),
@@ -219,7 +224,7 @@ def portfolio_snapshot(
         "market_value",
         "unrealized_gain_loss",
         "unrealized_gain_loss_pct",
-        price_quality(F.col("price_date"), day, max_age_days).alias("data_quality"),
+        price_quality(F.col("price_date"), day, max_age_days, open_day).alias("data_quality"),
     )
 
 

@@ -73,6 +73,11 @@ def to_price_fact(
     )
 
 
+def with_lineage(df: DataFrame, mode: str, extracted_at: Column) -> DataFrame:
+    """Stamp rows with the metadata a landed file carries: when and in which mode."""
+    return df.withColumns({"extracted_at": extracted_at.cast("timestamp"), "mode": F.lit(mode)})
+
+
 def fill_currency(fact: DataFrame, dim_asset: DataFrame) -> DataFrame:
     """Fill a missing price currency from the asset's currency."""
     currency = dim_asset.select("asset_key", F.col("currency_code").alias("_currency"))

@@ -172,11 +172,14 @@ def validate_transactions(df: DataFrame) -> DataFrame:
     )
 
 
-def price_quality(price_date: Column, as_of: Column, max_age_days: int = 5) -> Column:
-    """COMPLETE, MISSING_PRICE or STALE_PRICE by the age of the price used."""
+def price_quality(
+    price_date: Column, as_of: Column, max_age_days: int = 5, last_open: Column | None = None
+) -> Column:
+    """COMPLETE, MISSING_PRICE or STALE_PRICE by the age of the price used.
+
+    With ``last_open``, the market's last open day, a price is stale if it is older than
+    that day, however many days ago it was.
+    """
     complete, missing, stale = QUALITY_FLAGS
-    return (
-        F.when(price_date.isNull(), missing)
-        .when(F.datediff(as_of, price_date) > max_age_days, stale)
-        .otherwise(complete)
-    )
+    old = F.datediff(as_of, price_date) > max_age_days if last_open is None else price_date < last_open
+    return F.when(price_date.isNull(), missing).when(old, stale).otherwise(complete)

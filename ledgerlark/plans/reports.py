@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerlark.functions import evaluate_once
 from ledgerlark.operators import bonds, quality
 from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
@@ -114,7 +115,7 @@ def _price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(F.col("l_returnflag") == "N", F.concat_ws("\n", header, old, new)).otherwise(
         F.concat_ws("\r\n", header, new, old, F.lit(""))
     )
-    return model.table(spark, sf_dir, "lineitem").select(*LINE_KEY, body.alias("text"))
+    return evaluate_once(model.table(spark, sf_dir, "lineitem"), text=body).select(*LINE_KEY, "text")
 
 
 @query(f"""SELECT {", ".join(LINE_KEY)}, CAST(l_shipdate AS DATE) AS "timestamp", l_extendedprice AS "open",
@@ -153,8 +154,8 @@ def series_json_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     error = F.lit('{"Error Message": "Invalid API call"}')
     payload = F.when(F.col("l_returnflag") == "N", error).otherwise(series)
-    symbol = F.concat_ws("-", *LINE_KEY).alias("symbol")
-    rows = model.table(spark, sf_dir, "lineitem").select(symbol, payload.alias("payload"))
+    lines = model.table(spark, sf_dir, "lineitem")
+    rows = evaluate_once(lines, symbol=F.concat_ws("-", *LINE_KEY), payload=payload)
     return payloads.latest_from_series_json(rows)
 
 
@@ -260,7 +261,8 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(text.DUAL_END),
         dual,
     )
-    return model.table(spark, sf_dir, "lineitem").select(*LINE_KEY, lines.alias("text"))
+    reports = evaluate_once(model.table(spark, sf_dir, "lineitem"), text=lines)
+    return reports.select(*LINE_KEY, "text")
 
 
 def _typed_bonds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerlark.functions import evaluate_once
 from ledgerlark.schemas import PAYLOAD_PRICES
 
 # Fixed values -----------------------------------------------------------
@@ -44,8 +45,10 @@ def parse_price_payloads(df: DataFrame, text: str = "text", daily: bool = False)
     choice is made on the payload's own lines, so neither form shuffles.
     """
     keep = [c for c in df.columns if c != text]
-    lines = F.filter(F.split(F.col(text), "\r?\n"), lambda x: F.trim(x) != "")
-    body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
+    # Lines are their own column, so that the split is not repeated below.
+    split = F.split(F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")), "\n")
+    lined = df.select(*keep, F.filter(split, lambda x: F.trim(x) != "").alias("_lines"))
+    body = F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PAYLOAD_PRICES.fields)
     if daily:
         # The date is the first field, so ISO dates make the newest line the greatest prefix.
@@ -57,8 +60,8 @@ def parse_price_payloads(df: DataFrame, text: str = "text", daily: bool = False)
                 ),
             )
         )["line"]
-        body = F.when(F.size(body) > 0, F.array(newest))
-    rows = df.select(*keep, F.explode(body).alias("_line"))
+        body = F.when(F.size("_lines") > 1, F.array(newest))
+    rows = lined.select(*keep, F.explode(body).alias("_line"))
     return rows.select(*keep, F.from_csv("_line", schema).alias("_r")).select(*keep, "_r.*")
 
 
@@ -70,14 +73,13 @@ def latest_from_series_json(
     No row comes back for an empty symbol, a body that is not such JSON, or a missing
     section, key or point. A point without a close gives a null price.
     """
-    doc = F.from_json(F.col(payload), _SERIES)
+    named = df.filter(F.coalesce(F.col(symbol), F.lit("")) != "")
+    parsed = evaluate_once(named, _doc=F.from_json(F.col(payload), _SERIES))
     day = F.try_element_at(F.col(f"_doc.`{META_KEY}`"), F.lit(REFRESHED_KEY))
+    dated = evaluate_once(parsed, date=day)
     point = F.try_element_at(F.col(f"_doc.`{SERIES_KEY}`"), F.col("date"))
     return (
-        df.filter(F.coalesce(F.col(symbol), F.lit("")) != "")
-        .withColumn("_doc", doc)
-        .withColumn("date", day)
-        .withColumn("_point", point)
+        evaluate_once(dated, _point=point)
         .filter(F.size("_point") > 0)
         .select(
             F.col(symbol).alias("ticker"),
