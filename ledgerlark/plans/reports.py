@@ -8,6 +8,7 @@ from ledgerlark.functions import evaluate_once
 from ledgerlark.operators import bonds, quality
 from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
+from ledgerlark.session import use_all_cores
 from ledgerlark.sources import landing, pages, payloads, text
 from ledgerlark.sources.text import WS
 
@@ -115,7 +116,8 @@ def _price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(F.col("l_returnflag") == "N", F.concat_ws("\n", header, old, new)).otherwise(
         F.concat_ws("\r\n", header, new, old, F.lit(""))
     )
-    return evaluate_once(model.table(spark, sf_dir, "lineitem"), text=body).select(*LINE_KEY, "text")
+    lines = use_all_cores(model.table(spark, sf_dir, "lineitem"))
+    return evaluate_once(lines, text=body).select(*LINE_KEY, "text")
 
 
 @query(f"""SELECT {", ".join(LINE_KEY)}, CAST(l_shipdate AS DATE) AS "timestamp", l_extendedprice AS "open",
@@ -154,7 +156,7 @@ def series_json_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     error = F.lit('{"Error Message": "Invalid API call"}')
     payload = F.when(F.col("l_returnflag") == "N", error).otherwise(series)
-    lines = model.table(spark, sf_dir, "lineitem")
+    lines = use_all_cores(model.table(spark, sf_dir, "lineitem"))
     rows = evaluate_once(lines, symbol=F.concat_ws("-", *LINE_KEY), payload=payload)
     return payloads.latest_from_series_json(rows)
 
@@ -208,44 +210,43 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     def day(offset: int) -> Column:
         return F.date_format(F.date_add(F.col("l_shipdate").cast("date"), offset), "d-MMM-yy")
 
-    ship, lot, tax = F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_tax") * 100
-    discount, no = F.col("l_discount") * 100, F.col("l_linenumber")
-    ticker = F.concat(F.lit("S"), (F.col("l_suppkey") % 90 + 10).cast("string"), F.lit("E5"))
+    no = F.col("l_linenumber")
     spanish = F.replace(F.replace(day(30), F.lit("-Jan-"), F.lit("-ene-")), F.lit("-Aug-"), F.lit("-ago-"))
-    tail = F.when(no == 6, F.lit(None).cast("string")).otherwise(F.col("l_orderkey").cast("string"))
-    extra = F.when(no == 7, F.lit("extra"))
+    cells = evaluate_once(
+        use_all_cores(model.table(spark, sf_dir, "lineitem")),
+        ticker=F.concat(F.lit("S"), (F.col("l_suppkey") % 90 + 10).cast("string"), F.lit("E5")),
+        issue=day(0),
+        payment=day(30),
+        payment_es=spanish,
+        close=day(1),
+        settle=day(2),
+        amount=number(F.col("l_extendedprice")),
+        lot=number(F.col("l_quantity")),
+        discount=percent(F.col("l_discount") * 100),
+        tax=percent(F.col("l_tax") * 100),
+    )
+    lot_rate, duration = F.concat("lot", F.lit("%")), F.col("l_orderkey").cast("string")
     row = F.concat_ws(
         " ",
-        ticker,
-        day(0),
-        spanish,
+        "ticker",
+        "issue",
+        "payment_es",
         F.lit("30"),
-        number(ship),
-        F.when(no == 5, F.lit("#DIV/0!")).otherwise(percent(discount)),
-        day(1),
-        day(2),
-        number(lot),
-        percent(tax),
-        percent(discount),
-        percent(tax),
-        percent(lot),
-        tail,
-        extra,
+        "amount",
+        F.when(no == 5, F.lit("#DIV/0!")).otherwise(F.col("discount")),
+        "close",
+        "settle",
+        "lot",
+        "tax",
+        "discount",
+        "tax",
+        lot_rate,
+        F.when(no != 6, duration),
+        F.when(no == 7, F.lit("extra")),
     )
     dual = F.concat_ws(
-        " ",
-        ticker,
-        day(0),
-        day(30),
-        F.lit("30"),
-        number(ship),
-        day(1),
-        number(lot),
-        percent(discount),
-        percent(tax),
-        percent(lot),
-        percent(tax),
-        F.col("l_orderkey").cast("string"),
+        " ", "ticker", "issue", "payment", F.lit("30"), "amount", "close", "lot", "discount", "tax",
+        lot_rate, "tax", duration,
     )
     second = F.col("l_returnflag") == "N"
     lines = F.concat_ws(
@@ -261,7 +262,7 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(text.DUAL_END),
         dual,
     )
-    reports = evaluate_once(model.table(spark, sf_dir, "lineitem"), text=lines)
+    reports = evaluate_once(cells, text=lines)
     return reports.select(*LINE_KEY, "text")
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in this package relies on.
 RUNTIME_CONF = {
@@ -25,7 +26,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = "*", partitions: int = 8, folder: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,11 +37,18 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
+    if folder:
+        builder = builder.config(WORK_DIR_CONF, folder)
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerlark-{application}-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
@@ -49,11 +59,19 @@ def work_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {WORK_DIR_CONF} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="ledgerlark-")
-    spark.conf.set(WORK_DIR_CONF, made)
-    return made
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a frame whose input has fewer splits than the cluster has cores.
+
+    For heavy per-row work over a small input. An input of many splits, which is any large
+    one, is left as it is: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -19,18 +19,23 @@ def append_fact(
     partition: str = "snapshot_date",
     cluster: Sequence[str] = ("asset_key",),
     mode: str = "append",
+    observation: Observation | None = None,
 ) -> None:
     """Add rows to a day-partitioned fact, clustered across and inside its files.
 
     Write tasks are ranges of (day, cluster key): small days share a task, a hot day is cut
-    at its cluster keys, and every file holds a narrow key range that scans can skip.
+    at its cluster keys, and every file holds a narrow key range that scans can skip. An
+    ``observation`` gets the number of rows written as ``inserted``; it looks behind the
+    range shuffle, whose sampling reads the rows before it twice.
     """
     context = df.sparkSession.sparkContext
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(width, context.defaultParallelism)
+    laid_out = df.repartitionByRange(tasks, partition, *cluster).sortWithinPartitions(partition, *cluster)
+    if observation is not None:
+        laid_out = laid_out.observe(observation, F.count(F.lit(1)).alias("inserted"))
     (
-        df.repartitionByRange(max(width, context.defaultParallelism), partition, *cluster)
-        .sortWithinPartitions(partition, *cluster)
-        .write.mode(mode)
+        laid_out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -108,7 +113,8 @@ def append_observed(
     """
     target = spark.read.schema(source.schema).parquet(path)
     fresh, seen = append_new(target, source, keys), Observation()
-    append_fact(fresh.observe(seen, F.count(F.lit(1)).alias("inserted")), path, partition, keys)
+    cluster = [k for k in keys if k != partition]
+    append_fact(fresh, path, partition, cluster, observation=seen)
     return {"staged": source.count(), "inserted": seen.get["inserted"]}
 
 
