@@ -36,6 +36,11 @@ def is_bad_line(columns: Sequence[str]) -> Column:
     return F.col(BAD_LINE).isNotNull() & uses_all
 
 
+def file_uri(uri: Column) -> Column:
+    """A file name as Spark reports it: one slash after ``file:``, blanks escaped."""
+    return F.replace(F.regexp_replace(uri, "^file:/+", "file:/"), F.lit(" "), F.lit("%20"))
+
+
 def load_files_atomic(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -62,7 +67,7 @@ def load_files_atomic(
         .select(F.col("_metadata.file_path").alias(FILE), F.col("length").alias("bytes"))
     )
     if expected is not None:
-        wanted = expected.select(F.col("uri").alias(FILE)).distinct()
+        wanted = expected.select(file_uri(F.col("uri")).alias(FILE)).distinct()
         parsed = parsed.join(wanted, FILE, "left_semi")
         listed = wanted.join(listed, FILE, "left")
     return split_files(parsed, listed, [f.name for f in schema.fields])
