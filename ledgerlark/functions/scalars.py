@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -124,3 +125,10 @@ def evaluate_once(df: DataFrame, **exprs: Column) -> DataFrame:
     """
     row = F.struct(*[e.alias(n) for n, e in exprs.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+def join_same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on equal columns where null equals null, so that no row is lost."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(renamed, same).drop(*[f"_right_{c}" for c in on])

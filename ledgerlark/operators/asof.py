@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerlark.functions import join_same
+
 
 def asof_join(
     left: DataFrame,
@@ -56,15 +58,9 @@ def asof_join(
             .drop("_last")
         )
         w = Window.partitionBy(*by, "_b").orderBy("_t", "_side").rowsBetween(*before)
-        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*by, "_b")]
-        answers = (
-            line.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
-            .alias("l")
-            .join(carried.alias("c"), _all(same))
-            .select(
-                *[F.col(f"l.{k}").alias(k) for k in (*by, "_t", "_side")],
-                F.coalesce("l._in", "c._carry").alias("_a"),
-            )
+        inside = line.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
+        answers = join_same(inside, carried, [*by, "_b"]).withColumn(
+            "_a", F.coalesce("_in", "_carry")
         )
 
     answers = answers.filter("_side = 1").select(

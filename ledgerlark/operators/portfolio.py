@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlark.functions import asset_key
+from ledgerlark.functions import asset_key, join_same
 from ledgerlark.operators.prices import latest_per_key
 from ledgerlark.operators.quality import price_quality
 
@@ -72,16 +72,17 @@ def cost_basis(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = PO
 def positions(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSITION) -> DataFrame:
     """Holdings and cost basis from one aggregation; closed positions are left out.
 
-    Negative positions stay. Selling does not change the average.
+    Negative positions stay. Selling does not change the average. Costs in different
+    currencies are never added: such a position has a row per currency. All buffers are
+    numbers, so this is a hash aggregate with partial sums.
     """
     return (
         upto(txns, as_of)
-        .groupBy(*by)
+        .groupBy(*by, F.col("currency_code").alias("cost_basis_currency"))
         .agg(
             F.sum(signed_quantity()).cast(AMOUNT).alias("quantity_held"),
             F.sum(bought_quantity()).cast(AMOUNT).alias("quantity_bought"),
             F.sum(bought_cost()).cast(AMOUNT).alias("purchase_cost"),
-            F.min("currency_code").alias("cost_basis_currency"),
         )
         .filter("quantity_held <> 0")
     )
@@ -143,13 +144,13 @@ def running_total(
             .withColumn("_step", F.coalesce(F.sum("_level_sum").over(earlier), F.lit(0)))
             .drop("_level_sum")
         )
-        offsets = offsets.join(step, [*outer, level]).withColumn(
+        offsets = join_same(offsets, step, [*outer, level]).withColumn(
             "_before", (F.col("_before") + F.col("_step")).cast(AMOUNT)
         ).drop("_step")
     inside = (
         Window.partitionBy(*by, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    stitched = cut.join(offsets, [*by, *levels]).withColumn(
+    stitched = join_same(cut, offsets, [*by, *levels]).withColumn(
         name, (F.col("_before") + F.sum("_value").over(inside)).cast(AMOUNT)
     )
     out = [*df.columns, name]
@@ -189,19 +190,20 @@ def portfolio_snapshot(
     as_of: str,
     max_age_days: int = 5,
     last_open: str | None = None,
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Every open position at a date with its cost, its as-of price, value and quality flag.
 
-    ``prices`` has asset_key, snapshot_date, close_price, price_currency, one row per asset
-    and date. A single date needs no ordered pass: the as-of price is a partial aggregate.
+    ``prices`` has asset_key, snapshot_date, close_price, price_currency; of several rows of
+    an asset and date the greatest by ``tie_break`` counts. A single date needs no ordered
+    pass: the as-of price is one partial aggregate.
     """
     held = positions(txns, as_of)
     quoted = latest_per_key(
-        upto(prices, as_of, "snapshot_date").select(
-            "asset_key", "snapshot_date", "close_price", "price_currency"
-        ),
+        upto(prices, as_of, "snapshot_date"),
         ["asset_key"],
-        ["snapshot_date"],
+        ["snapshot_date", *tie_break],
+        keep=["snapshot_date", "close_price", "price_currency"],
     ).select(
         "asset_key",
         F.col("snapshot_date").alias("price_date"),
@@ -251,7 +253,12 @@ def _runs(changes: DataFrame, by: Sequence[str], date: str, end: str) -> DataFra
 
 
 def portfolio_history(
-    txns: DataFrame, prices: DataFrame, start: str, end: str, max_age_days: int = 5
+    txns: DataFrame,
+    prices: DataFrame,
+    start: str,
+    end: str,
+    max_age_days: int = 5,
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """One row per open position and day of [start, end], valued at the as-of price.
 
@@ -289,9 +296,11 @@ def portfolio_history(
             F.greatest("snapshot_date", first).alias("effective"),
             F.col("snapshot_date").alias("price_date"),
             F.col("close_price").alias("current_price"),
+            *tie_break,
         ),
         ["asset_key", "effective"],
-        ["price_date"],
+        ["price_date", *tie_break],
+        keep=["price_date", "current_price"],
     )
     quoted = _runs(quotes, ["asset_key"], "effective", end)
     valued = value_positions(held.join(quoted, ["asset_key", "snapshot_date"], "left"))

@@ -92,14 +92,20 @@ def fill_currency(fact: DataFrame, dim_asset: DataFrame) -> DataFrame:
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple.
 
+    ``keep`` names the columns wanted besides the keys (default all); others, such as the
+    ordering ones, then do not travel with the row.
+
     Never trusts file order. An aggregate, not a window: each task sends one row per key
     into the shuffle, however many rows a key has.
     """
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys] if keep is None else list(keep)
     rank = [F.col(o) if isinstance(o, str) else o for o in order]
     best = F.max_by(F.struct(*rest), F.struct(*rank)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}") for c in rest])

@@ -153,7 +153,7 @@ def positional_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.daily_prices(spark, sf_dir).select("asset_key", "snapshot_date", "close_price", "volume")
+    return model.daily_prices(spark, sf_dir, "close_price", "volume")
 
 
 @query(f"WITH {model.DAILY} SELECT asset_key, snapshot_date, close_price, volume FROM daily")

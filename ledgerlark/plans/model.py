@@ -97,9 +97,10 @@ ticks AS (
 )"""
 
 
-def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_prices(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Price history, one row per asset and day: the last tick wins."""
-    return latest_per_key(ticks(spark, sf_dir), ["asset_key", "snapshot_date"], TICK_ORDER)
+    keys = ["asset_key", "snapshot_date"]
+    return latest_per_key(ticks(spark, sf_dir), keys, TICK_ORDER, keep or ["close_price"])
 
 
 DAILY = (

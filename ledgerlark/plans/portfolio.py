@@ -41,8 +41,9 @@ snapshot AS (
 
 
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = model.daily_prices(spark, sf_dir).withColumn("price_currency", F.lit("USD"))
-    return portfolio.portfolio_snapshot(model.transactions(spark, sf_dir), prices, AS_OF)
+    prices = model.ticks(spark, sf_dir).withColumn("price_currency", F.lit("USD"))
+    trades = model.transactions(spark, sf_dir)
+    return portfolio.portfolio_snapshot(trades, prices, AS_OF, tie_break=model.TICK_ORDER)
 
 
 @query(f"WITH {SNAPSHOT} SELECT * FROM snapshot")
@@ -79,7 +80,7 @@ SELECT transaction_id, user_id, asset_key, transaction_date,
     ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,9)) AS quantity_held
 FROM signed""")
 def holdings_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = [F.col("transaction_date"), F.floor(F.col("l_orderkey") / 4096)]
+    blocks = [F.col("transaction_date"), F.shiftright("l_orderkey", 12)]
     order = ["transaction_date", *model.TICK_ORDER]
     running = portfolio.running_holdings(model.transactions(spark, sf_dir), order, blocks)
     return running.select("transaction_id", "user_id", "asset_key", "transaction_date", "quantity_held")
@@ -116,9 +117,8 @@ SELECT snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_c
        WHEN snapshot_date - price_date > 5 THEN 'STALE_PRICE' ELSE 'COMPLETE' END AS data_quality
 FROM valued""")
 def portfolio_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portfolio.portfolio_history(
-        model.transactions(spark, sf_dir), model.daily_prices(spark, sf_dir), *HISTORY
-    )
+    trades, prices = model.transactions(spark, sf_dir), model.ticks(spark, sf_dir)
+    return portfolio.portfolio_history(trades, prices, *HISTORY, tie_break=model.TICK_ORDER)
 
 
 @query(f"""WITH {model.DAILY}, {model.TRANSACTIONS}
