@@ -43,6 +43,26 @@ def test_same_instant_counts(spark):
     assert asof.asof_join(l_df, r_df, ["k"], "d", "q", ["v"]).first()["v"] == 5
 
 
+def test_both_currency_routes_agree(spark):
+    rates = spark.createDataFrame(
+        [("ARS", "2024-01-03", "0.001"), ("ARS", "2024-01-06", "0.002"), ("USD", "2024-01-01", "1"), (None, "2024-01-01", "9")],
+        "currency_code string, d string, r string",
+    ).select("currency_code", F.col("d").cast("date").alias("rate_date"), F.col("r").cast("decimal(15,9)").alias("rate_to_usd"))
+    facts = spark.createDataFrame(
+        [(i, c, f"2024-01-0{i}") for i in range(1, 10) for c in ("ARS", "USD", "EUR", None)] + [(99, "ARS", None)],
+        "i int, currency string, d string",
+    ).select("i", "currency", F.col("d").cast("date").alias("day"), F.lit(Decimal("10")).alias("value"))
+
+    def run(limit):
+        out = asof.convert_currency(facts, rates, "day", "currency", "value", max_currencies=limit)
+        return sorted(map(str, out.collect())), {(r["i"], r["currency"]): r["total_value_usd"] for r in out.collect()}
+
+    (dense, values), (general, _) = run(1000), run(1)
+    assert dense == general and len(dense) == facts.count()
+    assert values[2, "ARS"] is None and values[3, "ARS"] == Decimal("0.01") == values[5, "ARS"]
+    assert values[9, "ARS"] == Decimal("0.02") and values[9, "EUR"] is None and values[9, "USD"] == 10
+
+
 def trades(spark, seed=3, n=600):
     rng, rows = random.Random(seed), []
     for i in range(n):
@@ -70,6 +90,15 @@ def test_running_holdings_match_brute_force(spark, hot_rows):
     assert len(got) == len(rows)
 
 
+def test_rows_without_a_date_are_kept(spark):
+    df, rows = trades(spark)
+    undated = df.withColumn("transaction_date", F.when(F.col("seq") % 7 > 0, F.col("transaction_date")))
+    blocks = [F.col("transaction_date"), F.floor(F.col("seq") / 16)]
+    running = portfolio.running_holdings(undated, ["transaction_date", "seq"], blocks, hot_rows=20)
+    direct = portfolio.running_holdings(undated, ["transaction_date", "seq"], blocks)
+    assert sorted(map(str, running.collect())) == sorted(map(str, direct.collect()))
+
+
 def test_last_running_row_is_the_holding(spark):
     df, _ = trades(spark)
     blocks = [F.col("transaction_date"), F.floor(F.col("seq") / 16)]
