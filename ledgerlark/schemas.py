@@ -246,6 +246,9 @@ TABLES = {
     "dim_asset": (DIM_ASSET, [], []),
     "fact_price_history": (PRICE_FACT, ["snapshot_date"], ["asset_key"]),
     "transactions": (TRANSACTIONS, ["transaction_date"], ["user_id", "asset_key"]),
+    "dim_date_v1": (DIM_DATE_V1, [], []),
+    "dim_asset_v1": (DIM_ASSET_V1, [], []),
+    "transactions_v1": (TRANSACTIONS_V1, [], []),
     "fact_portfolio_snapshot": (PORTFOLIO_SNAPSHOT, ["snapshot_date"], ["user_id", "asset_key"]),
     "fact_investment_snapshot": (INVESTMENT_SNAPSHOT_V1, ["snapshot_date"], ["asset_key"]),
     "byma_treasuries_fixed_income": (FIXED_INCOME, [], []),

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlark.operators.quality import validate_transactions
-from ledgerlark.schemas import STAGED_PRICES, TRANSACTIONS
+from ledgerlark.schemas import STAGED_PRICES, TRANSACTIONS, required_columns
+from ledgerlark.session import fresh_path
 
 BAD_LINE = "_bad_line"
 FILE = "source_file"
+# File names that may be broadcast; a hundred thousand paths are some ten megabytes.
+MAX_BROADCAST_FILES = 100_000
 
 
 def scan_prices_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -76,28 +79,37 @@ def load_files_atomic(
 def split_files(
     parsed: DataFrame, listed: DataFrame, columns: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Split parsed rows by file verdict.
+    """Split parsed rows by file verdict. Runs one pass over the rows.
 
-    The verdict is an aggregate over the file, with one partial row per task and file, and
-    comes back as an anti join: a file larger than one task is no obstacle.
+    The verdict is an aggregate over the file, with one partial row per task and file, so a
+    file larger than one task is no obstacle. It is written to the work folder once. Rows
+    are then not shuffled: the few bad file names are broadcast, after a look at how many
+    there are; beyond ``MAX_BROADCAST_FILES`` they are joined by shuffle.
     """
-    counted = parsed.groupBy(FILE).agg(
+    spark = parsed.sparkSession
+    path = fresh_path(spark, "file-verdicts")
+    parsed.groupBy(FILE).agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(is_bad_line(columns)).alias("bad_lines")
-    )
-    bad = counted.filter("bad_lines > 0").select(FILE)
-    rows = parsed.join(bad, FILE, "left_anti").select(*columns, FILE)
+    ).write.parquet(path)
+    verdicts = spark.read.schema(f"{FILE} string, lines bigint, bad_lines bigint").parquet(path)
+
+    bad = verdicts.filter("bad_lines > 0").select(FILE)
+    n_bad = bad.limit(MAX_BROADCAST_FILES + 1).count()
+    rows = parsed
+    if n_bad:
+        rows = parsed.join(F.broadcast(bad) if n_bad <= MAX_BROADCAST_FILES else bad, FILE, "left_anti")
     status = (
         F.when(F.col("bytes").isNull(), "missing")
         .when(F.col("bad_lines") > 0, "rejected")
         .otherwise("loaded")
     )
-    report = listed.join(counted, FILE, "left").select(
+    report = listed.join(verdicts, FILE, "left").select(
         FILE,
         status.alias("status"),
         F.coalesce("lines", F.lit(0)).alias("lines"),
         F.coalesce("bad_lines", F.lit(0)).alias("bad_lines"),
     )
-    return rows, report
+    return rows.select(*columns, FILE), report
 
 
 def scan_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -134,9 +146,8 @@ def load_transactions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     )
     ruled = validate_transactions(parsed)
     missing = F.lit(None).cast("string")
-    for f in TRANSACTIONS.fields:
-        if not f.nullable:
-            missing = F.coalesce(missing, F.when(F.col(f.name).isNull(), F.lit(f"missing_{f.name}")))
+    for name in required_columns(TRANSACTIONS):
+        missing = F.coalesce(missing, F.when(F.col(name).isNull(), F.lit(f"missing_{name}")))
     reason = F.when(is_bad_line(TRANSACTIONS.fieldNames()), F.lit("corrupt_line")).otherwise(
         F.coalesce(missing, F.col("error_code"))
     )

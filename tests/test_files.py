@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.schemas import TABLES
+from ledgerlark.functions import split_list
+from ledgerlark.schemas import BATCH_RECORD, TABLES
 from ledgerlark.sinks import tables
 from ledgerlark.sources import files, landing
 from ledgerlark.streaming.ingest import IngestPaths, ingest_new_files
@@ -22,7 +23,9 @@ def land(folder: Path, **contents):
         (folder / f"{name}.csv").write_text(text)
 
 
-def test_only_whole_good_files_load(spark, tmp_path):
+@pytest.mark.parametrize("broadcastable", [100, 1])
+def test_only_whole_good_files_load(spark, tmp_path, monkeypatch, broadcastable):
+    monkeypatch.setattr(files, "MAX_BROADCAST_FILES", broadcastable)
     raw = tmp_path / "raw"
     land(
         raw,
@@ -156,3 +159,25 @@ def test_transactions_export(spark, tmp_path):
     assert good.select("transaction_id").count() == 1
     reasons = {r["transaction_id"]: r["reject_reason"] for r in rejected.collect()}
     assert reasons == {"t2": "invalid_type", "t3": "invalid_quantity", "t4": "corrupt_line", "t5": "missing_asset_key"}
+
+
+def test_raw_csv_and_ndjson_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("US", "N", "A", 1.5), ("US", "N", "B", None)], "country string, exchange string, symbol string, close double")
+    tables.write_raw_csv(df, str(tmp_path / "csv"), ["country", "exchange", "symbol"])
+    assert (tmp_path / "csv" / "country=US" / "exchange=N" / "symbol=A").is_dir()
+    back = spark.read.option("header", True).schema("close double, country string, exchange string, symbol string")
+    assert sorted(r["symbol"] for r in back.csv(str(tmp_path / "csv")).collect()) == ["A", "B"]
+    tables.write_ndjson(df, str(tmp_path / "json"))
+    lines = [json.loads(t) for p in (tmp_path / "json").glob("*.json") for t in p.read_text().splitlines()]
+    assert {"country": "US", "exchange": "N", "symbol": "B", "close": None} in lines
+    assert files.scan_ndjson(spark, str(tmp_path / "json"), df.schema).count() == 2
+
+
+def test_positional_and_inferred_csv(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("AAPL,42.0,US,2025-06-10\n")
+    row = files.scan_positional_csv(spark, str(tmp_path / "p.csv"), BATCH_RECORD).first()
+    assert (row["ticker"], row["price"], str(row["date"])) == ("AAPL", 42.0, "2025-06-10")
+    (tmp_path / "i.csv").write_text("date_key,is_weekend,holiday_markets\n20250101,false,US|AR\n20250102,false,\n")
+    df = files.scan_csv_infer(spark, str(tmp_path / "i.csv"))
+    assert [f.dataType.simpleString() for f in df.schema] == ["int", "boolean", "string"]
+    assert [r[0] for r in df.select(split_list("holiday_markets")).collect()] == [["US", "AR"], []]
