@@ -162,14 +162,15 @@ def test_transactions_export(spark, tmp_path):
 
 
 def test_raw_csv_and_ndjson_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("US", "N", "A", 1.5), ("US", "N", "B", None)], "country string, exchange string, symbol string, close double")
+    rows = [("US", "N", "A", 1, 1.5), ("US", "N", "B", 2, None)]
+    df = spark.createDataFrame(rows, "country string, exchange string, symbol string, volume long, close double")
     tables.write_raw_csv(df, str(tmp_path / "csv"), ["country", "exchange", "symbol"])
     assert (tmp_path / "csv" / "country=US" / "exchange=N" / "symbol=A").is_dir()
-    back = spark.read.option("header", True).schema("close double, country string, exchange string, symbol string")
+    back = spark.read.option("header", True).schema("volume long, close double, country string, exchange string, symbol string")
     assert sorted(r["symbol"] for r in back.csv(str(tmp_path / "csv")).collect()) == ["A", "B"]
     tables.write_ndjson(df, str(tmp_path / "json"))
     lines = [json.loads(t) for p in (tmp_path / "json").glob("*.json") for t in p.read_text().splitlines()]
-    assert {"country": "US", "exchange": "N", "symbol": "B", "close": None} in lines
+    assert {"country": "US", "exchange": "N", "symbol": "B", "volume": 2, "close": None} in lines
     assert files.scan_ndjson(spark, str(tmp_path / "json"), df.schema).count() == 2
 
 
