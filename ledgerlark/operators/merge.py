@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,12 +41,14 @@ def upsert(
     """The target after a MERGE: matched rows take ``update_cols``, others are inserted.
 
     The uniqueness check groups on the merge keys, so the join reuses its shuffle. Rows
-    with a null key never match: null target rows stay, null source rows are inserted.
+    with a null key match nothing: they are kept or inserted as they are, and stay out of
+    the join, where they would all meet in one task.
     """
-    src = unique_source(source, keys, dedupe_by)
-    t, s = target.alias("t"), src.withColumn("_hit", F.lit(True)).alias("s")
+    matchable, loose_target = split_null_keys(target, keys)
+    given, loose_source = split_null_keys(source, keys)
+    src = unique_source(given, keys, dedupe_by)
+    t, s = matchable.withColumn("_old", F.lit(True)).alias("t"), src.withColumn("_hit", F.lit(True)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    t = t.withColumn("_old", F.lit(True)).alias("t")
     hit, old = F.col("s._hit").isNotNull(), F.col("t._old").isNotNull()
     out = []
     for c in target.columns:
@@ -55,7 +58,19 @@ def upsert(
             out.append(F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.when(old, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    return t.join(s, on, "full_outer").select(*out)
+    inserted = loose_source.select(*[c for c in source.columns if c in target.columns])
+    return (
+        t.join(s, on, "full_outer")
+        .select(*out)
+        .unionByName(loose_target)
+        .unionByName(inserted, allowMissingColumns=True)
+    )
+
+
+def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose keys are all set, rows with a null key). Free for non-null columns."""
+    loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return df.filter(~loose), df.filter(loose)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,8 +84,13 @@ def append_new(
     keys: Sequence[str],
     dedupe_by: Sequence[str | Column] | None = None,
 ) -> DataFrame:
-    """The source rows an idempotent append would add: one per key, none already present."""
-    fresh = source.join(target.select(*keys), list(keys), "left_anti")
+    """The source rows an idempotent append would add: one per key, none already present.
+
+    Null keys count as equal here, so that a second run adds nothing either.
+    """
+    have = target.select(*[F.col(k).alias(f"_have_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys])
+    fresh = source.join(have, same, "left_anti")
     if dedupe_by is None:
         return fresh.dropDuplicates(list(keys))
     return latest_per_key(fresh, keys, dedupe_by)

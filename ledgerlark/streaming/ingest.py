@@ -47,7 +47,7 @@ def ingest_new_files(
     The checkpoint remembers the files, so a rerun adds nothing. A batch writes its own
     ``ingest_batch`` partition and overwrites only that, so a batch that is repeated after
     a lost driver or executor leaves no duplicate. A file with a bad line is reported as
-    rejected and none of its rows is kept.
+    rejected and none of its rows is kept; once corrected, deliver it under a new name.
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
 

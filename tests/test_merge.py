@@ -24,6 +24,16 @@ def test_upsert_can_set_null(spark):
     assert rows(merge.upsert(target, source, ["k"], ["v"])) == [(1, "a", None)]
 
 
+def test_null_keys_match_nothing(spark):
+    target = frame(spark, [(1, "a", 1), (None, "old", 0)])
+    source = frame(spark, [(None, "new", 5), (None, "new", 6), (1, "x", 2)])
+    assert rows(merge.upsert(target, source, ["k"], ["v"])) == sorted(
+        [(1, "a", 2), (None, "old", 0), (None, "new", 5), (None, "new", 6)], key=str
+    )
+    narrow = source.drop("ticker")
+    assert rows(merge.upsert(target, narrow.filter("k = 1"), ["k"], ["v"])) == sorted([(1, "a", 2), (None, "old", 0)], key=str)
+
+
 def test_repeated_source_key_fails_or_is_resolved(spark):
     target = frame(spark, [(1, "a", 1)])
     source = frame(spark, [(1, "x", 5), (1, "y", 7)])
@@ -42,6 +52,9 @@ def test_append_new_twice_is_once(spark):
     fresh = merge.append_new(target, source, ["k"], ["v"])
     assert rows(fresh) == [(2, "c", 3)]
     assert merge.append_new(target.union(fresh), source, ["k"], ["v"]).count() == 0
+    loose = frame(spark, [(None, "x", 1)])
+    assert merge.append_new(target, loose, ["k"]).count() == 1
+    assert merge.append_new(target.union(loose), loose, ["k"]).count() == 0
     assert tuple(merge.append_counts(target, source, ["k"]).first()) == (3, 1, 2)
 
 
