@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlark.session import fresh_path
@@ -14,6 +15,19 @@ from ledgerlark.session import fresh_path
 U64 = np.uint64
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers that start in another folder of this machine import the package.
+
+    On a cluster the package is shipped or installed as usual; the path is then of no effect.
+    """
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return spark
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
@@ -54,21 +68,80 @@ def slices(n: int, size: int) -> Iterator[tuple[int, int]]:
         yield start, min(start + size, n)
 
 
-class WordHashes(dict):
-    """64-bit hash of a word; starts anew when ``limit`` words are held."""
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+BLANKS = bytes(32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
 
-    def __init__(self, limit: int = 500_000):
-        super().__init__()
-        self.limit = limit
+class WordHasher:
+    """64-bit hashes of the words of many texts at once.
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+    ``table`` maps bytes: what parts words becomes a blank, capitals become small. With running
+    sums of ``value[byte] * BASE ** place`` a word's hash is a difference of two sums, shifted back to
+    place 0, whatever its length; long input is cut at blanks, so that memory stays bounded.
+    """
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
+    def __init__(self, table: bytes = BLANKS, limit: int = 1 << 21):
+        self.table, self.limit = table, limit
+        self.values = mix(np.arange(1, 257, dtype=U64), 3)
+        self.up = self.down = np.ones(1, U64)
+
+    def powers(self, n: int) -> None:
+        if len(self.up) < n:
+            n = 1 << (n - 1).bit_length()
+            steps = np.full(n, BASE, U64), np.full(n, INVERSE, U64)
+            for step in steps:
+                step[0] = 1
+            self.up, self.down = (np.cumprod(step, dtype=U64) for step in steps)
+
+    def of(self, texts: list[bytes]) -> "Words":
+        data = b" ".join([*texts, b""]).translate(self.table)
+        begins, ends, hashes, at = [], [], [], 0
+        while at < len(data):
+            cut = len(data)
+            if cut - at > self.limit:
+                cut = data.rfind(b" ", at, at + self.limit) + 1 or data.find(b" ", at) + 1
+            b, e, h = self.part(data[at:cut])
+            begins.append(b + at)
+            ends.append(e + at)
+            hashes.append(h)
+            at = cut
+        begin, end, h = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (begins, ends, hashes))
+        offsets = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        return Words(data, begin, end, h.astype(U64), np.searchsorted(begin, offsets))
+
+    def part(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        points = np.frombuffer(data, np.uint8)
+        blank = np.concatenate([[True], points == 32, [True]])
+        edges = np.flatnonzero(blank[1:] != blank[:-1])
+        begin, end = edges[::2], edges[1::2]
+        self.powers(len(points))
+        sums = np.zeros(len(points) + 1, U64)
+        np.cumsum(self.values[points] * self.up[: len(points)], out=sums[1:])
+        return begin, end, mix((sums[end] - sums[begin]) * self.down[begin], 1)
+
+
+class Words:
+    """Words of several texts: places in ``data``, hashes, and ``starts``: text ``i`` has the
+    words from ``starts[i]`` to ``starts[i + 1]``."""
+
+    def __init__(self, data: bytes, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray, starts: np.ndarray):
+        self.data, self.begin, self.end, self.hashes, self.starts = data, begin, end, hashes, starts
+
+    def text(self, i: int) -> np.ndarray:
+        return self.hashes[self.starts[i] : self.starts[i + 1]]
+
+
+def portions(batches: Iterable[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with about ``size`` bytes of text, and their texts (null: empty)."""
+    for batch in batches:
+        texts = [t or b"" for t in binaries(batch, "text")]
+        begin = held = 0
+        for i, t in enumerate(texts):
+            held += len(t)
+            if held >= size or i + 1 == len(texts):
+                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
+                begin, held = i + 1, 0
 
 
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:

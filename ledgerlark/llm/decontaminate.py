@@ -16,37 +16,41 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlark.llm.common import U64, WordHashes, bitmap_of, broadcast, gram_hashes, mix, rows_of, written
+from ledgerlark.llm.common import U64, WordHasher, Words, bitmap_of, broadcast, gram_hashes, mix, portions, rows_of, written
 
 KEPT = string.digits + string.ascii_letters
 # Other ASCII characters part words, capitals become small; bytes of other characters stay.
 TABLE = bytes(ord(chr(b).lower()) if b >= 128 or chr(b) in KEPT else 32 for b in range(128)) + bytes(range(128, 256))
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Runs of ASCII letters and digits, lower-cased, and of all characters beyond ASCII."""
-    return text.translate(TABLE).split() if text else []
-
-
-def fingerprints(words: np.ndarray, window: int, k: int) -> np.ndarray:
+def kept_grams(words: Words, window: int, k: int) -> np.ndarray:
     """Places of the k-grams kept: the rightmost smallest of each window's ``window - k + 1``."""
-    grams = mix(gram_hashes(words, k), 5)
-    width = window - k + 1
-    m = len(grams) - width + 1
+    m = len(words.hashes) - window + 1
     if m <= 0:
         return np.empty(0, np.int64)
+    grams = mix(gram_hashes(words.hashes, k), 5)
     best, place = grams[:m].copy(), np.zeros(m, np.int64)
-    for j in range(1, width):
+    for j in range(1, window - k + 1):
         other = grams[j : j + m]
         lower = other <= best
         best[lower], place[lower] = other[lower], j
-    return np.unique(np.arange(m) + place)
+    kept = np.zeros(len(grams), bool)
+    inside = text_ends(words)[:m] >= np.arange(m) + window  # the window ends in its own text
+    kept[(np.arange(m) + place)[inside]] = True
+    return np.flatnonzero(kept)
+
+
+def text_ends(words: Words) -> np.ndarray:
+    """For each word, where its text ends."""
+    return np.repeat(words.starts[1:], np.diff(words.starts))
 
 
-def around(words: np.ndarray, places: np.ndarray, reach: int, span: int) -> np.ndarray:
-    """Hashes of the words from ``reach`` before each place to ``span`` after it; 0 outside."""
-    padded = np.concatenate([np.zeros(reach, U64), words, np.zeros(span, U64)])
-    return padded[places[:, None] + np.arange(reach + span)]
+def around(words: Words, places: np.ndarray, reach: int, span: int) -> np.ndarray:
+    """Hashes of the words from ``reach`` before each place to ``span`` after it; 0 outside its text."""
+    at = places[:, None] + np.arange(-reach, span)
+    of = np.searchsorted(words.starts, places, side="right") - 1
+    inside = (at >= words.starts[of][:, None]) & (at < words.starts[of + 1][:, None])
+    return np.where(inside, words.hashes[np.clip(at, 0, len(words.hashes) - 1)], U64(0))
 
 
 PRINTS_SQL = "key bigint, size int, at int, print bigint, context array<bigint>"
@@ -55,18 +59,23 @@ PRINTS = pa.schema([
 ])
 
 
-def prints_of(words: np.ndarray, size: int, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, fingerprints, contexts) for windows of ``size`` words; a short window is its own k-gram."""
-    short = size < window
-    k = size if short else k
-    places = np.arange(max(len(words) - size + 1, 0)) if short else fingerprints(words, window, k)
-    grams = gram_hashes(words, k)[places] if len(places) else np.empty(0, U64)
-    return places, mix(grams, size), around(words, places, size - k, size)
+def prints_of(words: Words, size: int, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, fingerprints) for windows of ``size`` words; a short window is its own k-gram."""
+    places = kept_grams(words, size, size if size < window else k)
+    return places, mix(gram_hashes(words.hashes, size if size < window else k)[places], size)
 
 
-def emitted(key: int, size: int, places: np.ndarray, prints: np.ndarray, context: np.ndarray) -> list:
-    n = len(places)
-    return [[key] * n, [size] * n, places, prints.view(np.int64), list(context.view(np.int64))]
+def emitted(keys: np.ndarray, words: Words, size: int, window: int, k: int, places: np.ndarray, prints: np.ndarray):
+    """The fingerprints with their texts' keys, their places there and the words around them."""
+    of = np.searchsorted(words.starts, places, side="right") - 1
+    context = around(words, places, size - (size if size < window else k), size)
+    for a in range(0, len(places), 1000):
+        s = slice(a, a + 1000)
+        n = len(places[s])
+        yield rows_of(PRINTS, [
+            keys[of[s]], np.full(n, size, np.int32), (places[s] - words.starts[of[s]]).astype(np.int32),
+            prints[s].view(np.int64), list(context[s].view(np.int64)),
+        ])
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int, k: int) -> tuple[DataFrame, DataFrame]:
@@ -77,35 +86,32 @@ def hits(docs: DataFrame, items: DataFrame, window: int, k: int) -> tuple[DataFr
     spark = docs.sparkSession
 
     def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                words = hashes.of(words_of(text))
-                if len(words):
-                    size = min(window, len(words))
-                    yield rows_of(PRINTS, emitted(key, size, *prints_of(words, size, window, k)))
+        hasher = WordHasher(TABLE)
+        for part, texts in portions(batches):
+            for key, text in zip(part.column("item").to_pylist(), texts):
+                words = hasher.of([text])
+                size = min(window, len(words.hashes))
+                if size:
+                    yield from emitted(np.array([key]), words, size, window, k, *prints_of(words, size, window, k))
 
     bench = written(items.select("item", "text").mapInArrow(of_items, PRINTS_SQL), "item-prints")
     maybe = broadcast(spark, bitmap_of(bench.select("print").distinct(), "print", bits=24))
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # at most ``window``
 
     def of_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            rows, texts = batch.column("row").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()
-            counts = []
-            for row, text in zip(rows, texts):
-                words = hashes.of(words_of(text))
-                counts.append(len(words))
-                for size in sizes:
-                    places, prints, context = prints_of(words, size, window, k) if len(words) >= size else ((), (), ())
-                    if len(places):
-                        seen = maybe.value.has(prints)
-                        if seen.any():
-                            yield rows_of(PRINTS, emitted(row, size, places[seen], prints[seen], context[seen]))
+        hasher = WordHasher(TABLE)
+        for part, texts in portions(batches):
+            rows, words = part.column("row").to_numpy(), hasher.of(texts)
+            for size in sizes:
+                places, prints = prints_of(words, size, window, k)
+                seen = maybe.value.has(prints)
+                yield from emitted(rows, words, size, window, k, places[seen], prints[seen])
             # A row of size 0 tells the number of words.
             n = len(rows)
-            yield rows_of(PRINTS, [rows, [0] * n, counts, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))])
+            yield rows_of(PRINTS, [
+                rows, np.zeros(n, np.int32), np.diff(words.starts).astype(np.int32), pa.nulls(n, pa.int64()),
+                pa.nulls(n, pa.list_(pa.int64())),
+            ])
 
     prints = written(docs.select("row", "text").mapInArrow(of_docs, PRINTS_SQL), "doc-prints")
     n_words = prints.filter("size = 0").select(F.col("key").alias("row"), F.col("at").alias("n_words"))
