@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark.llm import decontaminate, jaccard, langid, mixing, toxicity
-from ledgerlark.llm.common import is_remainder, written
+from ledgerlark.llm.common import is_remainder, reachable, written
 
 LEAST_LANGUAGE_SCORE = 0.2  # a text of which no language holds a fifth of the n-grams is no prose
 
@@ -55,7 +55,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents, each written as a table and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark.llm import chat, decontaminate, jaccard, langid, lm, mixing, tokens, topk, toxicity, urls
-from ledgerlark.llm.common import is_remainder
+from ledgerlark.llm.common import is_remainder, reachable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,10 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(reachable(spark), sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
-        return fn
+        return run
 
     return register
 
