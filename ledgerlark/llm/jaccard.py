@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlark.llm.common import U64, WordHashes, binaries, bitmap_of, broadcast, gram_hashes, mix, rows_of, written
+from ledgerlark.llm.common import U64, WordHasher, bitmap_of, broadcast, gram_hashes, mix, portions, rows_of, written
 from ledgerlark.llm.components import connected
 
 SKETCH_BITS = 21
@@ -31,9 +31,29 @@ SKETCH_PIECE = 1 << 15
 ORDERS = 3
 
 
-def shingles(words: np.ndarray, n: int) -> np.ndarray:
-    """Distinct hashes of the ``n``-word shingles, ascending; of the whole text if it is shorter."""
-    return np.unique(gram_hashes(words, min(n, len(words)))) if len(words) else np.empty(0, U64)
+SIGNATURE = 64
+
+
+def shingle_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches and, of each text, the distinct hashes of its ``n``-word shingles, ascending.
+
+    A text of fewer words has one shingle, all of it; a text without words has none.
+    """
+    hasher = WordHasher()
+    for part, texts in portions(batches):
+        words = hasher.of(texts)
+        grams, sets = gram_hashes(words.hashes, n), []
+        for a, b in zip(words.starts[:-1].tolist(), words.starts[1:].tolist()):
+            own = grams[a : b - n + 1] if b - a >= n else gram_hashes(words.hashes[a:b], b - a) if b > a else grams[:0]
+            own = np.sort(own)
+            sets.append(own[np.append(True, own[1:] != own[:-1])] if len(own) > 1 else own)
+        yield part, sets
+
+
+def signature(tokens: np.ndarray) -> bytes:
+    """How many tokens fall on each of ``SIGNATURE`` parts of the hash range, 255 at most."""
+    parts = np.bincount((tokens & U64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE)
+    return np.minimum(parts, 255).astype(np.uint8).tobytes()
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -50,24 +70,27 @@ def levels_of(load: np.ndarray) -> np.ndarray:
     return np.where(load > usual, 1 + np.log2(np.maximum(load, 1) / usual), 0).astype(np.uint8)
 
 
-def ordered(tokens: np.ndarray, order: int, levels: np.ndarray | None) -> np.ndarray:
-    """The tokens under a global order: by level if given, then by the order's own hash."""
+def prefix(tokens: np.ndarray, percent: int, order: int, levels: np.ndarray | None) -> np.ndarray:
+    """The first tokens under a global order: by level if given, then by the order's own hash."""
     key = mix(tokens, 31 + order)
-    return tokens[np.argsort(key) if levels is None else np.lexsort((key, levels[bucket(tokens)]))]
+    if levels is not None:
+        key = (levels[bucket(tokens)].astype(U64) << U64(58)) | (key >> U64(6))
+    size = min(prefix_size(len(tokens), percent), len(tokens))
+    few = np.argpartition(key, size - 1)[:size]
+    return tokens[few[np.argsort(key[few])]]
 
 
 def token_levels(lines: DataFrame, n: int) -> np.ndarray:
     """The level of every sketch bucket, from the counts of all shingles of all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, load, held, size = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
-        for batch in batches:
-            for text in binaries(batch, "text"):
-                held.append(bucket(shingles(hashes.of(text.lower().split()), n)))
-                size += len(held[-1])
-                if size > 2_000_000:
-                    load += np.bincount(np.concatenate(held), minlength=len(load)).astype(np.uint32)
-                    held, size = [], 0
+        load, held, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+        for _, sets in shingle_sets(batches, n):
+            held += [bucket(s) for s in sets]
+            size += sum(map(len, sets))
+            if size > 2_000_000:
+                load += np.bincount(np.concatenate(held), minlength=len(load)).astype(np.uint32)
+                held, size = [], 0
         if held:
             load += np.bincount(np.concatenate(held), minlength=len(load)).astype(np.uint32)
         yield packed({i: p for i, p in enumerate(load.reshape(-1, SKETCH_PIECE)) if p.any()})
@@ -94,34 +117,28 @@ def packed(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
     return rows_of(schema, [list(parts), [zlib.compress(p.tobytes(), 1) for p in parts.values()]])
 
 
+SETS_SQL = "row bigint, n bigint, digest binary, signature binary, rare int, prefix array<bigint>"
 SETS = pa.schema([
-    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("rare", pa.int32()), ("prefix", pa.list_(pa.int64()))
+    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary()), ("rare", pa.int32()),
+    ("prefix", pa.list_(pa.int64())),
 ])
 
 
 def described(lines: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """Per row: size of its set, digest of the set, and its prefix under the first order."""
+    """Per row: size, digest and signature of its set, and its prefix under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                rows = part.column("row").to_pylist()
-                sizes, digests, rare, prefixes = [], [], [], []
-                for row, text in zip(rows, binaries(part, "text")):
-                    tokens = shingles(hashes.of(text.lower().split()), n) if text else np.empty(0, U64)
-                    sizes.append(len(tokens))
-                    # Empty sets are equal to nothing: each has a digest of its own.
-                    digests.append(digest(tokens) if len(tokens) else b"%d" % row)
-                    first = ordered(tokens, 0, levels.value)[: prefix_size(len(tokens), percent)] if len(tokens) else tokens
-                    rare.append(int((levels.value[bucket(first)] == 0).sum() * 10_000 // max(len(tokens), 1)))
-                    prefixes.append(first.view(np.int64))
-                yield rows_of(SETS, [rows, sizes, digests, rare, prefixes])
-
-    return lines.select("row", "text").mapInArrow(
-        run, "row bigint, n bigint, digest binary, rare int, prefix array<bigint>"
-    )
+        for part, sets in shingle_sets(batches, n):
+            rows = part.column("row").to_pylist()
+            first = [prefix(s, percent, 0, levels.value) if len(s) else s for s in sets]
+            rare = [int((levels.value[bucket(f)] == 0).sum() * 10_000 // max(len(s), 1)) for f, s in zip(first, sets)]
+            # Empty sets are equal to nothing: each has a digest of its own.
+            digests = [digest(s) if len(s) else b"%d" % row for row, s in zip(rows, sets)]
+            yield rows_of(SETS, [
+                rows, [len(s) for s in sets], digests, [signature(s) for s in sets], rare, [f.view(np.int64) for f in first]
+            ])
+
+    return lines.select("row", "text").mapInArrow(run, SETS_SQL)
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -139,21 +156,43 @@ def sets_of(lines: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     schema = pa.schema([("digest", pa.binary()), ("tokens", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sent = WordHashes(), set()
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                sets = [shingles(hashes.of(t.lower().split()), n) for t in binaries(part, "text")]
-                digests = [digest(s) for s in sets]
-                keys = np.array([int.from_bytes(d[:7], "big") for d in digests], U64)
-                out = [i for i in np.flatnonzero(maybe.value.has(keys)).tolist() if len(sets[i]) and digests[i] not in sent]
-                out = list({digests[i]: i for i in out}.values())
-                sent.update(digests[i] for i in out)
-                if out:
-                    yield rows_of(schema, [[digests[i] for i in out], [sets[i].tobytes() for i in out]])
+        sent: set[bytes] = set()
+        for _, sets in shingle_sets(batches, n):
+            digests = [digest(s) for s in sets]
+            keys = np.array([int.from_bytes(d[:7], "big") for d in digests], U64)
+            out = [i for i in np.flatnonzero(maybe.value.has(keys)).tolist() if len(sets[i]) and digests[i] not in sent]
+            out = list({digests[i]: i for i in out}.values())
+            sent.update(digests[i] for i in out)
+            for a in range(0, len(out), 200):
+                some = out[a : a + 200]
+                yield rows_of(schema, [[digests[i] for i in some], [sets[i].tobytes() for i in some]])
 
     found = lines.select("text").mapInArrow(run, "digest binary, tokens binary")
-    return wanted.join(found, "digest").groupBy("id").agg(F.first("tokens").alias("tokens"))
+    return wanted.join(found, "digest").groupBy("digest", "id").agg(F.first("tokens").alias("tokens")).drop("digest")
+
+
+def close_signatures(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures do not rule a link out.
+
+    The parts' counts of two sets differ by no more than the sets do, and linked sets differ by
+    (100 - percent) / (100 + percent) of their sizes at most.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int64)
+                for c in ("of_a", "of_b")
+            ]
+            apart = np.abs(counts[0] - counts[1]).sum(axis=1)
+            size = batch.column("size").to_numpy()
+            good = pa.array(apart * (100 + percent) <= (100 - percent) * size)
+            yield rows_of(schema, [batch.column("a").filter(good), batch.column("b").filter(good)])
+
+    ends = [sets.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"of_{x}")) for x in "ab"]
+    met = pairs.join(ends[0], "a").join(ends[1], "b")
+    return met.select("a", "b", "of_a", "of_b", (F.col("n_a") + F.col("n_b")).alias("size")).mapInArrow(run, "a bigint, b bigint")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int, levels) -> DataFrame:
@@ -165,7 +204,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, levels) -> DataFrame
     def alike(x: np.ndarray, y: np.ndarray) -> bool:
         for order in range(1, ORDERS):
             by = levels.value if order == 1 else None  # one more order by level, one by hash alone
-            first = [ordered(s, order, by)[: prefix_size(len(s), percent)] for s in (x, y)]
+            first = [prefix(s, percent, order, by) for s in (x, y)]
             if not len(np.intersect1d(*first, assume_unique=True)):
                 return False
         both = len(np.intersect1d(x, y, assume_unique=True))
@@ -237,6 +276,7 @@ def near_duplicates(
     names = classes.select(F.col("class").alias("id"), "digest")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(close_signatures(pairs, sets, percent), f"{name}-close")
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         found = written(sets_of(lines, written(names.join(ends, "id"), f"{name}-wanted"), n), f"{name}-sets")
         return written(linked(pairs, found, percent, levels), f"{name}-links")
