@@ -111,10 +111,16 @@ class Splitter:
 class PieceCounter(dict):
     """Tokens of a piece (text); a dict of the pieces counted, emptied at ``limit`` of them."""
 
-    def __init__(self, vocabulary: set[bytes], ranks: dict[tuple[bytes, bytes], int], limit: int = 400_000):
+    def __init__(
+        self, vocabulary: set[bytes], ranks: dict[tuple[bytes, bytes], int], limit: int = 400_000, states: int = 400_000
+    ):
         super().__init__()
-        self.vocabulary, self.ranks, self.limit = vocabulary, ranks, limit
+        self.vocabulary, self.ranks, self.limit, self.most = vocabulary, ranks, limit, states
         self.prefixes = {t[:i] for t in vocabulary for i in range(len(t))}
+        # The merges that made a token, along its left and its right edge: what stands there
+        # until which merge.
+        halves = {a + b: (a, b, rank) for (a, b), rank in sorted(ranks.items(), key=lambda x: -x[1])}
+        self.left, self.right = edges(halves, vocabulary, 0), edges(halves, vocabulary, 1)
         self.renew()
 
     def renew(self) -> None:
@@ -145,12 +151,25 @@ class PieceCounter(dict):
         key = (before, token)
         known = self.valid.get(key)
         if known is None:
-            if len(self.valid) > 300_000:
+            if len(self.valid) > 2 * self.most:
                 self.valid.clear()
-            known = self.merged((before or b"") + token) == ([token] if before is None else [before, token])
-            self.valid[key] = known
+            known = self.valid[key] = self.merged(token) == [token] if before is None else self.keeps(before, token)
         return known
 
+    def keeps(self, before: bytes, token: bytes) -> bool:
+        """Whether no merge ever joins what stands on both sides of the tokens' border.
+
+        At any time an edge token of either side stands there, from the merge that made it to
+        the one that takes it up; a pair merges if its turn comes while both stand.
+        """
+        for a, a_made, a_taken in self.right[before]:
+            for b, b_made, b_taken in self.left[token]:
+                turn = self.ranks.get((a, b))
+                # Equal pairs merge from the left, so the left side's own merge comes first.
+                if turn is not None and a_made < turn < a_taken and b_made < turn <= b_taken:
+                    return False
+        return True
+
     def compile(self, state: int, byte: int) -> tuple[int, int]:
         """The transition (next state, change of the number of tokens) on a byte."""
         added, last, change = bytes([byte]), None, 0
@@ -175,7 +194,9 @@ class PieceCounter(dict):
     def __missing__(self, piece: str) -> int:
         if len(self) >= self.limit:
             self.clear()
-        if len(self.keys) > 100_000:
+        if piece == SEPARATOR:
+            return 0
+        if len(self.keys) > self.most:
             self.renew()
         state = total = 0
         out = self.out
@@ -186,6 +207,20 @@ class PieceCounter(dict):
         return total
 
 
+def edges(halves: dict, vocabulary: set[bytes], side: int) -> dict[bytes, list[tuple[bytes, int, int]]]:
+    """For each token, the (token, made by, taken by) along its left (0) or right (1) edge."""
+    out: dict[bytes, list[tuple[bytes, int, int]]] = {}
+    for token in vocabulary:
+        part, taken, line = token, 1 << 60, []
+        while part in halves:
+            half = halves[part]
+            line.append((part, half[2], taken))
+            part, taken = half[side], half[2]
+        line.append((part, -1, taken))
+        out[token] = line
+    return out
+
+
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-ins of bytes in byte-level vocabulary files."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -247,7 +282,6 @@ class TokenCounter:
 
     def __init__(self, path: str, classes: np.ndarray, chunk: int = 1_000_000):
         self.pieces, self.special = compiled(path)
-        self.pieces[SEPARATOR] = 0
         self.splitter, self.chunk = Splitter(classes), chunk
 
     def count(self, texts: list[str]) -> np.ndarray:
@@ -275,8 +309,6 @@ class TokenCounter:
         points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = self.splitter.starts(points)
         cuts = starts.tolist()
-        if SEPARATOR not in self.pieces:  # emptied meanwhile
-            self.pieces[SEPARATOR] = 0
         counted = map(self.pieces.__getitem__, [whole[a:b] for a, b in zip(cuts, [*cuts[1:], len(whole)])])
         total = np.fromiter(counted, np.int64, len(cuts))
         return np.add.reduceat(total, np.flatnonzero(points[starts] == 0xD800))
