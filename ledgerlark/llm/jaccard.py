@@ -31,7 +31,7 @@ SKETCH_PIECE = 1 << 15
 ORDERS = 3
 
 
-SIGNATURE = 64
+FINE, COARSE = 512, 64  # parts of a signature
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -50,10 +50,14 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa
         yield part, sets
 
 
-def signature(tokens: np.ndarray) -> bytes:
-    """How many tokens fall on each of ``SIGNATURE`` parts of the hash range, 255 at most."""
-    parts = np.bincount((tokens & U64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE)
-    return np.minimum(parts, 255).astype(np.uint8).tobytes()
+def signature(tokens: np.ndarray, parts: int) -> np.ndarray:
+    """How many tokens fall on each of the parts of the hash range, 255 at most.
+
+    These counts of two sets differ by no more than the sets do, and linked sets differ by
+    (100 - percent) / (100 + percent) of their sizes at most.
+    """
+    counts = np.bincount((tokens & U64(parts - 1)).astype(np.int64), minlength=parts)
+    return np.minimum(counts, 255).astype(np.uint8)
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -117,9 +121,9 @@ def packed(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
     return rows_of(schema, [list(parts), [zlib.compress(p.tobytes(), 1) for p in parts.values()]])
 
 
-SETS_SQL = "row bigint, n bigint, digest binary, signature binary, rare int, prefix array<bigint>"
+SETS_SQL = "row bigint, n bigint, digest binary, coarse array<smallint>, fine binary, rare int, prefix array<bigint>"
 SETS = pa.schema([
-    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary()), ("rare", pa.int32()),
+    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("coarse", pa.list_(pa.int16())), ("fine", pa.binary()), ("rare", pa.int32()),
     ("prefix", pa.list_(pa.int64())),
 ])
 
@@ -135,7 +139,8 @@ def described(lines: DataFrame, n: int, percent: int, levels) -> DataFrame:
             # Empty sets are equal to nothing: each has a digest of its own.
             digests = [digest(s) if len(s) else b"%d" % row for row, s in zip(rows, sets)]
             yield rows_of(SETS, [
-                rows, [len(s) for s in sets], digests, [signature(s) for s in sets], rare, [f.view(np.int64) for f in first]
+                rows, [len(s) for s in sets], digests, [signature(s, COARSE).astype(np.int16) for s in sets],
+                [signature(s, FINE).tobytes() for s in sets], rare, [f.view(np.int64) for f in first],
             ])
 
     return lines.select("row", "text").mapInArrow(run, SETS_SQL)
@@ -172,25 +177,21 @@ def sets_of(lines: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def close_signatures(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose signatures do not rule a link out.
-
-    The parts' counts of two sets differ by no more than the sets do, and linked sets differ by
-    (100 - percent) / (100 + percent) of their sizes at most.
-    """
+    """The pairs (a, b) whose fine signatures do not rule a link out."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNATURE).astype(np.int64)
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, FINE).astype(np.int16)
                 for c in ("of_a", "of_b")
             ]
-            apart = np.abs(counts[0] - counts[1]).sum(axis=1)
+            apart = np.abs(counts[0] - counts[1]).sum(axis=1, dtype=np.int64)
             size = batch.column("size").to_numpy()
             good = pa.array(apart * (100 + percent) <= (100 - percent) * size)
             yield rows_of(schema, [batch.column("a").filter(good), batch.column("b").filter(good)])
 
-    ends = [sets.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"of_{x}")) for x in "ab"]
+    ends = [sets.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"of_{x}")) for x in "ab"]
     met = pairs.join(ends[0], "a").join(ends[1], "b")
     return met.select("a", "b", "of_a", "of_b", (F.col("n_a") + F.col("n_b")).alias("size")).mapInArrow(run, "a bigint, b bigint")
 
@@ -233,6 +234,14 @@ def room(x: str, y: str, percent: int) -> Column:
     return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & (left * (100 + percent) >= percent * (nx + ny))
 
 
+def coarsely_close(x: str, y: str, percent: int) -> Column:
+    """Whether the coarse signatures leave a link possible."""
+    apart = F.aggregate(
+        F.zip_with(f"{x}.coarse", f"{y}.coarse", lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda s, d: s + d
+    )
+    return apart * (100 + percent) <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
 def near_duplicates(
     docs: DataFrame, n: int = 5, percent: int = 80, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -287,12 +296,16 @@ def near_duplicates(
     links = compared(star, "star")
     roots = connected(links)
 
-    placed = blocks.select("token", "x").join(roots, F.col("x.row") == F.col("node"), "left")
+    # A leader has met all members of its blocks; the others are left to meet each other.
+    members = blocks.filter("x.row <> y.row").select("token", "x")
+    placed = members.join(roots, F.col("x.row") == F.col("node"), "left")
     placed = placed.select("token", F.struct("x.*", F.coalesce("root", "x.row").alias("root")).alias("x"))
     mixed = placed.groupBy("token").agg(F.min("x.root").alias("lo"), F.max("x.root").alias("hi")).filter("lo < hi").select("token")
-    open_ = written(placed.join(mixed, "token"), "open-blocks")
+    coarse = sets.select(F.col("row").alias("of"), "coarse")
+    open_ = placed.join(mixed, "token").join(coarse, F.col("x.row") == F.col("of"))
+    open_ = written(open_.select("token", F.struct("x.*", "coarse").alias("x")), "open-blocks")
     other = open_.select("token", F.col("x").alias("y"))
-    crossing = (F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & room("x", "y", percent)
+    crossing = (F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & room("x", "y", percent) & coarsely_close("x", "y", percent)
     rest = (
         open_.alias("o").join(other.alias("p"), (F.col("o.token") == F.col("p.token")) & crossing)
         .select(*pair).distinct().join(star, ["a", "b"], "left_anti")
