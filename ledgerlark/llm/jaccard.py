@@ -31,7 +31,7 @@ SKETCH_PIECE = 1 << 15
 ORDERS = 3
 
 
-FINE, COARSE = 512, 64  # parts of a signature
+FINE, COARSE = 512, 16  # parts of a signature
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -121,9 +121,9 @@ def packed(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
     return rows_of(schema, [list(parts), [zlib.compress(p.tobytes(), 1) for p in parts.values()]])
 
 
-SETS_SQL = "row bigint, n bigint, digest binary, coarse array<smallint>, fine binary, rare int, prefix array<bigint>"
+SETS_SQL = "row bigint, n bigint, digest binary, low bigint, high bigint, fine binary, rare int, prefix array<bigint>"
 SETS = pa.schema([
-    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("coarse", pa.list_(pa.int16())), ("fine", pa.binary()), ("rare", pa.int32()),
+    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("low", pa.int64()), ("high", pa.int64()), ("fine", pa.binary()), ("rare", pa.int32()),
     ("prefix", pa.list_(pa.int64())),
 ])
 
@@ -138,8 +138,9 @@ def described(lines: DataFrame, n: int, percent: int, levels) -> DataFrame:
             rare = [int((levels.value[bucket(f)] == 0).sum() * 10_000 // max(len(s), 1)) for f, s in zip(first, sets)]
             # Empty sets are equal to nothing: each has a digest of its own.
             digests = [digest(s) if len(s) else b"%d" % row for row, s in zip(rows, sets)]
+            coarse = np.concatenate([signature(s, COARSE) for s in sets]).view(np.int64).reshape(-1, 2)
             yield rows_of(SETS, [
-                rows, [len(s) for s in sets], digests, [signature(s, COARSE).astype(np.int16) for s in sets],
+                rows, [len(s) for s in sets], digests, coarse[:, 0], coarse[:, 1],
                 [signature(s, FINE).tobytes() for s in sets], rare, [f.view(np.int64) for f in first],
             ])
 
@@ -226,6 +227,31 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, levels) -> DataFrame
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def postings(prefixes: DataFrame) -> DataFrame:
+    """(row, n, rare, at, token) of the prefix tokens that several rows may have.
+
+    Tokens are counted first. Those of several rows go into a bitmap of fixed size, and only
+    what it lets through is shuffled with its row; it may let others through, but drops none.
+    """
+    counts = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("token").alias("members"))
+    several = broadcast(prefixes.sparkSession, bitmap_of(counts.filter("members > 1").select("token"), "token", bits=25))
+    schema = pa.schema([(c, pa.int64()) for c in ("row", "n", "rare", "at", "token")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("prefix")
+            sizes = np.diff(column.offsets.to_numpy())
+            token = column.flatten().to_numpy()
+            seen = several.value.has(token.view(U64))
+            of = np.repeat(np.arange(batch.num_rows), sizes)[seen]
+            at = (np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[seen]
+            fixed = [batch.column(c).to_numpy()[of] for c in ("row", "n", "rare")]
+            yield rows_of(schema, [*fixed, at, token[seen]])
+
+    found = prefixes.mapInArrow(run, "row bigint, n bigint, rare bigint, at bigint, token bigint")
+    return written(found, "prefix-postings")
+
+
 def room(x: str, y: str, percent: int) -> Column:
     """Whether two postings leave room for a link: sizes near enough, and at least the needed
     overlap left from either token's place on."""
@@ -235,10 +261,12 @@ def room(x: str, y: str, percent: int) -> Column:
 
 
 def coarsely_close(x: str, y: str, percent: int) -> Column:
-    """Whether the coarse signatures leave a link possible."""
-    apart = F.aggregate(
-        F.zip_with(f"{x}.coarse", f"{y}.coarse", lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda s, d: s + d
-    )
+    """Whether the coarse signatures, eight counts a long, leave a link possible."""
+    apart = F.lit(0)
+    for half in ("low", "high"):
+        for shift in range(0, 64, 8):
+            p, q = (F.shiftrightunsigned(f"{side}.{half}", shift).bitwiseAND(F.lit(255)) for side in (x, y))
+            apart = apart + F.abs(p - q)
     return apart * (100 + percent) <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
@@ -272,7 +300,7 @@ def near_duplicates(
     classes = written(classes, "shingle-classes")
 
     known = classes.filter("n > 0").select(F.col("class").alias("row"))
-    tokens = sets.join(known, "row").select("row", "n", "rare", F.posexplode("prefix").alias("at", "token"))
+    tokens = postings(written(sets.join(known, "row").select("row", "n", "rare", "prefix"), "class-prefixes"))
     leaders = (
         tokens.groupBy("token").agg(F.count("row").alias("members"), F.min(F.struct("rare", "row", "n", "at")).alias("l"))
         .filter("members > 1").select("token", F.col("l.row").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.at").alias("leader_at"))
@@ -299,17 +327,17 @@ def near_duplicates(
     # A leader has met all members of its blocks; the others are left to meet each other.
     members = blocks.filter("x.row <> y.row").select("token", "x")
     placed = members.join(roots, F.col("x.row") == F.col("node"), "left")
-    placed = placed.select("token", F.struct("x.*", F.coalesce("root", "x.row").alias("root")).alias("x"))
-    mixed = placed.groupBy("token").agg(F.min("x.root").alias("lo"), F.max("x.root").alias("hi")).filter("lo < hi").select("token")
-    coarse = sets.select(F.col("row").alias("of"), "coarse")
-    open_ = placed.join(mixed, "token").join(coarse, F.col("x.row") == F.col("of"))
-    open_ = written(open_.select("token", F.struct("x.*", "coarse").alias("x")), "open-blocks")
-    other = open_.select("token", F.col("x").alias("y"))
-    crossing = (F.col("x.row") < F.col("y.row")) & (F.col("x.root") != F.col("y.root")) & room("x", "y", percent) & coarsely_close("x", "y", percent)
-    rest = (
-        open_.alias("o").join(other.alias("p"), (F.col("o.token") == F.col("p.token")) & crossing)
-        .select(*pair).distinct().join(star, ["a", "b"], "left_anti")
+    coarse = sets.select(F.col("row").alias("of"), "low", "high")
+    placed = placed.select("token", "x", F.coalesce("root", "x.row").alias("root"))
+    placed = placed.join(coarse, F.col("x.row") == F.col("of"))
+    open_ = written(placed.select("token", F.struct("x.*", "root", "low", "high").alias("x")), "open-blocks")
+    crossing = (
+        (F.col("o.token") == F.col("p.token")) & (F.col("o.x.row") < F.col("p.x.row"))
+        & (F.col("o.x.root") != F.col("p.x.root")) & room("o.x", "p.x", percent) & coarsely_close("o.x", "p.x", percent)
     )
+    ends = (F.col("o.x.row").alias("a"), F.col("p.x.row").alias("b"))
+    # Smaller rows first in a and b: the same order as in the first pairs.
+    rest = open_.alias("o").join(open_.alias("p"), crossing).select(*ends).distinct().join(star, ["a", "b"], "left_anti")
     more = compared(written(rest, "cross-pairs"), "cross")
     roots = connected(links.union(more).union(roots.select("node", "root")))
 
