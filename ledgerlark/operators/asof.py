@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlark.functions import join_same
+from ledgerlark.operators.prices import latest_per_key
 
 
 def asof_join(
@@ -73,53 +74,20 @@ def asof_join(
     )
 
 
-def dense_rates(rates: DataFrame) -> DataFrame:
-    """One row per currency: its first day, and the rate in force on every day after it.
-
-    ``rates`` has (currency_code, rate_date, rate_to_usd), one row per pair. Currencies and
-    calendar days bound both the rows and the arrays.
-    """
-    following = F.lead("rate_date").over(Window.partitionBy("currency_code").orderBy("rate_date"))
-    last = F.coalesce(F.date_sub(following, 1), F.col("rate_date"))
-    days = rates.withColumn("_last", last).select(
-        "*", F.explode(F.sequence(F.col("rate_date"), F.col("_last"))).alias("_day")
-    )
-    entry = F.struct("_day", "rate_date", "rate_to_usd")
-    return days.groupBy("currency_code").agg(
-        F.min("_day").alias("_first"), F.sort_array(F.collect_list(entry)).alias("_days")
-    )
-
-
 def convert_currency(
-    facts: DataFrame,
-    rates: DataFrame,
-    date_col: str,
-    currency_col: str,
-    amount_col: str,
-    max_currencies: int = 1000,
+    facts: DataFrame, rates: DataFrame, date_col: str, currency_col: str, amount_col: str, tie_break: Sequence[str] = ("rate_to_usd",)
 ) -> DataFrame:
     """Add the as-of rate to the common currency and the converted amount.
 
-    A handful of currencies would make a handful of join keys, so facts are not shuffled:
-    the rates become one dense array per currency and the rate is an element of it. The
-    arrays are broadcast only if there are at most ``max_currencies`` of them; otherwise the
-    general as-of join is used. Rate and amount are multiplied at scale 9 and 6, so the
-    product keeps nine decimals.
+    A rate delivered several times for a currency and day counts once: the greatest row by
+    ``tie_break``. The as-of pass orders distinct currencies and days only, and the rate goes
+    back to the facts by currency and day. Rate and amount are multiplied at scale 9 and 6,
+    so the product keeps nine decimals.
     """
     keyed = rates.filter("currency_code IS NOT NULL AND rate_date IS NOT NULL")
-    known = keyed.select("currency_code").distinct().limit(max_currencies + 1).count()
-    if known <= max_currencies:
-        dense = dense_rates(keyed).withColumnRenamed("currency_code", "_currency")
-        at = F.datediff(F.col(date_col), F.col("_first")) + 1
-        entry = F.when(at >= 1, F.element_at("_days", F.least(at, F.size("_days"))))
-        joined = (
-            facts.join(F.broadcast(dense), F.col(currency_col) == F.col("_currency"), "left")
-            .withColumn("_entry", entry)
-            .select(*[facts[c] for c in facts.columns], "_entry.rate_date", "_entry.rate_to_usd")
-        )
-    else:
-        named = keyed.withColumnRenamed("currency_code", currency_col)
-        joined = asof_join(facts, named, [currency_col], date_col, "rate_date", ["rate_to_usd"])
+    once = latest_per_key(keyed, ["currency_code", "rate_date"], list(tie_break), keep=["rate_to_usd"])
+    named = once.withColumnRenamed("currency_code", currency_col)
+    joined = asof_join(facts, named, [currency_col], date_col, "rate_date", ["rate_to_usd"])
     rate = F.col("rate_to_usd").cast("decimal(15,9)")
     amount = F.col(amount_col).cast("decimal(22,6)")
     return (

@@ -14,8 +14,6 @@ POSITION = ["user_id", "asset_key"]
 # Scales that keep quantity x price exact: (22,6) x (18,6) is a (38,9) product.
 QUANTITY, PRICE = "decimal(22,6)", "decimal(18,6)"
 AMOUNT = "decimal(38,9)"
-# Hash buckets used to look for hot groups; bounds the list of hot ones.
-HOT_BUCKETS = 65536
 
 
 def signed_quantity(kind: str = "transaction_type", quantity: str = "quantity") -> Column:
@@ -57,10 +55,10 @@ def holdings(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSI
 
 
 def cost_basis(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSITION) -> DataFrame:
-    """Units bought, their cost and the average purchase price, commission excluded."""
+    """Units bought, their cost and the average purchase price per currency, commission excluded."""
     return (
         upto(txns, as_of)
-        .groupBy(*by)
+        .groupBy(*by, F.col("currency_code").alias("cost_basis_currency"))
         .agg(
             F.sum(bought_quantity()).cast(AMOUNT).alias("quantity_bought"),
             F.sum(bought_cost()).cast(AMOUNT).alias("purchase_cost"),
@@ -88,88 +86,37 @@ def positions(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POS
     )
 
 
-def split_hot(df: DataFrame, by: Sequence[str], min_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, rows of hot groups) of a frame.
-
-    Groups are counted by hash bucket, so the count is a small aggregate whatever the data,
-    and the list of hot buckets has at most ``HOT_BUCKETS`` rows, which is what makes it
-    safe to broadcast. A bucket is hot from ``min_rows`` rows and four times the average.
-    """
-    bucket = F.pmod(F.xxhash64(*by), F.lit(HOT_BUCKETS))
-    counts = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-    total = F.sum("_rows").over(Window.partitionBy(F.lit(0)))
-    hot = (
-        counts.withColumn("_limit", F.greatest(F.lit(min_rows), 4 * total / HOT_BUCKETS))
-        .filter("_rows > _limit")
-        .select("_bucket")
-    )
-    marked = df.withColumn("_bucket", bucket)
-    hot = F.broadcast(hot)
-    return (
-        marked.join(hot, "_bucket", "left_anti").drop("_bucket"),
-        marked.join(hot, "_bucket", "left_semi").drop("_bucket"),
-    )
-
-
 def running_total(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    value: Column,
-    name: str,
-    blocks: Sequence[Column],
-    hot_rows: int = 1_000_000,
+    df: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str, blocks: Sequence[Column]
 ) -> DataFrame:
     """Running sum per group in ``order``, inclusive of the row itself.
 
-    Ordinary groups take one window. Rows of hot groups are cut into ``blocks``, expressions
-    that grow with the order, coarse to fine; a row's total is the sum of the earlier blocks
-    at every level plus a window inside its own finest block. No task sorts a whole group.
+    Rows are cut into ``blocks``, expressions that grow with the order, such as the day. One
+    window over the sums per block gives each block's opening balance, one over the rows of a
+    block adds to it; no task sorts a whole group, and every row takes the same way.
     """
-    by, valued = list(by), df.withColumn("_value", value)
-    whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    cold, hot = split_hot(valued, by, hot_rows)
-    direct = cold.withColumn(name, F.sum("_value").over(whole).cast(AMOUNT))
-
-    levels = [f"_b{i}" for i in range(len(blocks))]
-    cut = hot.select("*", *[b.alias(n) for n, b in zip(levels, blocks)])
+    by, levels = list(by), [f"_b{i}" for i in range(len(blocks))]
+    cut = df.select("*", value.alias("_value"), *[b.alias(n) for n, b in zip(levels, blocks)])
     totals = cut.groupBy(*by, *levels).agg(F.sum("_value").alias("_sum"))
-    offsets = totals.select(*by, *levels, F.lit(0).cast(AMOUNT).alias("_before"))
-    for depth, level in enumerate(levels):
-        outer = by + levels[:depth]
-        earlier = Window.partitionBy(*outer).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        step = (
-            totals.groupBy(*outer, level)
-            .agg(F.sum("_sum").alias("_level_sum"))
-            .withColumn("_step", F.coalesce(F.sum("_level_sum").over(earlier), F.lit(0)))
-            .drop("_level_sum")
-        )
-        offsets = join_same(offsets, step, [*outer, level]).withColumn(
-            "_before", (F.col("_before") + F.col("_step")).cast(AMOUNT)
-        ).drop("_step")
-    inside = (
-        Window.partitionBy(*by, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    stitched = join_same(cut, offsets, [*by, *levels]).withColumn(
-        name, (F.col("_before") + F.sum("_value").over(inside)).cast(AMOUNT)
-    )
-    out = [*df.columns, name]
-    return direct.select(*out).unionByName(stitched.select(*out))
+    earlier = Window.partitionBy(*by).orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).cast(AMOUNT)
+    opening = totals.select(*by, *levels, before.alias("_before"))
+    inside = Window.partitionBy(*by, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    total = (F.col("_before") + F.sum("_value").over(inside)).cast(AMOUNT)
+    return join_same(cut, opening, [*by, *levels]).withColumn(name, total).select(*df.columns, name)
 
 
-def running_holdings(
-    txns: DataFrame, order: Sequence[str], blocks: Sequence[Column], hot_rows: int = 1_000_000
-) -> DataFrame:
+def running_holdings(txns: DataFrame, order: Sequence[str], blocks: Sequence[Column]) -> DataFrame:
     """Units held after every transaction."""
-    return running_total(
-        txns, POSITION, order, signed_quantity(), "quantity_held", blocks, hot_rows
-    )
+    return running_total(txns, POSITION, order, signed_quantity(), "quantity_held", blocks)
 
 
 def value_positions(df: DataFrame, price: str = "current_price") -> DataFrame:
     """Market value and unrealized gain of positions that carry a price column.
 
-    Value and gain are null without a price; the percentage also when the cost is zero.
+    Value and gain are null without a price; the percentage also when the cost is zero. The
+    value is in the price's currency: the gain is null where the cost is in another one, as
+    amounts of two currencies cannot be subtracted.
     """
     held = F.col("quantity_held")
     value = (held.cast(QUANTITY) * F.col(price).cast(PRICE)).cast(AMOUNT)
@@ -179,7 +126,10 @@ def value_positions(df: DataFrame, price: str = "current_price") -> DataFrame:
         df.withColumn("avg_cost_basis", average)
         .withColumn("total_cost_basis", F.col("avg_cost_basis") * held.cast("double"))
         .withColumn("market_value", value)
-        .withColumn("unrealized_gain_loss", F.col("market_value").cast("double") - cost)
+        .withColumn(
+            "unrealized_gain_loss",
+            F.when(F.col("cost_basis_currency") == F.col("price_currency"), F.col("market_value").cast("double") - cost),
+        )
         .withColumn("unrealized_gain_loss_pct", F.when(cost != 0, F.lit(100.0) * gain / cost))
     )
 
@@ -260,7 +210,7 @@ def portfolio_history(
     max_age_days: int = 5,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per open position and day of [start, end], valued at the as-of price.
+    """One row per open position, cost currency and day of [start, end], valued at the as-of price.
 
     Everything before ``start`` counts as of ``start``: it is summed up (transactions) or
     reduced to the last quote (prices) by a partial aggregate, so the running pass sees at
@@ -268,13 +218,15 @@ def portfolio_history(
     over the days on which they hold, and meet in an equi join.
     """
     first = F.lit(start).cast("date")
-    running = Window.partitionBy(*POSITION).orderBy("transaction_date").rowsBetween(
+    held_by = [*POSITION, "cost_basis_currency"]
+    running = Window.partitionBy(*held_by).orderBy("transaction_date").rowsBetween(
         Window.unboundedPreceding, 0
     )
     daily = (
         upto(txns, end)
+        .withColumn("cost_basis_currency", F.col("currency_code"))
         .withColumn("transaction_date", F.greatest("transaction_date", first))
-        .groupBy(*POSITION, "transaction_date")
+        .groupBy(*held_by, "transaction_date")
         .agg(
             F.sum(signed_quantity()).alias("_q"),
             F.sum(bought_quantity()).alias("_bq"),
@@ -282,13 +234,13 @@ def portfolio_history(
         )
     )
     changes = daily.select(
-        *POSITION,
+        *held_by,
         "transaction_date",
         F.sum("_q").over(running).cast(AMOUNT).alias("quantity_held"),
         F.sum("_bq").over(running).cast(AMOUNT).alias("quantity_bought"),
         F.sum("_bc").over(running).cast(AMOUNT).alias("purchase_cost"),
     )
-    held = _runs(changes, POSITION, "transaction_date", end)
+    held = _runs(changes, held_by, "transaction_date", end)
     held = held.filter("quantity_held <> 0")
     quotes = latest_per_key(
         upto(prices, end, "snapshot_date").select(
@@ -296,11 +248,12 @@ def portfolio_history(
             F.greatest("snapshot_date", first).alias("effective"),
             F.col("snapshot_date").alias("price_date"),
             F.col("close_price").alias("current_price"),
+            "price_currency",
             *tie_break,
         ),
         ["asset_key", "effective"],
         ["price_date", *tie_break],
-        keep=["price_date", "current_price"],
+        keep=["price_date", "current_price", "price_currency"],
     )
     quoted = _runs(quotes, ["asset_key"], "effective", end)
     valued = value_positions(held.join(quoted, ["asset_key", "snapshot_date"], "left"))
@@ -310,7 +263,9 @@ def portfolio_history(
         "quantity_held",
         "avg_cost_basis",
         "total_cost_basis",
+        "cost_basis_currency",
         F.col("current_price").cast(AMOUNT).alias("current_price"),
+        "price_currency",
         "price_date",
         "market_value",
         "unrealized_gain_loss",
@@ -320,14 +275,15 @@ def portfolio_history(
 
 
 def portfolio_rollup(
-    snapshot: DataFrame, dim_asset: DataFrame, currency: str, levels: Sequence[str]
+    snapshot: DataFrame, dim_asset: DataFrame, levels: Sequence[str], currency: str = "price_currency"
 ) -> DataFrame:
     """Totals per currency and every prefix of ``levels``, with the positions counted.
 
-    Amounts of different currencies are never added. The finest grain is summed first, so
+    The currency is the snapshot's, that of the market value; amounts of different
+    currencies are never added. The finest grain is summed first, so
     only its groups, not the positions, are repeated for the coarser levels.
     """
-    joined = snapshot.join(dim_asset.select("asset_key", currency, *levels), "asset_key", "left")
+    joined = snapshot.join(dim_asset.select("asset_key", *levels), "asset_key", "left")
     finest = joined.groupBy(currency, *levels).agg(
         F.count(F.lit(1)).alias("positions"),
         F.count_if(F.col("data_quality") != "COMPLETE").alias("flagged"),

@@ -236,7 +236,7 @@ def incremental_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {model.TRANSACTIONS}
 SELECT transaction_id, user_id, asset_key, CAST(transaction_date AS TIMESTAMP) AS transaction_timestamp, transaction_date,
   transaction_type, CAST(quantity AS DECIMAL(38,9)) AS quantity, CAST(price_per_unit AS DECIMAL(38,9)) AS price_per_unit,
-  commission, 'USD' AS currency_code
+  commission, currency_code
 FROM txns WHERE transaction_type <> 'SPLIT' AND l_linenumber <> 5""")
 def transactions_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A spreadsheet export with unknown types and bad numbers, loaded by the rules."""

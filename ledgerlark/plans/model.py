@@ -84,6 +84,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("snapshot_date"),
         unit_price().alias("close_price"),
         F.col("l_quantity").cast("bigint").alias("volume"),
+        F.when(F.col("l_partkey") % 3 == 0, "ARS").otherwise("USD").alias("price_currency"),
         *TICK_ORDER,
     )
 
@@ -92,6 +93,7 @@ TICKS = f"""
 ticks AS (
   SELECT l_partkey AS asset_key, CAST(l_shipdate AS DATE) AS snapshot_date,
          {UNIT_PRICE} AS close_price, CAST(l_quantity AS BIGINT) AS volume,
+         CASE WHEN l_partkey % 3 = 0 THEN 'ARS' ELSE 'USD' END AS price_currency,
          l_orderkey, l_linenumber, l_suppkey
   FROM lineitem
 )"""
@@ -140,7 +142,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         lines.join(orders, "l_orderkey")
         .withColumn("transaction_id", trade_id)
-        .withColumn("currency_code", F.lit("USD"))
+        .withColumn("currency_code", F.when(F.col("l_suppkey") % 2 == 0, "USD").otherwise("ARS"))
     )
 
 
@@ -154,6 +156,7 @@ txns AS (
          CAST(l_quantity AS DECIMAL(18,6)) AS quantity,
          {UNIT_PRICE} AS price_per_unit,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(38,9)) AS commission,
+         CASE WHEN l_suppkey % 2 = 0 THEN 'USD' ELSE 'ARS' END AS currency_code,
          l_orderkey, l_linenumber, l_suppkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),

@@ -9,15 +9,16 @@ from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
 
 AS_OF = "1998-06-30"
-HISTORY = ("1998-06-24", "1998-06-30")
+HISTORY = ("1997-07-01", "1998-06-30")
+PER_CURRENCY = "user_id, asset_key, currency_code AS cost_basis_currency"
 
 SNAPSHOT = f"""
 {model.DAILY},
 {model.TRANSACTIONS},
-{model.positions_sql(f"transaction_date <= DATE '{AS_OF}'")},
+{model.positions_sql(f"transaction_date <= DATE '{AS_OF}'", PER_CURRENCY)},
 held AS (SELECT * FROM positions WHERE quantity_held <> 0),
 priced AS (
-  SELECT h.*, d.close_price AS current_price, d.snapshot_date AS price_date
+  SELECT h.*, d.close_price AS current_price, d.price_currency, d.snapshot_date AS price_date
   FROM (SELECT *, DATE '{AS_OF}' AS as_of FROM held) h
   ASOF LEFT JOIN daily d ON h.asset_key = d.asset_key AND h.as_of >= d.snapshot_date
 ),
@@ -29,10 +30,10 @@ costed AS (
 valued AS (SELECT *, avg_cost_basis * CAST(quantity_held AS DOUBLE) AS total_cost_basis FROM costed),
 snapshot AS (
   SELECT as_of AS snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_cost_basis,
-    'USD' AS cost_basis_currency, CAST(current_price AS DECIMAL(38,9)) AS current_price,
-    CASE WHEN price_date IS NOT NULL THEN 'USD' END AS price_currency, price_date, market_value,
-    CAST(market_value AS DOUBLE) - total_cost_basis AS unrealized_gain_loss,
-    CASE WHEN total_cost_basis <> 0
+    cost_basis_currency, CAST(current_price AS DECIMAL(38,9)) AS current_price,
+    price_currency, price_date, market_value,
+    CASE WHEN cost_basis_currency = price_currency THEN CAST(market_value AS DOUBLE) - total_cost_basis END AS unrealized_gain_loss,
+    CASE WHEN total_cost_basis <> 0 AND cost_basis_currency = price_currency
          THEN 100.0::DOUBLE * (CAST(market_value AS DOUBLE) - total_cost_basis) / total_cost_basis END AS unrealized_gain_loss_pct,
     CASE WHEN price_date IS NULL THEN 'MISSING_PRICE'
          WHEN as_of - price_date > 5 THEN 'STALE_PRICE' ELSE 'COMPLETE' END AS data_quality
@@ -41,8 +42,7 @@ snapshot AS (
 
 
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = model.ticks(spark, sf_dir).withColumn("price_currency", F.lit("USD"))
-    trades = model.transactions(spark, sf_dir)
+    prices, trades = model.ticks(spark, sf_dir), model.transactions(spark, sf_dir)
     return portfolio.portfolio_snapshot(trades, prices, AS_OF, tie_break=model.TICK_ORDER)
 
 
@@ -52,17 +52,16 @@ def portfolio_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SNAPSHOT}, {model.ASSETS}
-SELECT currency_code, exchange_country, asset_type,
-  GROUPING(currency_code, exchange_country, asset_type) AS level, count(*) AS positions,
+SELECT price_currency, exchange_country, asset_type,
+  GROUPING(price_currency, exchange_country, asset_type) AS level, count(*) AS positions,
   count(*) FILTER (data_quality <> 'COMPLETE') AS flagged,
   CAST(sum(market_value) AS DECIMAL(38,9)) AS market_value
 FROM snapshot LEFT JOIN assets USING (asset_key)
-GROUP BY GROUPING SETS ((currency_code), (currency_code, exchange_country), (currency_code, exchange_country, asset_type))""")
+GROUP BY GROUPING SETS ((price_currency), (price_currency, exchange_country), (price_currency, exchange_country, asset_type))""")
 def portfolio_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.portfolio_rollup(
         _snapshot(spark, sf_dir),
         model.assets(spark, sf_dir),
-        "currency_code",
         ["exchange_country", "asset_type"],
     )
 
@@ -80,14 +79,14 @@ SELECT transaction_id, user_id, asset_key, transaction_date,
     ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,9)) AS quantity_held
 FROM signed""")
 def holdings_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = [F.col("transaction_date"), F.shiftright("l_orderkey", 12)]
+    blocks = [F.col("transaction_date")]
     order = ["transaction_date", *model.TICK_ORDER]
     running = portfolio.running_holdings(model.transactions(spark, sf_dir), order, blocks)
     return running.select("transaction_id", "user_id", "asset_key", "transaction_date", "quantity_held")
 
 
-@query(f"""WITH {model.TRANSACTIONS}, {model.positions_sql(f"transaction_date <= DATE '{AS_OF}'")}
-SELECT user_id, asset_key, quantity_bought, purchase_cost,
+@query(f"""WITH {model.TRANSACTIONS}, {model.positions_sql(f"transaction_date <= DATE '{AS_OF}'", PER_CURRENCY)}
+SELECT user_id, asset_key, cost_basis_currency, quantity_bought, purchase_cost,
   CASE WHEN quantity_bought > 0 THEN CAST(purchase_cost AS DOUBLE) / CAST(quantity_bought AS DOUBLE) END AS avg_cost_basis
 FROM positions""")
 def cost_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +95,9 @@ def cost_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {model.DAILY}, {model.TRANSACTIONS},
 days AS (SELECT CAST(unnest(generate_series(DATE '{HISTORY[0]}', DATE '{HISTORY[1]}', INTERVAL 1 DAY)) AS DATE) AS snapshot_date),
-{model.positions_sql("transaction_date <= snapshot_date", "snapshot_date, user_id, asset_key").replace("FROM signed", "FROM signed, days")},
+{model.positions_sql("transaction_date <= snapshot_date", "snapshot_date, " + PER_CURRENCY).replace("FROM signed", "FROM signed, days")},
 priced AS (
-  SELECT p.*, d.close_price AS current_price, d.snapshot_date AS price_date
+  SELECT p.*, d.close_price AS current_price, d.price_currency, d.snapshot_date AS price_date
   FROM (SELECT * FROM positions WHERE quantity_held <> 0) p
   ASOF LEFT JOIN daily d ON p.asset_key = d.asset_key AND p.snapshot_date >= d.snapshot_date
 ),
@@ -108,10 +107,10 @@ costed AS (
   FROM priced
 ),
 valued AS (SELECT *, avg_cost_basis * CAST(quantity_held AS DOUBLE) AS total_cost_basis FROM costed)
-SELECT snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_cost_basis,
-  CAST(current_price AS DECIMAL(38,9)) AS current_price, price_date, market_value,
-  CAST(market_value AS DOUBLE) - total_cost_basis AS unrealized_gain_loss,
-  CASE WHEN total_cost_basis <> 0
+SELECT snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_cost_basis, cost_basis_currency,
+  CAST(current_price AS DECIMAL(38,9)) AS current_price, price_currency, price_date, market_value,
+  CASE WHEN cost_basis_currency = price_currency THEN CAST(market_value AS DOUBLE) - total_cost_basis END AS unrealized_gain_loss,
+  CASE WHEN total_cost_basis <> 0 AND cost_basis_currency = price_currency
        THEN 100.0::DOUBLE * (CAST(market_value AS DOUBLE) - total_cost_basis) / total_cost_basis END AS unrealized_gain_loss_pct,
   CASE WHEN price_date IS NULL THEN 'MISSING_PRICE'
        WHEN snapshot_date - price_date > 5 THEN 'STALE_PRICE' ELSE 'COMPLETE' END AS data_quality
@@ -148,17 +147,25 @@ def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     dollars = days.agg(F.min("rate_date").alias("rate_date")).select(
         F.lit("USD").alias("currency_code"), "rate_date", F.lit(1).cast("decimal(15,9)").alias("rate_to_usd")
     )
-    return pesos.unionByName(dollars)
+    # Every rate is delivered a second time, corrected downwards; the higher one counts.
+    corrected = F.col("rate_to_usd") - F.lit("0.000000001").cast("decimal(15,9)")
+    again = pesos.withColumn("rate_to_usd", corrected.cast("decimal(15,9)"))
+    return pesos.unionByName(again).unionByName(dollars)
 
 
 @query(f"""WITH {model.ASSETS}, {model.DAILY},
 days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_date FROM orders),
-rates AS (
+delivered AS (
   SELECT 'ARS' AS currency_code, rate_date,
     CAST(CAST(800 + dayofyear(rate_date) AS DECIMAL(9,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(15,9)) AS rate_to_usd
   FROM days WHERE isodow(rate_date) = 1
   UNION ALL SELECT 'USD', min(rate_date), CAST(1 AS DECIMAL(15,9)) FROM days
 ),
+rates AS (
+  SELECT currency_code, rate_date, max(rate_to_usd) AS rate_to_usd
+  FROM (SELECT * FROM delivered UNION ALL SELECT currency_code, rate_date, CAST(rate_to_usd - 0.000000001 AS DECIMAL(15,9))
+        FROM delivered WHERE currency_code = 'ARS') GROUP BY ALL
+),
 held AS (SELECT asset_key, snapshot_date, CAST(sum(volume) AS DECIMAL(38,9)) AS quantity FROM ticks GROUP BY ALL),
 local AS (
   SELECT h.*, close_price, currency_code,
@@ -193,7 +200,7 @@ def fact_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim_date = calendar.spine_between(bounds).select(
         "full_date", "date_key", "year", "quarter", "month_name", "day_of_week"
     )
-    return portfolio.enrich(model.ticks(spark, sf_dir), dim_asset, dim_date, "snapshot_date")
+    return portfolio.enrich(model.ticks(spark, sf_dir).drop("price_currency"), dim_asset, dim_date, "snapshot_date")
 
 
 @query(f"""WITH {model.ASSETS},

@@ -8,7 +8,6 @@ from ledgerlark.functions import evaluate_once
 from ledgerlark.operators import bonds, quality
 from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
-from ledgerlark.session import use_all_cores
 from ledgerlark.sources import landing, pages, payloads, text
 from ledgerlark.sources.text import WS
 
@@ -116,7 +115,7 @@ def _price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(F.col("l_returnflag") == "N", F.concat_ws("\n", header, old, new)).otherwise(
         F.concat_ws("\r\n", header, new, old, F.lit(""))
     )
-    lines = use_all_cores(model.table(spark, sf_dir, "lineitem"))
+    lines = model.table(spark, sf_dir, "lineitem")
     return evaluate_once(lines, text=body).select(*LINE_KEY, "text")
 
 
@@ -156,7 +155,7 @@ def series_json_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     error = F.lit('{"Error Message": "Invalid API call"}')
     payload = F.when(F.col("l_returnflag") == "N", error).otherwise(series)
-    lines = use_all_cores(model.table(spark, sf_dir, "lineitem"))
+    lines = model.table(spark, sf_dir, "lineitem")
     rows = evaluate_once(lines, symbol=F.concat_ws("-", *LINE_KEY), payload=payload)
     return payloads.latest_from_series_json(rows)
 
@@ -213,7 +212,7 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     no = F.col("l_linenumber")
     spanish = F.replace(F.replace(day(30), F.lit("-Jan-"), F.lit("-ene-")), F.lit("-Aug-"), F.lit("-ago-"))
     cells = evaluate_once(
-        use_all_cores(model.table(spark, sf_dir, "lineitem")),
+        model.table(spark, sf_dir, "lineitem"),
         ticker=F.concat(F.lit("S"), (F.col("l_suppkey") % 90 + 10).cast("string"), F.lit("E5")),
         issue=day(0),
         payment=day(30),

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings every plan in this package relies on.
 RUNTIME_CONF = {
@@ -37,41 +36,20 @@ def local_session(
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    if folder:
-        builder = builder.config(WORK_DIR_CONF, folder)
+    builder = builder.config(WORK_DIR_CONF, folder or tempfile.mkdtemp(prefix="ledgerlark-"))
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-@cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerlark-{application}-")
-
-
 def work_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only when the whole session is one machine.
-    """
+    """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``."""
     named = spark.conf.get(WORK_DIR_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError(f"set {WORK_DIR_CONF} to a folder all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread a frame whose input has fewer splits than the cluster has cores.
-
-    For heavy per-row work over a small input. An input of many splits, which is any large
-    one, is left as it is: no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from ledgerlark.operators.merge import append_new, upsert
 from ledgerlark.schemas import TABLES
 
-# Symbols per manifest document: keeps the lists inside one document small.
-MANIFEST_DOCUMENT_SYMBOLS = 5000
-
 
 def append_fact(
     df: DataFrame,
@@ -23,15 +20,12 @@ def append_fact(
 ) -> None:
     """Add rows to a day-partitioned fact, clustered across and inside its files.
 
-    Write tasks are ranges of (day, cluster key): small days share a task, a hot day is cut
-    at its cluster keys, and every file holds a narrow key range that scans can skip. An
+    Write tasks are ranges of (day, cluster key), as many as adaptive execution finds right:
+    small days share a task, a hot day is cut at its cluster keys, and every file holds a narrow key range that scans can skip. An
     ``observation`` gets the number of rows written as ``inserted``; it looks behind the
     range shuffle, whose sampling reads the rows before it twice.
     """
-    context = df.sparkSession.sparkContext
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(width, context.defaultParallelism)
-    laid_out = df.repartitionByRange(tasks, partition, *cluster).sortWithinPartitions(partition, *cluster)
+    laid_out = df.repartitionByRange(partition, *cluster).sortWithinPartitions(partition, *cluster)
     if observation is not None:
         laid_out = laid_out.observe(observation, F.count(F.lit(1)).alias("inserted"))
     (
@@ -85,10 +79,8 @@ def manifest_documents(
     )
 
 
-def write_manifest(status: DataFrame, path: str, extracted_at: Column) -> None:
-    """Write manifests as JSON lines, with as many documents as the symbol count needs."""
-    sizes = status.groupBy("run_date", "mode").count().agg(F.max("count").alias("n")).first()
-    n_documents = max(1, -(-(sizes["n"] or 0) // MANIFEST_DOCUMENT_SYMBOLS))
+def write_manifest(status: DataFrame, path: str, extracted_at: Column, n_documents: int = 1) -> None:
+    """Write manifests as JSON lines, one document a run unless told otherwise."""
     manifest_documents(status, extracted_at, n_documents).write.mode("append").json(path)
 
 

@@ -12,8 +12,6 @@ from ledgerlark.session import fresh_path
 
 BAD_LINE = "_bad_line"
 FILE = "source_file"
-# File names that may be broadcast; a hundred thousand paths are some ten megabytes.
-MAX_BROADCAST_FILES = 100_000
 
 
 def scan_prices_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -82,9 +80,8 @@ def split_files(
     """Split parsed rows by file verdict. Runs one pass over the rows.
 
     The verdict is an aggregate over the file, with one partial row per task and file, so a
-    file larger than one task is no obstacle. It is written to the work folder once. Rows
-    are then not shuffled: the few bad file names are broadcast, after a look at how many
-    there are; beyond ``MAX_BROADCAST_FILES`` they are joined by shuffle.
+    file larger than one task is no obstacle. It is written to the work folder once, so the
+    size of the list of bad files is known, and Spark picks the join by it.
     """
     spark = parsed.sparkSession
     path = fresh_path(spark, "file-verdicts")
@@ -94,10 +91,7 @@ def split_files(
     verdicts = spark.read.schema(f"{FILE} string, lines bigint, bad_lines bigint").parquet(path)
 
     bad = verdicts.filter("bad_lines > 0").select(FILE)
-    n_bad = bad.limit(MAX_BROADCAST_FILES + 1).count()
-    rows = parsed
-    if n_bad:
-        rows = parsed.join(F.broadcast(bad) if n_bad <= MAX_BROADCAST_FILES else bad, FILE, "left_anti")
+    rows = parsed.join(bad, FILE, "left_anti")
     status = (
         F.when(F.col("bytes").isNull(), "missing")
         .when(F.col("bad_lines") > 0, "rejected")

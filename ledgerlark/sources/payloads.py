@@ -39,11 +39,37 @@ def gate_payloads(
 
 
 def parse_price_payloads(df: DataFrame, text: str = "text", daily: bool = False) -> DataFrame:
-    """Price rows out of CSV payloads: header line skipped, one row per line.
+    """Price rows out of the usable CSV payloads: header line skipped, one row per line.
+
+    A refused answer, an error body or a line that is no price row gives no row here; see
+    :func:`rejected_price_lines` for what was left out.
 
     With ``daily`` only the newest row of each payload stays, chosen by its date. The
     choice is made on the payload's own lines, so neither form shuffles.
     """
+    rows = _price_lines(df, text, daily)
+    return rows.filter(f"NOT {BAD_PRICE_LINE}").select(*[c for c in df.columns if c != text], f"_r.{PAYLOAD_PRICES.names[0]}",
+                                                      *[f"_r.{n}" for n in PAYLOAD_PRICES.names[1:]])
+
+
+def rejected_price_lines(df: DataFrame, text: str = "text") -> DataFrame:
+    """The lines of price payloads that are no price rows, with a reason."""
+    keep = [c for c in df.columns if c != text]
+    refused = F.contains(F.col(text), F.lit(QUOTA_MARKER))
+    reason = F.when(F.col("_refused"), "rate_limited").otherwise("corrupt_line")
+    marked = _price_lines(df.withColumn("_refused", refused), text, False, gated=False)
+    bad = marked.filter(f"_refused OR {BAD_PRICE_LINE}")
+    return bad.select(*keep, F.col("_line").alias("line"), reason.alias("reject_reason"))
+
+
+# A line without a date is none either.
+BAD_PRICE_LINE = "(_r._bad IS NOT NULL OR _r.timestamp IS NULL)"
+
+
+def _price_lines(df: DataFrame, text: str, daily: bool, gated: bool = True) -> DataFrame:
+    """The body lines of payloads, parsed into ``_r``; ``_r._bad`` holds a line that does not parse."""
+    if gated:
+        df = df.filter(F.col(text).isNotNull() & ~F.contains(F.col(text), F.lit(QUOTA_MARKER)))
     keep = [c for c in df.columns if c != text]
     # Lines are their own column, so that the split is not repeated below.
     split = F.split(F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")), "\n")
@@ -62,7 +88,8 @@ def parse_price_payloads(df: DataFrame, text: str = "text", daily: bool = False)
         )["line"]
         body = F.when(F.size("_lines") > 1, F.array(newest))
     rows = lined.select(*keep, F.explode(body).alias("_line"))
-    return rows.select(*keep, F.from_csv("_line", schema).alias("_r")).select(*keep, "_r.*")
+    parsed = F.from_csv("_line", f"{schema}, `_bad` string", {"columnNameOfCorruptRecord": "_bad"})
+    return evaluate_once(rows, _r=parsed)
 
 
 def latest_from_series_json(

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlark.operators.merge import append_new
+
 # Alignment period, hold time and threshold of the alert.
 ALIGNMENT, HOLD, THRESHOLD = "60 seconds", "300 seconds", 0
 
@@ -63,6 +65,31 @@ def dedupe(events: DataFrame, keys: Sequence[str], ts: str = "ts", delay: str =
     return events.dropDuplicates(list(keys))
 
 
+def append_once(stream: DataFrame, keys: Sequence[str], ts: str, path: str, checkpoint: str) -> None:
+    """Run a stream into a table that holds every key once, however late a row comes.
+
+    A micro-batch adds the rows that the days it touches do not hold yet, so a key must come
+    back with its own time. It writes partitions (day, batch) of its own and overwrites only these: a
+    batch repeated after a lost driver leaves no duplicate. Nothing is dropped for being late.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.withColumn("day", F.to_date(ts))
+        held = spark.read.schema(dated.schema.add("batch", "long")).parquet(path).filter(F.col("batch") != batch_id)
+        touched = held.join(dated.select("day").distinct(), "day", "left_semi")
+        fresh = append_new(touched, dated, keys, dedupe_by=[ts])
+        (
+            fresh.withColumn("batch", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path)
+        )
+
+    jvm = stream.sparkSession.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(stream.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Run a stream over everything that is there, into an exactly-once file sink."""
     query = (

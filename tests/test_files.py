@@ -23,9 +23,9 @@ def land(folder: Path, **contents):
         (folder / f"{name}.csv").write_text(text)
 
 
-@pytest.mark.parametrize("broadcastable", [100, 1])
-def test_only_whole_good_files_load(spark, tmp_path, monkeypatch, broadcastable):
-    monkeypatch.setattr(files, "MAX_BROADCAST_FILES", broadcastable)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_only_whole_good_files_load(spark, tmp_path, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     raw = tmp_path / "raw"
     land(
         raw,
@@ -74,12 +74,11 @@ def test_manifest_document_and_missing_manifest(spark, tmp_path):
     assert landing.scan_manifest(spark, str(tmp_path / "none.json")).count() == 0
 
 
-def test_written_manifest(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MANIFEST_DOCUMENT_SYMBOLS", 3)
+def test_written_manifest(spark, tmp_path):
     rows = [("2025-01-02", "daily", f"s{i}", "US", "N", f"u{i}" if i % 2 else None) for i in range(10)]
     status = spark.createDataFrame(rows, "run_date string, mode string, symbol string, country string, exchange string, uri string")
     path = str(tmp_path / "manifest")
-    tables.write_manifest(status, path, F.lit("2025-01-02T10:00:00"))
+    tables.write_manifest(status, path, F.lit("2025-01-02T10:00:00"), n_documents=4)
     docs = spark.read.json(path)
     assert docs.count() > 1 and {r[0] for r in docs.select("results.total").collect()} == {10}
     assert docs.select(F.explode("results.failed")).count() == 5

@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerlark.plans import ORACLES, QUERIES
 from tools.compare import difference, tables
 
 from conftest import SF_DIR
@@ -13,13 +14,16 @@ def duck():
     return tables(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
-    assert name in oracle_sql()
     assert difference(df, duck, oracle_sql()[name]) is None
 
 
+def test_every_query_of_the_library_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 

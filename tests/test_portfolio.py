@@ -85,3 +85,15 @@ def test_missing_assets(spark):
 def test_as_of_includes_the_day(txns):
     held = {r["asset_key"]: r["quantity_held"] for r in portfolio.holdings(txns, "2024-01-03").collect()}
     assert held[1] == 15
+
+
+def test_currencies_are_never_mixed(spark, txns, prices):
+    pesos = txns.filter("asset_key = 1 AND transaction_type = 'BUY'").withColumn("currency_code", F.lit("ARS"))
+    both = txns.unionByName(pesos)
+    cost = {r["cost_basis_currency"]: r["avg_cost_basis"] for r in portfolio.cost_basis(both, "2024-01-06").filter("asset_key = 1").collect()}
+    assert cost == {"USD": 6.0, "ARS": 6.0}
+    got = {r["cost_basis_currency"]: r for r in portfolio.portfolio_snapshot(both, prices, "2024-01-06").filter("asset_key = 1").collect()}
+    assert got["USD"]["unrealized_gain_loss"] == 45.0 and got["ARS"]["unrealized_gain_loss"] is None
+    assert got["ARS"]["unrealized_gain_loss_pct"] is None and got["ARS"]["market_value"] == 180
+    days = portfolio.portfolio_history(both, prices, "2024-01-02", "2024-01-06").filter("asset_key = 1")
+    assert days.groupBy("cost_basis_currency").count().count() == 2

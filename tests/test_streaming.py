@@ -52,3 +52,22 @@ def test_stream_equals_batch_over_many_files(spark, sf_dir):
 def test_dedupe_is_the_same_in_batch(spark):
     df = events(spark, [(1, "s", "x", "2025-01-01"), (1, "s", "x", "2025-01-01"), (2, "s", "x", "2025-01-01")])
     assert monitor.dedupe(df, ["id"]).count() == 2
+
+
+def test_no_late_row_is_lost(spark, sf_dir):
+    source, out = fresh_path(spark, "shuffled-events"), fresh_path(spark, "once")
+    table = model.table(spark, sf_dir, "events")
+    table.unionByName(table).repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    monitor.append_once(stream, ["event_id"], "ts", f"{out}/data", f"{out}/checkpoint")
+    got = spark.read.parquet(f"{out}/data").select(*table.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, table.collect()))
+
+
+def test_a_folder_streams_like_a_file(spark, sf_dir, tmp_path):
+    from ledgerlark.plans import streams
+
+    table = model.table(spark, sf_dir, "events")
+    table.repartitionByRange(4, "ts").write.parquet(str(tmp_path / "events.parquet"))
+    one, many = (streams.error_rate_stream(spark, d) for d in (sf_dir, str(tmp_path)))
+    assert one.count() > 0 and sorted(map(str, one.collect())) == sorted(map(str, many.collect()))

@@ -121,11 +121,16 @@ def test_payload_gate(spark):
 
 
 def test_payload_rows(spark):
-    csv = "timestamp,open,high,low,close,volume\n2024-10-24,1,2,0.5,150,10\r\n2024-10-25,1,2,0.5,151.75,11\n"
-    df = spark.createDataFrame([("AAPL", csv), ("X", "timestamp,open")], "symbol string, text string")
+    csv = "timestamp,open,high,low,close,volume\n2019-03-04,7,9,6.5,8.25,40\r\n2019-03-05,8,9,7.5,8.5,41\n"
+    df = spark.createDataFrame(
+        [("QQZ", csv), ("X", "timestamp,open"), ("E", '{\n "Error Message": "no"\n}'), ("N", None),
+         ("L", "a\n" + payloads.QUOTA_MARKER + "\n2019-03-05,8,9,7.5,8.5,41"), ("H", "h\n2019-03-05,8,9,7.5,x,41")], "symbol string, text string")
     assert payloads.parse_price_payloads(df).count() == 2
     newest = payloads.parse_price_payloads(df, daily=True).collect()
-    assert [(r["symbol"], str(r["timestamp"]), r["close"], r["volume"]) for r in newest] == [("AAPL", "2024-10-25", 151.75, 11)]
+    assert [(r["symbol"], str(r["timestamp"]), r["close"], r["volume"]) for r in newest] == [("QQZ", "2019-03-05", 8.5, 41)]
+    rejected = payloads.rejected_price_lines(df).collect()
+    assert sorted((r["symbol"], r["reject_reason"]) for r in rejected) == [
+        ("E", "corrupt_line"), ("E", "corrupt_line"), ("H", "corrupt_line"), ("L", "rate_limited"), ("L", "rate_limited")]
 
 
 def test_series_json(spark):
