@@ -86,14 +86,13 @@ def append_new(
 ) -> DataFrame:
     """The source rows an idempotent append would add: one per key, none already present.
 
-    Null keys count as equal here, so that a second run adds nothing either.
+    Null keys count as equal here, so that a second run adds nothing either. The source is
+    reduced first, by partial aggregates, so a key of many rows is one row in the join.
     """
     have = target.select(*[F.col(k).alias(f"_have_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys])
-    fresh = source.join(have, same, "left_anti")
-    if dedupe_by is None:
-        return fresh.dropDuplicates(list(keys))
-    return latest_per_key(fresh, keys, dedupe_by)
+    once = source.dropDuplicates(list(keys)) if dedupe_by is None else latest_per_key(source, keys, dedupe_by)
+    return once.join(have, same, "left_anti")
 
 
 def merge_preview(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

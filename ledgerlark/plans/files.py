@@ -43,7 +43,6 @@ def _land_months(spark: SparkSession, sf_dir: str, path: str) -> None:
             F.lit("US").alias("country"),
             F.lit("false").alias("is_adjusted"),
         )
-        .repartition("batch")
         .write.partitionBy("batch")
         .option("header", True)
         .csv(path)

@@ -9,7 +9,7 @@ from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
 
 AS_OF = "1998-06-30"
-HISTORY = ("1997-07-01", "1998-06-30")
+HISTORY = ("1998-06-01", "1998-06-30")
 PER_CURRENCY = "user_id, asset_key, currency_code AS cost_basis_currency"
 
 SNAPSHOT = f"""

@@ -186,8 +186,8 @@ def _merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last odd-lot line of each asset that had one."""
-    lots = model.table(spark, sf_dir, "lineitem").filter("l_quantity <= 2").select(
+    """The lines of each asset; the last one counts."""
+    lots = model.table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("asset_key"),
         F.lit("renamed").alias("ticker_symbol"),
         F.col("l_extendedprice").cast("decimal(38,9)").alias("amount_at_payment"),
@@ -206,7 +206,7 @@ target AS (
 source AS (
   SELECT l_partkey AS asset_key, 'renamed' AS ticker_symbol,
          CAST(l_extendedprice AS DECIMAL(38,9)) AS amount_at_payment, l_returnflag AS type
-  FROM lineitem WHERE l_quantity <= 2
+  FROM lineitem
   QUALIFY row_number() OVER (PARTITION BY l_partkey
     ORDER BY l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) = 1
 )"""

@@ -20,20 +20,37 @@ class IngestPaths:
     reports: str
     checkpoint: str
     archive: str | None = None
+    files_a_batch: int = 1000
 
 
-def open_landing(spark: SparkSession, paths: IngestPaths, schema: T.StructType = STAGED_PRICES) -> DataFrame:
-    """The landed files as a stream; loaded files move to the archive if there is one."""
-    reader = (
-        spark.readStream.schema(with_bad_line(schema))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_LINE)
-        .option("recursiveFileLookup", True)
-    )
-    if paths.archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", paths.archive)
-    return reader.csv(paths.landing).select("*", F.col("_metadata.file_path").alias(FILE))
+# The columns of Spark's whole-file reader; only names and lengths are read here.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def open_landing(spark: SparkSession, paths: IngestPaths) -> DataFrame:
+    """Names and lengths of the landed CSV files as a stream, files without rows included."""
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", paths.files_a_batch)
+    found = reader.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(paths.landing)
+    return found.select(F.col("_metadata.file_path").alias(FILE), F.col("length").alias("bytes"))
+
+
+def read_files(spark: SparkSession, names: list[str], schema: T.StructType = STAGED_PRICES) -> DataFrame:
+    reader = spark.read.schema(with_bad_line(schema)).option("header", True).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", BAD_LINE).csv(names)
+    return rows.select("*", F.col("_metadata.file_path").alias(FILE))
+
+
+def move_file(spark: SparkSession, name: str, landing: str, archive: str) -> None:
+    """Move a landed file to the same place under the archive; nothing to do if it is gone."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+    source = path(name)
+    system = source.getFileSystem(conf)
+    root, whole = system.makeQualified(path(landing)).toUri().getPath(), source.toUri().getPath()
+    target = path(f"{archive.rstrip('/')}/{whole[len(root):].lstrip('/')}")
+    if system.exists(source):
+        system.mkdirs(target.getParent())
+        system.rename(source, target)
 
 
 def ingest_new_files(
@@ -47,14 +64,19 @@ def ingest_new_files(
     The checkpoint remembers the files, so a rerun adds nothing. A batch writes its own
     ``ingest_batch`` partition and overwrites only that, so a batch that is repeated after
     a lost driver or executor leaves no duplicate. A file with a bad line is reported as
-    rejected and none of its rows is kept; once corrected, deliver it under a new name.
+    rejected and none of its rows is kept; once corrected, deliver it under a new name. Files
+    without rows are reported too. Loaded files move to the archive, if there is one, after
+    facts and report are written; rejected ones stay where they landed.
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
 
     def load(batch: DataFrame, batch_id: int) -> None:
         columns = STAGED_PRICES.fieldNames()
-        listed = batch.select(FILE).distinct().withColumn("bytes", F.lit(0))
-        rows, report = split_files(batch, listed, columns)
+        names = [r[FILE] for r in batch.select(FILE).collect()]  # ``files_a_batch`` at most
+        if not names:
+            return
+        listed = spark.createDataFrame(batch.select(FILE, "bytes").collect(), f"{FILE} string, bytes bigint")
+        rows, report = split_files(read_files(spark, names), listed, columns)
         outputs = ((to_price_fact(rows, stamp, source), paths.facts), (report, paths.reports))
         for df, path in outputs:
             (
@@ -64,6 +86,10 @@ def ingest_new_files(
                 .partitionBy("ingest_batch")
                 .parquet(path)
             )
+        if paths.archive:
+            stored = spark.read.parquet(paths.reports).filter((F.col("ingest_batch") == batch_id) & (F.col("status") == "loaded"))
+            for row in stored.select(FILE).collect():
+                move_file(spark, row[FILE], paths.landing, paths.archive)
 
     query = (
         open_landing(spark, paths)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlark.operators.merge import append_new
 
@@ -76,7 +76,8 @@ def append_once(stream: DataFrame, keys: Sequence[str], ts: str, path: str, chec
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dated = batch.withColumn("day", F.to_date(ts))
-        held = spark.read.schema(dated.schema.add("batch", "long")).parquet(path).filter(F.col("batch") != batch_id)
+        stored = T.StructType([*dated.schema.fields, T.StructField("batch", T.LongType())])
+        held = spark.read.schema(stored).parquet(path).filter(F.col("batch") != batch_id)
         touched = held.join(dated.select("day").distinct(), "day", "left_semi")
         fresh = append_new(touched, dated, keys, dedupe_by=[ts])
         (

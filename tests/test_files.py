@@ -94,13 +94,15 @@ def test_incremental_ingest(spark, tmp_path):
         ingest_new_files(spark, paths, F.lit("2025-01-05 00:00:00"))
         return spark.read.parquet(paths.facts).count()
 
-    land(raw / "one", a=HEADER + line("2025-01-02") + line("2025-01-03"), bad=HEADER + line("2025-01-02", "n/a"))
+    land(raw / "one", a=HEADER + line("2025-01-02") + line("2025-01-03"), bad=HEADER + line("2025-01-02", "n/a"), bare=HEADER)
     assert run() == 2
     assert run() == 2
     land(raw / "two", b=HEADER + line("2025-01-04"))
     assert run() == 3
     reports = spark.read.parquet(paths.reports)
-    assert {Path(r[files.FILE]).stem: r["status"] for r in reports.collect()} == {"a": "loaded", "bad": "rejected", "b": "loaded"}
+    assert {Path(r[files.FILE]).stem: r["status"] for r in reports.collect()} == {"a": "loaded", "bad": "rejected", "b": "loaded", "bare": "loaded"}
+    assert {p.stem for p in raw.rglob("*.csv")} == {"bad"}
+    assert {str(p.relative_to(paths.archive)) for p in Path(paths.archive).rglob("*.csv")} == {"one/a.csv", "one/bare.csv", "two/b.csv"}
     fact = spark.read.parquet(paths.facts).filter("snapshot_date = '2025-01-04'").first()
     assert (fact["data_source"], fact["is_adjusted"], float(fact["close_price"])) == ("alphavantage", False, 1.75)
 
