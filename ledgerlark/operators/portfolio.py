@@ -314,10 +314,14 @@ def missing_assets(txns: DataFrame, dim_asset: DataFrame, natural: Sequence[str]
     return unknown.select(asset_key(*natural).alias("asset_key"), *natural)
 
 
-def investment_snapshot(holding: DataFrame, prices: DataFrame) -> DataFrame:
-    """Local value of each asset held per day: quantity times the day's price."""
+def investment_snapshot(holding: DataFrame, prices: DataFrame | None = None) -> DataFrame:
+    """Local value of each asset held per day: quantity times the day's price.
+
+    Without ``prices`` the holdings carry their ``close_price`` and nothing is joined.
+    """
+    priced = holding if prices is None else holding.join(prices, ["asset_key", "snapshot_date"])
     value = F.col("quantity").cast(QUANTITY) * F.col("close_price").cast(PRICE)
-    return holding.join(prices, ["asset_key", "snapshot_date"]).select(
+    return priced.select(
         F.col("snapshot_date").cast("timestamp").alias("snapshot_timestamp"),
         "snapshot_date",
         "asset_key",

@@ -9,7 +9,7 @@ from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
 
 AS_OF = "1998-06-30"
-HISTORY = ("1998-06-01", "1998-06-30")
+HISTORY = ("1998-06-17", "1998-06-30")
 PER_CURRENCY = "user_id, asset_key, currency_code AS cost_basis_currency"
 
 SNAPSHOT = f"""
@@ -180,8 +180,9 @@ FROM local l ASOF LEFT JOIN rates r ON l.currency_code = r.currency_code AND l.s
 def fx_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = model.ticks(spark, sf_dir)
     quantity = F.sum("volume").cast("decimal(38,9)").alias("quantity")
-    held = ticks.groupBy("asset_key", "snapshot_date").agg(quantity)
-    local = portfolio.investment_snapshot(held, model.daily_prices(spark, sf_dir))
+    last = F.max_by("close_price", F.struct(*model.TICK_ORDER)).alias("close_price")
+    held = ticks.groupBy("asset_key", "snapshot_date").agg(quantity, last)  # one pass for both
+    local = portfolio.investment_snapshot(held)
     currency = model.assets(spark, sf_dir).select("asset_key", "currency_code")
     facts = local.join(currency, "asset_key", "left")
     usd = asof.convert_currency(
