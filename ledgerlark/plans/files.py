@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlark.functions import split_list
-from ledgerlark.operators import bonds, calendar, quality
+from ledgerlark.functions import evaluate_once, split_list
+from ledgerlark.operators import bonds, calendar, prices, quality
 from ledgerlark.plans import model
 from ledgerlark.plans.calendars import ORDER_SPINE
 from ledgerlark.plans.prices import RECORDS, _records, as_wall_clock
 from ledgerlark.plans.registry import query
-from ledgerlark.schemas import BATCH_RECORD, BOND_STAGING, DIM_ASSET, TRANSACTIONS
+from ledgerlark.schemas import BATCH_RECORD, BOND_STAGING, DIM_ASSET, STAGED_PRICES, TRANSACTIONS
 from ledgerlark.session import fresh_path
 from ledgerlark.sinks import tables
-from ledgerlark.sources import files, landing
-from ledgerlark.streaming.ingest import IngestPaths, ingest_new_files
+from ledgerlark.sources import files, landing, payloads
+from ledgerlark.streaming.ingest import FILES, IngestPaths, ingest_new_files
 
 # --- scans ---------------------------------------------------------------
 
@@ -232,6 +232,115 @@ def incremental_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_wall_clock(spark.read.parquet(paths.facts).drop("ingest_batch"))
 
 
+LANDED_BATCH = """CASE WHEN month(l_shipdate) = 2 AND l_linenumber = 7 THEN 'bad-' ELSE 'good-' END
+  || strftime(l_shipdate, '%Y-%m')"""
+
+
+@query(f"""SELECT batch, if(starts_with(batch, 'bad'), 'rejected', 'loaded') AS status,
+  if(starts_with(batch, 'bad'), 'landing', 'archive') AS place, count(*) AS lines,
+  count(*) FILTER (starts_with(batch, 'bad')) AS bad_lines FROM (SELECT {LANDED_BATCH} AS batch FROM lineitem) GROUP BY batch
+UNION ALL SELECT 'none', 'loaded', 'archive', 0, 0""")
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an ingestion made of every landed file, and where the file is afterwards.
+
+    A delivery is a folder per batch: the files of a bad one have prices that do not parse, and
+    one file has a header line only.
+    """
+    base = fresh_path(spark, "landed")
+    paths = IngestPaths(*[f"{base}/{n}" for n in ("raw", "facts", "reports", "checkpoint", "archive")])
+    bad = (F.month("l_shipdate") == 2) & (F.col("l_linenumber") == 7)
+    name = F.when(bad, "bad-").otherwise("good-")
+    price, day = F.col("l_extendedprice").cast("string"), F.col("l_shipdate").cast("date")
+    lines = model.table(spark, sf_dir, "lineitem").select(
+        F.concat(name, F.date_format("l_shipdate", "yyyy-MM")).alias("batch"),
+        day.alias("timestamp"),
+        F.when(bad, "n/a").otherwise(price).alias("open"),
+        *[price.alias(c) for c in ("high", "low", "close")],
+        F.col("l_quantity").cast("bigint").alias("volume"),
+        F.col("l_partkey").cast("string").alias("ticker_symbol"),
+        F.col("l_suppkey").cast("string").alias("exchange_name"),
+        F.lit("US").alias("country"),
+        F.lit("false").alias("is_adjusted"),
+    )
+    tables.write_raw_csv(lines, paths.landing, ["batch"])
+    tables.write_raw_csv(lines.drop("batch").limit(0), f"{paths.landing}/batch=none")
+    ingest_new_files(spark, paths, model.ingested_at())
+
+    def present(root: str, place: str) -> DataFrame:
+        reader = spark.read.format("binaryFile").schema(FILES).option("pathGlobFilter", "*.csv")
+        found = reader.option("recursiveFileLookup", True).load(root)
+        return found.select(_batch_file("path"), F.lit(place).alias("place"))
+
+    places = present(paths.landing, "landing").unionByName(present(paths.archive, "archive"))
+    report = spark.read.parquet(paths.reports).select("*", _batch_file(files.FILE))
+    counts = [F.sum(c).alias(c) for c in ("lines", "bad_lines")]
+    return report.join(places, ["batch", "name"], "left").groupBy("batch", "status", "place").agg(*counts)
+
+
+def _batch_file(path: str) -> Column:
+    """Batch and name of a landed file, as two columns."""
+    parts = F.split(F.regexp_extract(path, "batch=([^/]+/[^/]+)$", 1), "/")
+    return F.inline(F.array(F.struct(parts[0].alias("batch"), parts[1].alias("name"))))
+
+
+@query(f"""WITH {model.ASSETS}, quotes AS (
+  SELECT l_partkey, l_linenumber, CAST(l_shipdate AS DATE) AS "timestamp", l_extendedprice AS "open", l_extendedprice AS high,
+    l_extendedprice AS low, l_extendedprice AS "close", CAST(l_quantity AS BIGINT) AS volume FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_partkey
+    ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) = 1
+), staged AS (
+  SELECT quotes.*, replace(ticker_symbol, ' ', '') || '-' || asset_key AS ticker_symbol, exchange_code AS exchange_name,
+    false AS is_adjusted
+  FROM assets JOIN quotes ON l_partkey = asset_key
+  WHERE is_active AND exchange_country = 'US' AND asset_type IN ('STOCK', 'ETF') AND l_linenumber < 7
+) SELECT *, CAST(ingestion_timestamp AS TIMESTAMP) AS extracted_at, 'daily' AS mode FROM ({model.PRICE_FACT})""")
+def daily_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One daily run: universe, answers, gate, parse, listing, landing, manifest, load, fact.
+
+    The answer for a symbol is its last order line; line number 7 stands for a refused call.
+    """
+    base = fresh_path(spark, "daily")
+    symbol = F.concat_ws("-", F.replace("ticker_symbol", F.lit(" "), F.lit("")), "asset_key")
+    universe = prices.symbol_universe(model.assets(spark, sf_dir).withColumn("ticker_symbol", symbol))
+    answers = _daily_answers(spark, sf_dir).join(universe.select(F.col("ticker_symbol").alias("symbol")), "symbol")
+    usable = payloads.gate_payloads(answers).filter("payload_status = 'usable'").drop("payload_status")
+    staged = prices.with_listing(payloads.parse_price_payloads(usable, daily=True), universe)
+    cells = staged.select(*STAGED_PRICES.fieldNames())
+    run_date, mode = F.lit("2025-01-02"), F.lit("daily")
+    place = landing.landing_path(mode, F.lit("prices"), F.col("country"), F.col("exchange_name"), F.col("ticker_symbol"), run_date)
+    tables.write_raw_csv(cells.withColumn("landing_path", place), f"{base}/landed", ["landing_path"])
+
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{base}/landed")
+    listed = found.select(F.col("_metadata.file_path").alias("uri"), "landing_path")
+    uris = landing.parse_landing_path(listed, "landing_path").select("symbol", "uri")
+    tried = universe.select(
+        F.col("ticker_symbol").alias("symbol"), F.col("exchange_country").alias("country"), F.col("exchange_code").alias("exchange")
+    )
+    status = tried.join(uris, "symbol", "left").select(run_date.alias("run_date"), mode.alias("mode"), "*")
+    tables.write_manifest(status, f"{base}/manifest", model.ingested_at())
+
+    manifest = landing.scan_manifest(spark, f"{base}/manifest")
+    rows, _ = files.load_files_atomic(spark, f"{base}/landed/*/*.csv", expected=manifest)
+    fact = prices.to_price_fact(rows, model.ingested_at())
+    stamped = prices.with_lineage(fact, "daily", model.ingested_at())
+    return as_wall_clock(stamped).withColumn("extracted_at", model.ntz("extracted_at"))
+
+
+def _daily_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price payload per asset, under the asset's unique symbol."""
+    lines = model.table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("asset_key"), "l_shipdate", "l_extendedprice", "l_quantity", *model.TICK_ORDER
+    )
+    last = prices.latest_per_key(lines, ["asset_key"], ["l_shipdate", *model.TICK_ORDER])
+    price, volume = F.col("l_extendedprice").cast("string"), F.col("l_quantity").cast("bigint").cast("string")
+    day = F.col("l_shipdate").cast("date").cast("string")
+    body = F.concat(F.lit("timestamp,open,high,low,close,volume\n"), F.concat_ws(",", day, price, price, price, price, volume))
+    answer = F.when(F.col("l_linenumber") == 7, payloads.QUOTA_MARKER).otherwise(body)
+    names = model.assets(spark, sf_dir).select("asset_key", F.replace("ticker_symbol", F.lit(" "), F.lit("")).alias("ticker"))
+    named = last.join(names, "asset_key").withColumn("symbol", F.concat_ws("-", "ticker", "asset_key"))
+    return evaluate_once(named, text=answer).select("symbol", "text")
+
+
 @query(f"""WITH {model.TRANSACTIONS}
 SELECT transaction_id, user_id, asset_key, CAST(transaction_date AS TIMESTAMP) AS transaction_timestamp, transaction_date,
   transaction_type, CAST(quantity AS DECIMAL(38,9)) AS quantity, CAST(price_per_unit AS DECIMAL(38,9)) AS price_per_unit,

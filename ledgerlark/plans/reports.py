@@ -88,6 +88,18 @@ def page_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "href", "link")
 
 
+@query("""SELECT page_id, hrefs[1] AS menu_href, hrefs[-1] AS file_href
+FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages)""")
+def page_class_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both lookups by class: a link inside a container, and a link that has the class itself."""
+    menu = F.replace(F.col("html"), F.lit("<nav>"), F.lit('<nav class="menu main">'))
+    marked = F.regexp_replace(menu, "<a (href=[^>]*>[^<]*</a></li></ul>)", "<a class='file pdf' $1")
+    docs = model.table(spark, sf_dir, "pages").select("page_id", "url", marked.alias("html"))
+    in_menu = pages.first_container_link(docs.withColumn("menu", F.col("html")), "nav", "main", html="menu")
+    kept = in_menu.select("page_id", F.col("href").alias("menu_href"), "html")
+    return pages.first_classed_link(kept, "pdf").select("page_id", "menu_href", F.col("href").alias("file_href"))
+
+
 # --- payloads ------------------------------------------------------------
 
 
@@ -132,6 +144,31 @@ def payload_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*LINE_KEY, "timestamp", "close")
 
 
+REFUSED = f"note\n{payloads.QUOTA_MARKER}"
+ERROR_BODY = '{\n"Error Message": "no such call"\n}'
+
+
+@query(f"""SELECT {", ".join(LINE_KEY)}, CAST(l_shipdate AS DATE) AS "timestamp", l_extendedprice AS "close",
+  CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reject_reason FROM lineitem WHERE l_linenumber < 5
+UNION ALL SELECT {", ".join(LINE_KEY)}, CAST(l_shipdate AS DATE) - 1, l_quantity, NULL, NULL FROM lineitem WHERE l_linenumber < 5
+UNION ALL SELECT {", ".join(LINE_KEY)}, NULL, NULL, line, reason FROM lineitem, (VALUES
+  (5, '{payloads.QUOTA_MARKER}', 'rate_limited'), (6, '"Error Message": "no such call"', 'corrupt_line'), (6, '{"}"}', 'corrupt_line'))
+  AS r(n, line, reason) WHERE l_linenumber = n""")
+def payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price rows and refused lines of payloads among which are quota notices, errors and nulls."""
+    body = (
+        F.when(F.col("l_linenumber") == 5, REFUSED)
+        .when(F.col("l_linenumber") == 6, ERROR_BODY)
+        .when(F.col("l_linenumber") < 5, F.col("text"))
+    )
+    answers = _price_payloads(spark, sf_dir).withColumn("text", body)
+    nothing = F.lit(None).cast("string")
+    good = payloads.parse_price_payloads(answers).select(
+        *LINE_KEY, "timestamp", "close", nothing.alias("line"), nothing.alias("reject_reason")
+    )
+    return good.unionByName(payloads.rejected_price_lines(answers), allowMissingColumns=True)
+
+
 @query("""SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS ticker,
   CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price, 'US' AS market,
   strftime(l_shipdate, '%Y-%m-%d') AS date
