@@ -161,7 +161,7 @@ def fact_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, fact = fresh_path(spark, "fact"), _fact(spark, sf_dir)
     tables.append_fact(fact.filter("snapshot_date < date'1998-07-01'"), path)
     late = fact.filter("snapshot_date >= date'1998-06-01'")
-    tables.append_observed(spark, late, path, ["asset_key", "snapshot_date"], "snapshot_date")
+    tables.append_observed(spark, late, path, ["asset_key", "snapshot_date"], "snapshot_date", ["close_price", "volume"])
     return spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
 
 

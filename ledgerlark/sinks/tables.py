@@ -97,14 +97,19 @@ def ensure_table(spark: SparkSession, name: str, kind: str, location: str | None
 
 
 def append_observed(
-    spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition: str
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition: str,
+    dedupe_by: Sequence[str | Column],
 ) -> dict[str, int]:
     """Idempotent append; returns how many rows were staged and inserted.
 
     The inserted count is observed on the write itself, not recounted.
     """
     target = spark.read.schema(source.schema).parquet(path)
-    fresh, seen = append_new(target, source, keys), Observation()
+    fresh, seen = append_new(target, source, keys, dedupe_by), Observation()
     cluster = [k for k in keys if k != partition]
     append_fact(fresh, path, partition, cluster, observation=seen)
     return {"staged": source.count(), "inserted": seen.get["inserted"]}

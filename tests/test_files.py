@@ -123,9 +123,9 @@ def test_append_fact_layout_and_counts(spark, tmp_path):
     df = spark.range(40).select((F.col("id") % 10).alias("asset_key"),
                                 F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") / 10).cast("int")).alias("snapshot_date"))
     tables.append_fact(df.filter("asset_key < 5"), path)
-    counts = tables.append_observed(spark, df, path, ["asset_key", "snapshot_date"], "snapshot_date")
+    counts = tables.append_observed(spark, df, path, ["asset_key", "snapshot_date"], "snapshot_date", ["asset_key"])
     assert counts == {"staged": 40, "inserted": 20}
-    assert tables.append_observed(spark, df, path, ["asset_key", "snapshot_date"], "snapshot_date")["inserted"] == 0
+    assert tables.append_observed(spark, df, path, ["asset_key", "snapshot_date"], "snapshot_date", ["asset_key"])["inserted"] == 0
     assert spark.read.parquet(path).count() == 40
     assert len(list(Path(path).glob("snapshot_date=*"))) == 4
     one = spark.read.parquet(path).filter("snapshot_date = date'2025-01-02'")

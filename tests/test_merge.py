@@ -1,4 +1,7 @@
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlark.operators import merge
 
@@ -53,9 +56,40 @@ def test_append_new_twice_is_once(spark):
     assert rows(fresh) == [(2, "c", 3)]
     assert merge.append_new(target.union(fresh), source, ["k"], ["v"]).count() == 0
     loose = frame(spark, [(None, "x", 1)])
-    assert merge.append_new(target, loose, ["k"]).count() == 1
-    assert merge.append_new(target.union(loose), loose, ["k"]).count() == 0
+    assert merge.append_new(target, loose, ["k"], ["v"]).count() == 1
+    assert merge.append_new(target.union(loose), loose, ["k"], ["v"]).count() == 0
     assert tuple(merge.append_counts(target, source, ["k"]).first()) == (3, 1, 2)
+    assert tuple(merge.append_counts(target.union(loose), source.union(loose), ["k"]).first()) == (4, 1, 3)
+    assert tuple(merge.append_counts(target.limit(0), target.limit(0), ["k"]).first()) == (0, 0, 0)
+
+
+def test_null_fields_of_a_wide_key_are_equal(spark):
+    target, source = frame(spark, [(1, None, 1)]), frame(spark, [(1, None, 9), (1, "a", 5), (None, None, 3)])
+    fresh = merge.append_new(target, source, ["k", "ticker"], ["v"])
+    assert rows(fresh) == sorted([(1, "a", 5), (None, None, 3)], key=str)
+
+
+def test_merges_read_each_side_once(spark, tmp_path):
+    for name in ("t", "s"):
+        spark.range(9).select(F.col("id").alias("k"), F.lit(name).alias("ticker"), F.lit(1).alias("v")).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("t", "s"))
+    for df, shuffles in (
+        (merge.upsert(target, source, ["k"], ["v"]), 2),
+        (merge.append_new(target, source, ["k"], ["v"]), 2),
+        (merge.append_counts(target, source, ["k"]), 2),
+    ):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan") == 2 and len(re.findall(r"\bExchange hashpartitioning", text)) <= shuffles
+
+
+def test_null_keys_are_scattered(spark):
+    loose = spark.range(1000).selectExpr("cast(null as long) AS k", "cast(id AS string) AS ticker", "id AS v")
+    assert merge.spread_null_keys(loose, ["k"]).select(merge.SALT).distinct().count() == 1000
+    empty = frame(spark, [])
+    assert merge.upsert(empty, loose, ["k"], ["v"]).count() == 1000
+    assert merge.upsert(empty, loose, ["k"], ["v"], dedupe_by=["v"]).count() == 1000
+    assert merge.insert_missing(loose, loose, ["k"]).count() == 2000
+    assert tuple(merge.merge_preview(empty, loose, ["k"]).first()) == (1000, 0, 1000)
 
 
 def test_preview(spark):

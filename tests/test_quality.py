@@ -10,28 +10,28 @@ def checked(spark, *records):
 
 def test_record_rules_in_order(spark):
     records = {
-        '["AAPL", 42, "US", "2025-06-10"]': None,
-        '["AAPL", "42.5", "US", "2025-6-1"]': None,
-        '["AAPL", true, "US", "2025-6-1"]': None,
-        '["AAPL", "nan", "US", "2025-6-1"]': None,
-        '["AAPL", 42, "US"]': "invalid_structure",
-        '["AAPL", 42, "US", "2025-06-10", 1]': "invalid_structure",
-        '{"ticker": "AAPL"}': "invalid_structure",
+        '["QQZ", 17, "US", "2019-03-04"]': None,
+        '["QQZ", "17.25", "US", "2019-3-4"]': None,
+        '["QQZ", true, "US", "2019-3-4"]': None,
+        '["QQZ", "nan", "US", "2019-3-4"]': None,
+        '["QQZ", 17, "US"]': "invalid_structure",
+        '["QQZ", 17, "US", "2019-03-04", 1]': "invalid_structure",
+        '{"ticker": "QQZ"}': "invalid_structure",
         "not json": "invalid_structure",
         '[" ", "abc", "", "x"]': "invalid_ticker",
-        '[7, 42, "US", "2025-06-10"]': "invalid_ticker",
-        '["AAPL", "abc", "", "x"]': "invalid_price",
-        '["AAPL", null, "US", "2025-06-10"]': "invalid_price",
-        '["AAPL", 42, "  ", "x"]': "invalid_market",
-        '["AAPL", 42, "US", "2025-13-01"]': "invalid_date",
-        '["AAPL", 42, "US", 20250610]': "invalid_date",
+        '[7, 17, "US", "2019-03-04"]': "invalid_ticker",
+        '["QQZ", "abc", "", "x"]': "invalid_price",
+        '["QQZ", null, "US", "2019-03-04"]': "invalid_price",
+        '["QQZ", 17, "  ", "x"]': "invalid_market",
+        '["QQZ", 17, "US", "2019-13-01"]': "invalid_date",
+        '["QQZ", 17, "US", 20190304]': "invalid_date",
     }
     got = [r["error_code"] for r in checked(spark, *records).orderBy("i").collect()]
     assert got == list(records.values())
 
 
 def test_verdicts(spark):
-    good, blank, bad_day = '["A", 1, "US", "2025-06-10"]', '["", 1, "US", "2025-06-10"]', '["A", 1, "US", "x"]'
+    good, blank, bad_day = '["A", 1, "US", "2019-03-04"]', '["", 1, "US", "2019-03-04"]', '["A", 1, "US", "x"]'
     mixed = quality.verdict_of(checked(spark, good, bad_day, blank), "i").first()
     assert tuple(mixed) == (3, 1, "invalid_date", "rejected", 0)
     assert tuple(quality.verdict_of(checked(spark, good, good), "i").first()) == (2, None, None, "loaded", 2)
@@ -63,11 +63,11 @@ def test_feeds(spark):
 
 
 def test_listing_and_currency(spark):
-    listings = spark.createDataFrame([("AAPL", "US", "NASDAQ")], "ticker_symbol string, exchange_country string, exchange_code string")
-    rows = spark.createDataFrame([("AAPL", 1.0), ("ZZ", 2.0)], "symbol string, close double")
+    listings = spark.createDataFrame([("QQZ", "US", "NASDAQ")], "ticker_symbol string, exchange_country string, exchange_code string")
+    rows = spark.createDataFrame([("QQZ", 1.0), ("ZZ", 2.0)], "symbol string, close double")
     stamped = prices.with_listing(rows, listings).collect()
     assert [r.asDict() for r in stamped] == [
-        {"ticker_symbol": "AAPL", "close": 1.0, "exchange_name": "NASDAQ", "country": "US", "is_adjusted": False}
+        {"ticker_symbol": "QQZ", "close": 1.0, "exchange_name": "NASDAQ", "country": "US", "is_adjusted": False}
     ]
     fact = spark.createDataFrame([(1, None), (2, "EUR"), (3, None)], "asset_key long, price_currency string")
     dim = spark.createDataFrame([(1, "USD"), (2, "USD")], "asset_key long, currency_code string")

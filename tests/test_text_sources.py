@@ -134,15 +134,15 @@ def test_payload_rows(spark):
 
 
 def test_series_json(spark):
-    good = """{"Meta Data": {"3. Last Refreshed": "2024-10-25"}, "Time Series (Daily)":
-      {"2024-10-25": {"1. open": "150.0", "4. close": "151.75"}, "2024-10-26": {"1. open": "1"}}}"""
-    partial = good.replace('Refreshed": "2024-10-25"', 'Refreshed": "2024-10-26"')
-    absent = good.replace('Refreshed": "2024-10-25"', 'Refreshed": "2024-10-27"')
-    rows = [("AAPL", good), ("PART", partial), ("GONE", absent), ("ERR", '{"Error Message": "x"}'),
+    good = """{"Meta Data": {"3. Last Refreshed": "2019-03-04"}, "Time Series (Daily)":
+      {"2019-03-04": {"1. open": "7.5", "4. close": "8.25"}, "2019-03-05": {"1. open": "1"}}}"""
+    partial = good.replace('Refreshed": "2019-03-04"', 'Refreshed": "2019-03-05"')
+    absent = good.replace('Refreshed": "2019-03-04"', 'Refreshed": "2019-03-06"')
+    rows = [("QQZ", good), ("PART", partial), ("GONE", absent), ("ERR", '{"Error Message": "x"}'),
             ("HTML", "<html>"), ("", good), ("NUL", None)]
     df = spark.createDataFrame(rows, "symbol string, payload string")
     got = {r["ticker"]: (r["price"], r["market"], r["date"]) for r in payloads.latest_from_series_json(df).collect()}
-    assert got == {"AAPL": ("151.75", "US", "2024-10-25"), "PART": (None, "US", "2024-10-26")}
+    assert got == {"QQZ": ("8.25", "US", "2019-03-04"), "PART": (None, "US", "2019-03-05")}
 
 
 def test_landing_paths(spark):
