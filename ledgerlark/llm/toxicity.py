@@ -1,7 +1,7 @@
 """A toxicity classifier that is penalised for scores that hang on identity terms.
 
-Features are a text's distinct words and the first letters of its words. Every labelled text is
-also seen with its identity terms swapped for another of their group; the difference of the two
+Features are a text's distinct words, and the first letters of its words with levels of how often
+and how densely they occur, as a rare stem in a long text says little. Every labelled text is also seen with its identity terms swapped for another of their group; the difference of the two
 scores is penalised, so that the weight of a term that merely names a group is shared by all
 names of the group and driven towards what the label owes to none of them.
 """
@@ -9,6 +9,7 @@ names of the group and driven towards what the label owes to none of them.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from ledgerlark.llm.common import broadcast, written
 from ledgerlark.llm.langid import chunks
 
 WORD = re.compile(r"[^\W\d_]+")
+LEVEL = re.compile(r"[*%]")
 
 # Names of groups whose mention alone is neutral; a term is swapped within its line.
 IDENTITY_TERMS = (
@@ -48,10 +50,33 @@ class Setup:
     rate: float = 0.5
 
 
-def features_of(words: set[str], setup: Setup) -> set[str]:
-    """Words as they are, stems with a mark that no word holds."""
-    short = {w for w in words if len(w) <= setup.longest}
-    return short | {w[: setup.stem] + "*" for w in words if len(w) >= setup.stem}
+# A stem's levels: it occurs this often, and this often in a hundred words.
+COUNTS, SHARES = (1, 2, 4), (1, 3)
+
+
+def levels(stem: str, n: int, size: int) -> list[str]:
+    """The level features of a stem that occurs ``n`` times among ``size`` words."""
+    often = [f"{stem}*{c}" for c in COUNTS if n >= c]
+    return often + [f"{stem}%{c}" for c in SHARES if 100 * n >= c * size]
+
+
+def features_of(words: Sequence[str], setup: Setup) -> set[str]:
+    """Words as they are, stem levels with a mark that no word holds."""
+    counted = Counter(words)
+    found = {w for w in counted if len(w) <= setup.longest}
+    for stem, n in stems_of(counted, setup.stem).items():
+        found.update(levels(stem, n, len(words)))
+    return found
+
+
+def stems_of(counted: Counter[str], length: int, among: set[str] | None = None) -> Counter[str]:
+    """How often each stem occurs, given how often each word does; only those ``among``, if given."""
+    stems: Counter[str] = Counter()
+    for word, n in counted.items():
+        stem = word[:length]
+        if len(word) >= length and (among is None or stem in among):
+            stems[stem] += n
+    return stems
 
 
 def swaps(groups: Sequence[Sequence[str]]) -> dict[str, str]:
@@ -63,14 +88,16 @@ class Classifier:
     def __init__(self, features: list[str], weights: np.ndarray, bias: float, setup: Setup):
         self.place = {f: i for i, f in enumerate(features)}
         self.weights, self.bias, self.setup = weights, bias, setup
-        self.words = {f for f in features if not f.endswith("*")}
-        self.stems = {f[:-1] for f in features if f.endswith("*")}
+        self.words = {f for f in features if not LEVEL.search(f)}
+        self.stems = {LEVEL.split(f)[0] for f in features if LEVEL.search(f)}
 
     def found(self, text: str | None) -> list[int]:
         """Places of the features in the text."""
-        words = set(WORD.findall(text.lower())) if text else set()
-        hit = words & self.words
-        hit |= {s + "*" for s in {w[: self.setup.stem] for w in words} & self.stems}
+        words = WORD.findall(text.lower()) if text else []
+        counted = Counter(words)
+        hit = counted.keys() & self.words
+        for stem, n in stems_of(counted, self.setup.stem, self.stems).items():
+            hit.update(f for f in levels(stem, n, len(words)) if f in self.place)
         return sorted(self.place[f] for f in hit)
 
     def score(self, text: str | None) -> float:
@@ -118,9 +145,9 @@ def learn(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
-            sets = [set(WORD.findall((t or "").lower())) for t in texts]
-            own = [sorted(features_of(s, setup)) for s in sets]
-            other = [sorted(features_of({swap.get(w, w) for w in s}, setup)) for s in sets]
+            found = [WORD.findall((t or "").lower()) for t in texts]
+            own = [sorted(features_of(w, setup)) for w in found]
+            other = [sorted(features_of([swap.get(x, x) for x in w], setup)) for w in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(own, pa.list_(pa.string())), pa.array(other, pa.list_(pa.string()))],
                 names=["toxic", "features", "swapped"],
@@ -140,7 +167,8 @@ def learn(
         seen.filter(F.col("n") >= setup.least)
         .select("f", (off * off / F.col("n")).alias("z")).orderBy(F.desc("z"), "f").limit(setup.features)
     )
-    names = features_of(set(swap), setup) | {r["f"] for r in strong.collect()}
+    marks = {f for t in swap for f in features_of([t], setup)}
+    names = marks | {r["f"] for r in strong.collect()}
     features = sorted(names)
     wanted = F.array(*[F.lit(f) for f in features])
     few = rows.select(
