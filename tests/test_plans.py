@@ -11,7 +11,7 @@ from ledgerlark.plans import QUERIES, model
 # Queries that run jobs while they are built.
 EAGER = {"csv_typed_scan", "file_atomic_load", "file_report", "manifest_scan", "ndjson_scan", "csv_infer_scan",
          "positional_csv", "fact_append_roundtrip", "merge_partitions", "dim_date_roundtrip", "table_roundtrip",
-         "incremental_file_ingest", "transactions_load", "error_rate_stream", "sustained_breach_stream", "stream_dedupe"}
+         "incremental_file_ingest", "landed_files", "daily_pipeline", "transactions_load", "error_rate_stream", "sustained_breach_stream", "stream_dedupe"}
 
 
 def plan(df):
@@ -41,7 +41,8 @@ def test_latest_row_is_reduced_before_the_shuffle(spark, sf_dir):
 
 
 def test_text_and_page_rows_do_not_shuffle(spark, sf_dir):
-    for name in ("section_rows", "pattern_rows", "page_links", "page_first_link", "payload_gate", "json_field"):
+    for name in ("section_rows", "pattern_rows", "page_links", "page_first_link", "page_class_links", "payload_gate",
+                 "payload_quarantine", "json_field"):
         assert "Exchange" not in plan(queries()[name](spark, sf_dir)), name
 
 
