@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlark.functions import evaluate_once, split_list
+from ledgerlark.functions import evaluate_once, run_date_or_today, split_list
 from ledgerlark.operators import bonds, calendar, prices, quality
 from ledgerlark.plans import model
 from ledgerlark.plans.calendars import ORDER_SPINE
@@ -302,11 +302,11 @@ def daily_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = fresh_path(spark, "daily")
     symbol = F.concat_ws("-", F.replace("ticker_symbol", F.lit(" "), F.lit("")), "asset_key")
     universe = prices.symbol_universe(model.assets(spark, sf_dir).withColumn("ticker_symbol", symbol))
-    answers = _daily_answers(spark, sf_dir).join(universe.select(F.col("ticker_symbol").alias("symbol")), "symbol")
+    answers = _daily_answers(spark, sf_dir).join(prices.scan_symbols(universe.withColumnRenamed("ticker_symbol", "symbol")), "symbol")
     usable = payloads.gate_payloads(answers).filter("payload_status = 'usable'").drop("payload_status")
     staged = prices.with_listing(payloads.parse_price_payloads(usable, daily=True), universe)
     cells = staged.select(*STAGED_PRICES.fieldNames())
-    run_date, mode = F.lit("2025-01-02"), F.lit("daily")
+    run_date, mode = run_date_or_today("2025-01-02").cast("string"), F.lit("daily")
     place = landing.landing_path(mode, F.lit("prices"), F.col("country"), F.col("exchange_name"), F.col("ticker_symbol"), run_date)
     tables.write_raw_csv(cells.withColumn("landing_path", place), f"{base}/landed", ["landing_path"])
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlark.operators import asof, calendar, portfolio
 from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
+from ledgerlark.session import fresh_path
+from ledgerlark.sinks.tables import append_fact
 
 AS_OF = "1998-06-30"
 HISTORY = ("1998-06-17", "1998-06-30")
@@ -51,6 +53,24 @@ def portfolio_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapshot(spark, sf_dir)
 
 
+@query(f"""WITH {SNAPSHOT}
+SELECT snapshot_date, user_id, asset_key, quantity_held, cost_basis_currency, current_price, price_currency, market_value,
+  avg_cost_basis IS NOT NULL AS has_cost, unrealized_gain_loss IS NOT NULL AS has_gain,
+  TIMESTAMP '{model.INGESTED_AT}' AS calculated_at, data_quality FROM snapshot""")
+def snapshot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot in its day-partitioned table; a second run replaces its own day."""
+    path = fresh_path(spark, "snapshots")
+    stored = portfolio.store_snapshot(_snapshot(spark, sf_dir), model.ingested_at())
+    for _ in range(2):
+        append_fact(stored, path, "snapshot_date", portfolio.POSITION, mode="overwrite")
+    kept = spark.read.schema(stored.schema).parquet(path)
+    return kept.select(
+        "snapshot_date", *portfolio.POSITION, "quantity_held", "cost_basis_currency", "current_price", "price_currency",
+        "market_value", F.col("avg_cost_basis").isNotNull().alias("has_cost"),
+        F.col("unrealized_gain_loss").isNotNull().alias("has_gain"), model.ntz("calculated_at"), "data_quality",
+    )
+
+
 @query(f"""WITH {SNAPSHOT}, {model.ASSETS}
 SELECT price_currency, exchange_country, asset_type,
   GROUPING(price_currency, exchange_country, asset_type) AS level, count(*) AS positions,
