@@ -245,6 +245,17 @@ def test_counterfactual_penalty():
     assert abs(fair[1] - fair[2]) < 0.3 * abs(plain[1] - plain[2]) and fair[0] > 1
 
 
+def test_stem_levels():
+    setup = toxicity.Setup(stem=4)
+    words = ["abcdx", "abcdy", "abc"] + ["zz"] * 97
+    found = toxicity.features_of(words, setup)
+    assert {"abcdx", "abcdy", "abc", "zz", "abcd*1", "abcd*2", "abcd%1"} == found
+    assert "abcd%3" in toxicity.features_of(words[:3], setup) and toxicity.features_of([], setup) == set()
+    names = sorted(found)
+    model = toxicity.Classifier(names, np.ones(len(names)), 0.0, setup)
+    assert model.found(" ".join(words)) == list(range(len(names))) and model.found(None) == []
+
+
 def test_toxicity(docs, rows, spark, sf_dir):
     nothing = spark.createDataFrame([], "doc_id bigint, toxic int")
     got = toxicity.score_toxicity(docs, nothing, is_remainder(F.col("doc_id"), 3, 1)).collect()
