@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlark.llm.common import U64, WordHasher, Words, bitmap_of, broadcast, gram_hashes, mix, portions, rows_of, written
 
@@ -79,9 +80,10 @@ def emitted(keys: np.ndarray, words: Words, size: int, window: int, k: int, plac
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int, k: int) -> tuple[DataFrame, DataFrame]:
-    """(windows of the rows ``docs`` (row, text) that occur in ``items`` (item, text), words per row).
+    """(windows of the rows ``docs`` (row, doc, text) that occur in ``items`` (item, text), (row, doc, n_words)).
 
-    The windows are (row, begin, size, item). ``items`` has one row an item.
+    The windows are (row, begin, size, item). ``items`` has one row an item. ``docs`` is read in one
+    job, which writes a row's number with all that belongs to it.
     """
     spark = docs.sparkSession
 
@@ -105,16 +107,21 @@ def hits(docs: DataFrame, items: DataFrame, window: int, k: int) -> tuple[DataFr
             for size in sizes:
                 places, prints = prints_of(words, size, window, k)
                 seen = maybe.value.has(prints)
-                yield from emitted(rows, words, size, window, k, places[seen], prints[seen])
-            # A row of size 0 tells the number of words.
+                for found in emitted(rows, words, size, window, k, places[seen], prints[seen]):
+                    yield with_doc(found, pa.nulls(found.num_rows, part.column("doc").type))
+            # A row of size 0 has the document and tells the number of words.
             n = len(rows)
-            yield rows_of(PRINTS, [
+            yield with_doc(rows_of(PRINTS, [
                 rows, np.zeros(n, np.int32), np.diff(words.starts).astype(np.int32), pa.nulls(n, pa.int64()),
                 pa.nulls(n, pa.list_(pa.int64())),
-            ])
+            ]), part.column("doc"))
 
-    prints = written(docs.select("row", "text").mapInArrow(of_docs, PRINTS_SQL), "doc-prints")
-    n_words = prints.filter("size = 0").select(F.col("key").alias("row"), F.col("at").alias("n_words"))
+    def with_doc(found: pa.RecordBatch, doc: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*found.columns, doc], names=schema.names)
+
+    schema = StructType.fromDDL(PRINTS_SQL).add("doc", docs.schema["doc"].dataType)
+    prints = written(docs.select("row", "doc", "text").mapInArrow(of_docs, schema), "doc-prints")
+    counted = prints.filter("size = 0").select(F.col("key").alias("row"), "doc", F.col("at").alias("n_words"))
     left = prints.filter("size > 0").select(F.col("key").alias("row"), "size", "at", "print", "context")
     right = bench.select(F.col("key").alias("item"), "size", "print", F.col("context").alias("of_item"))
     windows = (
@@ -124,7 +131,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int, k: int) -> tuple[DataFr
     )
     # A context begins as many words before its fingerprint as it is longer than a window.
     begin = F.col("at") - (F.size("context") - F.col("size")) + F.col("j")
-    return windows.select("row", "item", "size", begin.alias("begin")).distinct(), n_words
+    return windows.select("row", "item", "size", begin.alias("begin")).distinct(), counted
 
 
 def shared_windows(a: str, b: str, size: str) -> Column:
@@ -149,8 +156,7 @@ def contamination(
     ``window`` consecutive words of it, or all of an item with fewer. ``items`` lists the ids, as text and sorted, of
     the items with an occurrence. Null and empty texts have no words; an item without words
     has no window; repeated rows and items are each judged alike, items of a null id are
-    counted as the id ''. ``docs`` must be a table scan or a deterministic selection from one, since rows
-    are keyed by their place in it.
+    counted as the id ''.
     """
     if not 1 <= k <= window:
         raise ValueError("a k-gram must fit into the window")
@@ -162,7 +168,7 @@ def contamination(
         F.monotonically_increasing_id().alias("item"), F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
         F.col(text).cast("string").alias("text"),
     ), "items")
-    found, n_words = hits(lines, items, window, k)
+    found, counted = hits(lines, items, window, k)
     found = written(found, "hit-windows")
     names = found.select("row", "item").distinct().join(items.select("item", "name"), "item")
     listed = names.groupBy("row").agg(F.sort_array(F.collect_set("name")).alias("items"))
@@ -175,7 +181,7 @@ def contamination(
     dirty = covered.join(listed, "row")
     nothing = F.array().cast("array<string>")
     return (
-        lines.select("row", "doc").join(n_words, "row").join(dirty, "row", "left")
+        counted.join(dirty, "row", "left")
         .select("doc", F.col("n_words").cast("long").alias("n_words"),
                 F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", nothing).alias("items"))
     )

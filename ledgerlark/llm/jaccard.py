@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlark.llm.common import U64, WordHasher, bitmap_of, broadcast, gram_hashes, mix, portions, rows_of, written
 from ledgerlark.llm.components import connected
@@ -121,15 +122,21 @@ def packed(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
     return rows_of(schema, [list(parts), [zlib.compress(p.tobytes(), 1) for p in parts.values()]])
 
 
-SETS_SQL = "row bigint, n bigint, digest binary, low bigint, high bigint, fine binary, rare int, prefix array<bigint>"
+SETS_SQL = "n bigint, digest binary, low bigint, high bigint, fine binary, rare int, prefix array<bigint>"
 SETS = pa.schema([
-    ("row", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("low", pa.int64()), ("high", pa.int64()), ("fine", pa.binary()), ("rare", pa.int32()),
+    ("n", pa.int64()), ("digest", pa.binary()), ("low", pa.int64()), ("high", pa.int64()), ("fine", pa.binary()), ("rare", pa.int32()),
     ("prefix", pa.list_(pa.int64())),
 ])
 
 
 def described(lines: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """Per row: size, digest and signature of its set, and its prefix under the first order."""
+    """Per row: its number, ``doc`` and id, size, digest and signature of its set, and its prefix
+    under the first order.
+
+    A row's number holds only in the job that gave it: it is written with all that belongs to it.
+    """
+    own = ("row", "doc", "id")
+    schema = StructType([*lines.select(*own).schema, *StructType.fromDDL(SETS_SQL)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in shingle_sets(batches, n):
@@ -139,12 +146,13 @@ def described(lines: DataFrame, n: int, percent: int, levels) -> DataFrame:
             # Empty sets are equal to nothing: each has a digest of its own.
             digests = [digest(s) if len(s) else b"%d" % row for row, s in zip(rows, sets)]
             coarse = np.concatenate([signature(s, COARSE) for s in sets]).view(np.int64).reshape(-1, 2)
-            yield rows_of(SETS, [
-                rows, [len(s) for s in sets], digests, coarse[:, 0], coarse[:, 1],
+            found = rows_of(SETS, [
+                [len(s) for s in sets], digests, coarse[:, 0], coarse[:, 1],
                 [signature(s, FINE).tobytes() for s in sets], rare, [f.view(np.int64) for f in first],
             ])
+            yield pa.RecordBatch.from_arrays([*map(part.column, own), *found.columns], names=schema.names)
 
-    return lines.select("row", "text").mapInArrow(run, SETS_SQL)
+    return lines.select(*own, "text").mapInArrow(run, schema)
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -281,7 +289,7 @@ def near_duplicates(
     its own included; null ids count last) and ``kept``: true for one row of each component,
     that of the smallest id, of several the first read. A null or empty text has no shingles
     and links with nothing; repeated rows link with each other. ``docs`` must be a table scan or a
-    deterministic selection from one, since rows are keyed by their place in it.
+    deterministic selection from one, since its texts are read again; rows are numbered once.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be over 0 and at most 100")
@@ -293,10 +301,8 @@ def near_duplicates(
     )
     levels = broadcast(spark, token_levels(lines, n))
     sets = written(described(lines, n, percent, levels), "shingle-sets")
-    ids = lines.select("row", "doc", "id")
-    rows = written(sets.select("row", "n", "digest").join(ids, "row"), "shingle-rows")
     first = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
-    classes = rows.groupBy("digest").agg(F.min("row").alias("class"), F.max("n").alias("n"), F.min(first).alias("first"))
+    classes = sets.groupBy("digest").agg(F.min("row").alias("class"), F.max("n").alias("n"), F.min(first).alias("first"))
     classes = written(classes, "shingle-classes")
 
     known = classes.filter("n > 0").select(F.col("class").alias("row"))
@@ -345,6 +351,6 @@ def near_duplicates(
     joined = joined.select("digest", "first", F.coalesce("root", "class").alias("root"))
     tops = joined.groupBy("root").agg(F.min("first").alias("top"))
     named = written(joined.join(tops, "root").select("digest", "top"), "shingle-components")
-    return rows.join(named, "digest").select(
+    return sets.select("row", "doc", "n", "digest").join(named, "digest").select(
         "doc", F.col("n").alias("n_shingles"), F.col("top.id").alias("component_id"), (F.col("row") == F.col("top.row")).alias("kept")
     )

@@ -372,6 +372,40 @@ def test_contamination(docs, rows, spark):
     assert decontaminate.contamination(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("module", [jaccard, decontaminate, lm])
+def test_rows_survive_other_file_splits_in_later_jobs(docs, rows, spark, monkeypatch, module):
+    kept, name, sizes = module.written, "spark.sql.files.maxPartitionBytes", ["20k", "128m", "50k"]
+
+    def other_splits(df, path):
+        out = kept(df, path)
+        sizes.append(sizes.pop(0))
+        spark.conf.set(name, sizes[0])
+        return out
+
+    monkeypatch.setattr(module, "written", other_splits)
+    usual = spark.conf.get(name)
+    try:
+        if module is jaccard:
+            got = jaccard.near_duplicates(docs, n=5, percent=80)
+        elif module is decontaminate:
+            got = decontaminate.contamination(docs, spark.createDataFrame([(1, rows[3][1])], "item_id bigint, text string"))
+        else:
+            got = lm.score_texts(docs, is_remainder(F.col("doc_id"), 7, 2))
+        for size in sizes:  # the caller acts later, and more than once
+            spark.conf.set(name, size)
+            found = got.collect()
+            assert Counter(x.doc.doc_id for x in found) == Counter(r[0] for r in rows)
+            if module is jaccard:
+                want, _ = brute_components(rows, 5, 80)
+                assert Counter((x.doc.doc_id, x.n_shingles, x.component_id) for x in found) == want
+            elif module is decontaminate:
+                assert {x.doc.doc_id: x.n_words for x in found}[306] == len(item_words(LONG))
+            else:
+                assert Counter((x.doc.doc_id, x.n_tokens) for x in found) == Counter((r[0], len(words(r[1])) + 1) for r in rows)
+    finally:
+        spark.conf.set(name, usual)
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     assert lm.score_texts(none, F.lit(False)).count() == 0
