@@ -1,8 +1,9 @@
 """Language identification by bit-sliced Bloom filters of character n-grams.
 
-All languages share one filter: each of its slots is a word with one bit a language, and an
-n-gram sets its languages' bits in every slot it hashes to. The AND over the slots gives at
-once all languages that may hold the n-gram. A document's count for a language is the number
+Up to 64 languages share one filter: each of its slots is a word with one bit a language, and
+an n-gram sets its languages' bits in every slot it hashes to. The AND over the slots gives at
+once all languages that may hold the n-gram. More languages take more filters, each as large
+as the n-grams of its own languages need; their number is not limited. A document's count for a language is the number
 of its n-grams with the language's bit, less what false positives account for.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlark.llm.common import U64, broadcast, mix, rows_of, written
 
 UNKNOWN = "und"
-MAX_LANGUAGES = 64  # bits of a slot
+BLOCK = 64  # bits of a slot
 GAP = 0x0A
 
 
@@ -71,17 +72,17 @@ def text_grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     return key[inside], owner[:m][inside]
 
 
-class LanguageFilter:
-    """Bit-sliced Bloom filter: ``slots[h] >> language & 1``."""
+class BlockFilter:
+    """Bit-sliced Bloom filter of at most 64 languages: ``slots[h] >> language & 1``."""
 
-    def __init__(self, keys: np.ndarray, masks: np.ndarray, languages: list[str], shares: np.ndarray, setup: Setup):
-        self.languages, self.setup, self.shares = languages, setup, shares
+    def __init__(self, keys: np.ndarray, masks: np.ndarray, n_languages: int, setup: Setup):
+        self.setup = setup
         self.bits = max(10, int(np.ceil(np.log2(max(len(keys), 1) * setup.slots_per_entry))))
-        kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= max(len(languages), 1))
+        kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(t).bits >= max(n_languages, 1))
         self.slots = np.zeros(1 << self.bits, kind)
         for place in self.places(keys):
             np.bitwise_or.at(self.slots, place, masks.astype(kind))
-        filled = np.array([((self.slots >> kind(i)) & kind(1)).mean() for i in range(len(languages))])
+        filled = np.array([((self.slots >> kind(i)) & kind(1)).mean() for i in range(n_languages)])
         self.false = filled**setup.probes
 
     def places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
@@ -95,14 +96,31 @@ class LanguageFilter:
             out = self.slots[place] if out is None else out & self.slots[place]
         return out
 
+
+class LanguageFilter:
+    """One filter for each block of 64 languages; ``masks`` has a word for each block."""
+
+    def __init__(self, keys: np.ndarray, masks: np.ndarray, languages: list[str], shares: np.ndarray, setup: Setup):
+        self.languages, self.setup, self.shares = languages, setup, shares
+        masks = masks.reshape(len(keys), max(1, -(-len(languages) // BLOCK)))
+        self.blocks = []
+        for b, own in enumerate(masks.T):
+            held = own != 0
+            self.blocks.append(BlockFilter(keys[held], own[held], min(len(languages) - b * BLOCK, BLOCK), setup))
+
+    def masks(self, keys: np.ndarray, block: int = 0) -> np.ndarray:
+        """The languages of a block that may hold each n-gram, as bits."""
+        return self.blocks[block].masks(keys)
+
     def counts(self, keys: np.ndarray, of: np.ndarray, n_texts: int) -> np.ndarray:
         """(texts, languages) shares of the n-grams that are the language's, corrected."""
-        masks = self.masks(keys)
         total = np.maximum(np.bincount(of, minlength=n_texts), 1)
         out = np.zeros((n_texts, len(self.languages)))
-        for i in range(len(self.languages)):
-            hits = np.bincount(of, (masks >> masks.dtype.type(i)) & masks.dtype.type(1), n_texts) / total
-            out[:, i] = np.clip((hits - self.false[i]) / max(1 - self.false[i], 1e-9), 0, 1)
+        for b, block in enumerate(self.blocks):
+            masks = block.masks(keys)
+            for i, false in enumerate(block.false):
+                hits = np.bincount(of, (masks >> masks.dtype.type(i)) & masks.dtype.type(1), n_texts) / total
+                out[:, b * BLOCK + i] = np.clip((hits - false) / max(1 - false, 1e-9), 0, 1)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -170,26 +188,27 @@ def learn(train: DataFrame, setup: Setup = Setup()) -> LanguageFilter:
     rows = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     partial = rows.mapInArrow(count, "lang string, gram bigint, n bigint")
     counts = written(partial.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the training rows")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row a language
     if not totals:
         return LanguageFilter(np.empty(0, U64), np.empty(0, U64), [], np.empty(0), setup)
     languages = sorted(totals, reverse=True)  # the first by name wins the last tie
-    share = F.lit(0.0)
-    bit = F.lit(0)
-    for i, lang in enumerate(languages):
-        share = F.when(F.col("lang") == lang, F.col("n") / F.lit(float(totals[lang]))).otherwise(share)
-        bit = F.when(F.col("lang") == lang, F.lit(i)).otherwise(bit)
+    named = train.sparkSession.createDataFrame(
+        [(lang, i, float(totals[lang])) for i, lang in enumerate(languages)], "lang string, bit int, total double"
+    )
+    shares = counts.join(F.broadcast(named), "lang").select("gram", (F.col("n") / F.col("total")).alias("share"), "bit")
     per_gram = (
-        counts.select("gram", share.alias("share"), bit.alias("bit")).filter(F.col("share") >= setup.least)
+        shares.filter(F.col("share") >= setup.least)
         .groupBy("gram").agg(F.collect_list(F.struct("bit", "share")).alias("in"), F.max("share").alias("most"))
     )
     kept = per_gram.select(
         "gram", F.transform(F.filter("in", lambda x: x["share"] >= setup.against * F.col("most")), lambda x: x["bit"]).alias("bits")
     ).toPandas()
     keys = kept["gram"].to_numpy(np.int64).view(U64) if len(kept) else np.empty(0, U64)
-    masks = np.array([sum(1 << int(b) for b in bits) for bits in kept["bits"]], U64)
+    masks = np.zeros((len(kept), -(-len(languages) // BLOCK)), U64)
+    if len(kept):
+        bits = np.concatenate(kept["bits"].to_list()).astype(np.int64)
+        of = np.repeat(np.arange(len(kept)), kept["bits"].map(len))
+        np.bitwise_or.at(masks, (of, bits // BLOCK), U64(1) << (bits % BLOCK).astype(U64))
     return LanguageFilter(keys, masks, languages, np.array([totals[x] for x in languages], float), setup)
 
 

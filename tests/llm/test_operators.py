@@ -233,6 +233,16 @@ def test_language(docs, rows, spark, sf_dir):
     assert right > 0.98
 
 
+def test_more_languages_than_a_slot_has_bits(spark):
+    r = random.Random(6)
+    spoken = {f"l{i:03}": [chr(0x4E00 + 20 * i + j) for j in range(20)] for i in range(150)}
+    rows = [(lang, " ".join("".join(r.choices(own, k=4)) for _ in range(30))) for lang, own in spoken.items() for _ in range(3)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = langid.identify(docs, F.lit(False)).collect()
+    assert len(got) == len(rows)
+    assert all(x.lang_pred == x.doc.lang and x.score > 0.9 for x in got)
+
+
 def test_counterfactual_penalty():
     r = np.random.default_rng(1)
     n = 4000
