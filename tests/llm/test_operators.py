@@ -83,6 +83,30 @@ def test_lm_probabilities_are_normalised_and_learned():
     assert np.exp(model.log_probabilities(one, np.arange(setup.classes))).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_lm_words_inside_a_class_are_normalised(monkeypatch):
+    r = np.random.default_rng(3)
+    inner = lm.Inner(lm.Setup(words=1, endings=3, order=2, size=4), np.array([1, 1, 1, 2, 3, 3]), np.array([5.0, 1, 2, 7, 3, 3]))
+    p = r.normal(size=(1, 4)).astype(np.float32)
+    start = np.exp(inner.log_probabilities(np.repeat(p, 7, axis=0), np.arange(7)))
+    assert start == pytest.approx([5 / 8, 1 / 8, 2 / 8, 1, 1 / 2, 1 / 2, 1], abs=1e-6)
+    inner.target[:] = r.normal(size=inner.target.shape)
+    found = np.exp(inner.log_probabilities(np.repeat(p, 7, axis=0), np.arange(7)))
+    assert [found[:3].sum(), found[3], found[4:6].sum(), found[6]] == pytest.approx([1, 1, 1, 1], abs=1e-5)
+    assert abs(found - start).max() > 0.05
+    monkeypatch.setattr(lm, "CELLS", 4)  # a class at a position or two at once
+    assert np.exp(inner.log_probabilities(np.repeat(p, 14, axis=0), np.arange(14) % 7)) == pytest.approx([*found, *found], abs=1e-6)
+
+
+def test_lm_tells_words_of_one_ending_apart(spark):
+    r = random.Random(12)
+    cycle = [f"word{i}xx" for i in range(100)]  # each word follows from the one before, all have one ending
+    texts = [" ".join(cycle[(a + j) % 100] for j in range(50)) for a in (r.randrange(100) for _ in range(3000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    got = lm.score_texts(docs, is_remainder(F.col("doc_id"), 7, 2), setup=lm.Setup(words=4, endings=2, order=2))
+    gain, n = got.filter("held_out").agg(F.sum(F.col("score") - F.col("base_score")), F.sum("n_tokens")).first()
+    assert gain / n > 0.4
+
+
 def test_lm_beats_unigrams_on_held_out_text(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet".replace("sf0.001", "sf0.1")).select("doc_id", "text")
     got = lm.score_texts(docs, is_remainder(F.col("doc_id"), 7, 2)).filter("held_out").agg(F.sum("base_score"), F.sum("score")).first()
