@@ -7,8 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlark.llm import chat, decontaminate, jaccard, langid, lm, mixing, tokens, topk, toxicity, urls
-from ledgerlark.llm.common import is_remainder, reachable
+from ledgerlark.llm import (
+    chat, decontaminate, jaccard, langid, lm, mixing, prefixes, tokens, topk, toxicity, urls, whitening,
+)
+from ledgerlark.llm.common import is_remainder, reachable, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -200,3 +202,42 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length({0}) + 1), lambda i: ord({0}[i])::BIGINT),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@query(f"""
+WITH t AS (SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS words FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest, words) AS i, digest, words FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS first, {CRC32.format("(conv_id::VARCHAR)")} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT c.conv_id, i, digest, words FROM c JOIN o ON o.conv_id = c.first AND i <= h
+  UNION ALL SELECT c.conv_id, i, digest, words FROM c JOIN o ON o.conv_id = c.conv_id AND i > h),
+r AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d, digest, words FROM b),
+p AS (SELECT conv_id, d, words, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d) AS prefix FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT prefix, min(conv_id) AS conv_id, d, any_value(words) AS words, count(*) AS n_convs FROM p GROUP BY prefix, d),
+l AS (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id),
+e AS (SELECT p.prefix, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends FROM l JOIN p USING (conv_id, d) GROUP BY p.prefix),
+k AS (SELECT left(prefix, length(prefix) - 32) AS prefix, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (prefix)),
+s AS (SELECT a.prefix, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.words)::BIGINT AS saved_tokens
+  FROM f JOIN p a ON a.conv_id = f.conv_id AND a.d <= f.d GROUP BY a.prefix)
+SELECT f.conv_id, f.d::BIGINT AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256
+FROM f JOIN s USING (prefix) LEFT JOIN e USING (prefix) LEFT JOIN n u ON f.d > 0 AND u.prefix = left(f.prefix, length(f.prefix) - 32)
+""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    opened = prefixes.shared_openings(prefixes.turn_marks(turns), 20, remainder(F.col("conv_id"), 4), 3)
+    return prefixes.prefix_trie(opened)
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    found = whitening.whiten(vectors, components=4, scale=256, keep=["vec_id"])
+    return found.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
