@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark.llm import (
-    chat, decontaminate, jaccard, langid, lm, mixing, prefixes, tokens, topk, toxicity, urls, whitening,
+    chat, decontaminate, jaccard, langid, lm, mixing, prefixes, quality, tokens, topk, toxicity, urls, whitening,
 )
 from ledgerlark.llm.common import is_remainder, reachable, remainder
 
@@ -204,6 +204,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality")
+    scored = quality.score_quality(docs, labels, is_remainder(F.col("doc_id"), 5, 0), keep=["doc_id"])
+    return scored.select("doc.doc_id", "held_out", "score", "predicted")
+
+
 CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length({0}) + 1), lambda i: ord({0}[i])::BIGINT),
   lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
 
