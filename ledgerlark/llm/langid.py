@@ -15,12 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlark.llm.common import U64, broadcast, mix, rows_of, written
 
 UNKNOWN = "und"
 BLOCK = 64  # bits of a slot
+PORTION = 500_000  # characters looked at together
 GAP = 0x0A
 
 
@@ -42,23 +44,41 @@ def letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def text_grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text number) of every n-gram of letters and word gaps of the lower-cased texts."""
-    lowered = [t.lower() for t in texts]
-    points = np.frombuffer("".join(lowered).encode("utf-32-le", "replace"), np.uint32)
-    of = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
+def text_grams(
+    texts: list[str], n: int, more: list[str] | None = None, joined: list[bool] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of every n-gram of letters and word gaps of the lower-cased texts.
+
+    ``more`` is what follows each text where it was cut off from a longer one: n-grams may reach
+    into it, but none begins there. ``joined`` tells texts that begin inside a word: no gap is there.
+    """
+    own = [t.lower() for t in texts]
+    ahead = [t.lower() for t in more or [""] * len(texts)]
+    lengths = np.array([(len(a), len(b)) for a, b in zip(own, ahead)], np.int64).reshape(-1)
+    points = np.frombuffer("".join(x for pair in zip(own, ahead) for x in pair).encode("utf-32-le", "replace"), np.uint32)
+    del own, ahead
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths.reshape(-1, 2).sum(axis=1))
     is_letter = letters()[points]
     # A gap stands before a word's first letter and after its last one.
     prior = np.append(False, is_letter[:-1]) & np.append(False, of[1:] == of[:-1])
     first = is_letter & ~prior
-    places = np.cumsum(is_letter.astype(np.int64) + first) - 1  # of letters in the packed text
+    places = np.cumsum(is_letter.astype(np.int8) + first, dtype=np.int32) - 1  # of letters in the packed text
     size = int(is_letter.sum() + first.sum()) + 1
     packed = np.full(size, GAP, np.uint32)
     packed[places[is_letter]] = points[is_letter]
-    owner = np.zeros(size, np.int64)
+    owner = np.zeros(size, np.int32)
     owner[places[is_letter]] = of[is_letter]
     owner[places[first] - 1] = of[first]
     owner[-1] = len(texts)
+    begins = np.ones(size, bool)
+    if more:
+        foreign = np.repeat(np.arange(len(lengths)) % 2 == 1, lengths)
+        begins[places[is_letter & foreign]] = False
+        begins[places[first & foreign] - 1] = False
+        start = (np.cumsum(lengths) - lengths)[::2][np.array(joined, bool)]
+        begins[places[start[is_letter[start]]] - 1] = False
+        del foreign
+    del points, of, is_letter, prior, first, places
     m = size - n + 1
     if m <= 0:
         return np.empty(0, U64), np.empty(0, np.int64)
@@ -69,9 +89,40 @@ def text_grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     # except for the gap that closes its last word.
     last = owner[n - 1 : n - 1 + m]
     inside = (owner[:m] == last) | ((packed[n - 1 : n - 1 + m] == GAP) & (owner[n - 2 : n - 2 + m] == owner[:m]))
+    inside &= begins[:m]
     return key[inside], owner[:m][inside]
 
 
+def pieces(texts: list[str | None], n: int, size: int) -> Iterator[tuple[list[int], list[str], list[str], list[bool]]]:
+    """The texts in lots of about ``size`` characters: text numbers, pieces, what follows each, and whether it
+    begins inside a word.
+
+    A text beyond ``size`` is cut where it has no letter, if there is such a place, and each piece knows the
+    characters up to the n-th letter after it, so that its n-grams are those of the whole text.
+    """
+    lot, held = [], 0
+    for i, text in enumerate(texts):
+        text, a, inside = text or "", 0, False
+        while a < len(text):
+            b = min(a + size, len(text))
+            cut = b
+            while b < len(text) and cut > a and text[cut - 1].isalpha():
+                cut -= 1
+            b = cut if cut > a else b
+            seen, c = 0, b
+            while c < len(text) and seen < n:
+                seen += text[c].isalpha()
+                c += 1
+            lot.append((i, text[a:b], text[b:c], inside))
+            held += b - a
+            a, inside = b, text[b - 1].isalpha()
+            if held >= size:
+                yield tuple(map(list, zip(*lot)))
+                lot, held = [], 0
+    if lot:
+        yield tuple(map(list, zip(*lot)))
+
+
 class BlockFilter:
     """Bit-sliced Bloom filter of at most 64 languages: ``slots[h] >> language & 1``."""
 
@@ -112,26 +163,34 @@ class LanguageFilter:
         """The languages of a block that may hold each n-gram, as bits."""
         return self.blocks[block].masks(keys)
 
-    def counts(self, keys: np.ndarray, of: np.ndarray, n_texts: int) -> np.ndarray:
-        """(texts, languages) shares of the n-grams that are the language's, corrected."""
-        total = np.maximum(np.bincount(of, minlength=n_texts), 1)
-        out = np.zeros((n_texts, len(self.languages)))
+    def hits(self, keys: np.ndarray, of: np.ndarray, n_texts: int) -> np.ndarray:
+        """(texts, languages) numbers of n-grams with the language's bit."""
+        out = np.zeros((n_texts, len(self.languages)), np.int64)
         for b, block in enumerate(self.blocks):
             masks = block.masks(keys)
-            for i, false in enumerate(block.false):
-                hits = np.bincount(of, (masks >> masks.dtype.type(i)) & masks.dtype.type(1), n_texts) / total
-                out[:, b * BLOCK + i] = np.clip((hits - false) / max(1 - false, 1e-9), 0, 1)
+            for i in range(len(block.false)):
+                has = (masks >> masks.dtype.type(i)) & masks.dtype.type(1) == 1
+                out[:, b * BLOCK + i] = np.bincount(of[has], minlength=n_texts)
         return out
 
+    def corrected(self, hits: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Shares of the n-grams that are the language's, less false positives."""
+        false = np.concatenate([block.false for block in self.blocks])
+        share = hits / np.maximum(total, 1)[:, None]
+        return np.clip((share - false) / np.maximum(1 - false, 1e-9), 0, 1)
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text; the score is the share its n-grams that are the language's."""
-        given = [t or "" for t in texts]
-        keys, of = text_grams(given, self.setup.n)
-        seen = np.zeros(len(texts), bool)
-        seen[of] = True
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        counts = self.counts(keys, of, len(texts))
+        total, hits = np.zeros(len(texts), np.int64), np.zeros((len(texts), len(self.languages)), np.int64)
+        for numbers, own, more, joined in pieces(texts, self.setup.n, PORTION):
+            keys, of = text_grams(own, self.setup.n, more, joined)
+            of = np.array(numbers, np.int64)[of]
+            low, high = numbers[0], numbers[-1] + 1
+            total[low:high] += np.bincount(of - low, minlength=high - low)
+            hits[low:high] += self.hits(keys, of - low, high - low)
+        seen, counts = total > 0, self.corrected(hits, total)
         # Ties go to the language of more training text, then to the first by name.
         best = np.lexsort((np.broadcast_to(self.shares, counts.shape), counts), axis=1)[:, ::-1]
         top = best[:, 0]
@@ -152,6 +211,24 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Iterator
                 begin, held = i + 1, 0
 
 
+def text_slices(
+    batches: Iterator[pa.RecordBatch], text: str | None = None, size: int = PORTION
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of the batches of about ``size`` bytes of text, with the texts of each, made when it is its turn.
+
+    The texts are the column ``text``, or the field of that name of the column ``doc``.
+    """
+    for batch in batches:
+        column = batch.column("doc").field(text) if text else batch.column("text")
+        length = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).cumsum()
+        begin = 0
+        while begin < batch.num_rows:
+            before = length[begin - 1] if begin else 0
+            end = min(int(np.searchsorted(length, before + size)) + 1, batch.num_rows)
+            yield batch.slice(begin, end - begin), column.slice(begin, end - begin).to_pylist()
+            begin = end
+
+
 GRAMS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
@@ -164,19 +241,20 @@ def learn(train: DataFrame, setup: Setup = Setup()) -> LanguageFilter:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch, texts in chunks(batches):
+        for batch, texts in text_slices(batches):
             names, number = np.unique(batch.column("lang").to_pylist(), return_inverse=True)
-            keys, of = text_grams(texts, setup.n)
-            spoken = number[of]
-            for i, lang in enumerate(names.tolist()):
-                found, n = np.unique(keys[spoken == i], return_counts=True)
-                if lang in held:
-                    found, back = np.unique(np.concatenate([held[lang][0], found]), return_inverse=True)
-                    n = np.bincount(back, np.concatenate([held[lang][1], n])).astype(np.int64)
-                held[lang] = (found, n)
-            if sum(len(k) for k, _ in held.values()) > 1_000_000:
-                yield from emit(held)
-                held = {}
+            for numbers, own, more, joined in pieces(texts, setup.n, PORTION):
+                keys, of = text_grams(own, setup.n, more, joined)
+                spoken = number[np.array(numbers)[of]]
+                for i, lang in enumerate(names.tolist()):
+                    found, n = np.unique(keys[spoken == i], return_counts=True)
+                    if lang in held:
+                        found, back = np.unique(np.concatenate([held[lang][0], found]), return_inverse=True)
+                        n = np.bincount(back, np.concatenate([held[lang][1], n])).astype(np.int64)
+                    held[lang] = (found, n)
+                if sum(len(k) for k, _ in held.values()) > 1_000_000:
+                    yield from emit(held)
+                    held = {}
         yield from emit(held)
 
     def emit(held: dict) -> Iterator[pa.RecordBatch]:
@@ -221,16 +299,21 @@ def identify(
     Learns from the rows where ``held_out`` is false and both text and language are known. A
     text that is null or has no letter is ``und`` with score 0; so is every text if there is
     nothing to learn from. A text with letters that no language holds gets the language of
-    most training text, with score 0. The whole text counts; rows do not meet each other.
+    most training text, with score 0; ties go the same way, then to the first by name. The whole text counts, a very long
+    one piece by piece; rows do not meet each other, so repeated rows get the same result, and an empty table gives
+    no rows. A text that is among the kept columns is sent to the workers once.
     """
     held = F.coalesce(held_out, F.lit(False))
     train = docs.filter(~held).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     model = broadcast(docs.sparkSession, learn(train, setup))
-    lines = docs.select(F.struct(*(keep or docs.columns)).alias("doc"), held.alias("held_out"), F.col(text).cast("string").alias("text"))
+    kept = keep or docs.columns
+    inside = text if text in kept and docs.schema[text].dataType == T.StringType() else None
+    apart = [] if inside else [F.col(text).cast("string").alias("text")]
+    lines = docs.select(F.struct(*kept).alias("doc"), held.alias("held_out"), *apart)
     schema = lines.select("doc", "held_out").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in text_slices(batches, inside):
             names, score = model.value.predict(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(score)],

@@ -244,6 +244,30 @@ def test_language_grams_and_filter():
     assert ((model.masks(every) & masks) == masks).all()  # no language is ever missed
 
 
+def test_language_grams_of_pieces_are_those_of_the_text():
+    r = random.Random(8)
+    texts = ["".join(r.choice("abÀß1 .\n日") for _ in range(k)) for k in (0, 1, 5, 30, 200)] + ["w" * 90, " " * 40, None]
+    for n in (2, 3):
+        whole = [Counter(langid.text_grams([t or ""], n)[0].tolist()) for t in texts]
+        for size in (1, 4, 7, 64):
+            found = [Counter() for _ in texts]
+            for numbers, own, more, joined in langid.pieces(texts, n, size):
+                keys, of = langid.text_grams(own, n, more, joined)
+                for k, i in zip(keys.tolist(), of.tolist()):
+                    found[numbers[i]][k] += 1
+            assert found == whole
+
+
+def test_language_of_long_texts(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("text IS NOT NULL").limit(60).collect()
+    spoken = spark.createDataFrame([(x.text, x.lang) for x in docs], "text string, lang string")
+    model, texts = langid.learn(spoken), [x.text for x in docs]
+    whole = model.predict(texts)
+    monkeypatch.setattr(langid, "PORTION", 50)
+    got = model.predict(texts)
+    assert got[0] == whole[0] and got[1].tolist() == whole[1].tolist()
+
+
 def test_language(docs, rows, spark, sf_dir):
     got = langid.identify(docs, is_remainder(F.col("doc_id"), 4, 2)).collect()
     assert len(got) == len(rows)
