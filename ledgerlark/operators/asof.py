@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlark.functions import join_same
-from ledgerlark.operators.prices import latest_per_key
 
 
 def asof_join(
@@ -74,29 +73,6 @@ def asof_join(
     )
 
 
-def convert_currency(
-    facts: DataFrame, rates: DataFrame, date_col: str, currency_col: str, amount_col: str, tie_break: Sequence[str] = ("rate_to_usd",)
-) -> DataFrame:
-    """Add the as-of rate to the common currency and the converted amount.
-
-    A rate delivered several times for a currency and day counts once: the greatest row by
-    ``tie_break``. The as-of pass orders distinct currencies and days only, and the rate goes
-    back to the facts by currency and day. Rate and amount are multiplied at scale 9 and 6,
-    so the product keeps nine decimals.
-    """
-    keyed = rates.filter("currency_code IS NOT NULL AND rate_date IS NOT NULL")
-    once = latest_per_key(keyed, ["currency_code", "rate_date"], list(tie_break), keep=["rate_to_usd"])
-    named = once.withColumnRenamed("currency_code", currency_col)
-    joined = asof_join(facts, named, [currency_col], date_col, "rate_date", ["rate_to_usd"])
-    rate = F.col("rate_to_usd").cast("decimal(15,9)")
-    amount = F.col(amount_col).cast("decimal(22,6)")
-    return (
-        joined.withColumn("exchange_rate_to_usd", rate.cast("decimal(38,9)"))
-        .withColumn("total_value_usd", (amount * rate).cast("decimal(38,9)"))
-        .drop("rate_to_usd")
-    )
-
-
 def _all(conditions: Sequence[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlark.functions import asset_key, join_same
+from ledgerlark.operators.currency import cross_rate, with_rate
 from ledgerlark.operators.prices import latest_per_key
 from ledgerlark.operators.quality import price_quality
 
@@ -31,14 +32,8 @@ def bought_quantity() -> Column:
     return F.when(is_buy, F.col("quantity")).otherwise(0).cast(QUANTITY)
 
 
-def bought_cost() -> Column:
-    cost = F.col("quantity").cast(QUANTITY) * F.col("price_per_unit").cast(PRICE)
-    is_buy = F.col("transaction_type") == "BUY"
-    return F.when(is_buy, cost).otherwise(F.lit(0)).cast("decimal(28,9)")
-
-
 def average_cost(cost: Column | str, quantity: Column | str) -> Column:
-    """Weighted average purchase price, unrounded; null if nothing was bought."""
+    """Weighted average purchase price, unrounded; null if nothing was bought or a cost is unknown."""
     cost = F.col(cost) if isinstance(cost, str) else cost
     quantity = F.col(quantity) if isinstance(quantity, str) else quantity
     return F.when(quantity > 0, cost.cast("double") / quantity.cast("double"))
@@ -54,38 +49,42 @@ def holdings(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSI
     return upto(txns, as_of).groupBy(*by).agg(held)
 
 
-def cost_basis(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSITION) -> DataFrame:
-    """Units bought, their cost and the average purchase price per currency, commission excluded."""
-    return (
-        upto(txns, as_of)
-        .groupBy(*by, F.col("currency_code").alias("cost_basis_currency"))
-        .agg(
-            F.sum(bought_quantity()).cast(AMOUNT).alias("quantity_bought"),
-            F.sum(bought_cost()).cast(AMOUNT).alias("purchase_cost"),
-        )
-        .withColumn("avg_cost_basis", average_cost("purchase_cost", "quantity_bought"))
-    )
+def cost_sums() -> list[Column]:
+    """Sums of a position's trades, numbers only, so that they are added up by hash with partial sums."""
+    return [
+        F.sum(signed_quantity()).alias("_q"),
+        F.sum(bought_quantity()).alias("_bq"),
+        F.sum("buy_cost").alias("_bc"),
+        F.sum(F.col("buy_cost").isNull().cast("int")).alias("_unknown"),
+    ]
+
+
+def known_cost(cost: Column, unknown: Column) -> Column:
+    """The cost, null where that of any buy is unknown."""
+    return F.when(unknown == 0, cost).cast(AMOUNT)
 
 
 def positions(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSITION) -> DataFrame:
-    """Holdings and cost basis from one aggregation; closed positions are left out.
+    """One row a position: units held and bought, and what the buys cost in the asset's currency.
 
-    Negative positions stay. Selling does not change the average. Costs in different
-    currencies are never added: such a position has a row per currency. All buffers are
-    numbers, so this is a hash aggregate with partial sums.
+    ``txns`` comes from :func:`ledgerlark.operators.currency.trade_costs`, so that trades of an asset in several
+    currencies are one position. Selling does not change the average.
     """
-    return (
-        upto(txns, as_of)
-        .groupBy(*by, F.col("currency_code").alias("cost_basis_currency"))
-        .agg(
-            F.sum(signed_quantity()).cast(AMOUNT).alias("quantity_held"),
-            F.sum(bought_quantity()).cast(AMOUNT).alias("quantity_bought"),
-            F.sum(bought_cost()).cast(AMOUNT).alias("purchase_cost"),
-        )
-        .filter("quantity_held <> 0")
+    return upto(txns, as_of).groupBy(*by, "cost_basis_currency").agg(*cost_sums()).select(
+        *by,
+        "cost_basis_currency",
+        F.col("_q").cast(AMOUNT).alias("quantity_held"),
+        F.col("_bq").cast(AMOUNT).alias("quantity_bought"),
+        known_cost(F.col("_bc"), F.col("_unknown")).alias("purchase_cost"),
     )
 
 
+def cost_basis(txns: DataFrame, as_of: str | None = None, by: Sequence[str] = POSITION) -> DataFrame:
+    """Units bought, their cost in the asset's currency and the average purchase price, commission excluded."""
+    held = positions(txns, as_of, by).drop("quantity_held")
+    return held.withColumn("avg_cost_basis", average_cost("purchase_cost", "quantity_bought"))
+
+
 def running_total(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str, blocks: Sequence[Column]
 ) -> DataFrame:
@@ -111,44 +110,54 @@ def running_holdings(txns: DataFrame, order: Sequence[str], blocks: Sequence[Col
     return running_total(txns, POSITION, order, signed_quantity(), "quantity_held", blocks)
 
 
-def value_positions(df: DataFrame, price: str = "current_price") -> DataFrame:
-    """Market value and unrealized gain of positions that carry a price column.
+def value_positions(df: DataFrame, days: DataFrame, price: str = "current_price") -> DataFrame:
+    """Market value and unrealized gain of positions that carry a price column and a ``snapshot_date``.
 
-    Value and gain are null without a price; the percentage also when the cost is zero. The
-    value is in the price's currency: the gain is null where the cost is in another one, as
-    amounts of two currencies cannot be subtracted.
+    The value is in the price's currency. The gain is in the cost's: a value in another currency is converted at the
+    rates of the day (``days``, see :func:`ledgerlark.operators.currency.daily_rates`). Value and gain are null
+    without a price, the gain also without a rate or a known cost, the percentage also when the cost is zero.
     """
     held = F.col("quantity_held")
     value = (held.cast(QUANTITY) * F.col(price).cast(PRICE)).cast(AMOUNT)
     average = average_cost("purchase_cost", "quantity_bought")
     cost, gain = F.col("total_cost_basis"), F.col("unrealized_gain_loss")
+    rated = with_rate(df, days, "snapshot_date", "price_currency", rate="_price_rate")
+    rated = with_rate(rated, days, "snapshot_date", "cost_basis_currency", rate="_cost_rate")
+    ratio = cross_rate("price_currency", "cost_basis_currency", "_price_rate", "_cost_rate")
     return (
-        df.withColumn("avg_cost_basis", average)
+        rated.withColumn("avg_cost_basis", average)
         .withColumn("total_cost_basis", F.col("avg_cost_basis") * held.cast("double"))
         .withColumn("market_value", value)
-        .withColumn(
-            "unrealized_gain_loss",
-            F.when(F.col("cost_basis_currency") == F.col("price_currency"), F.col("market_value").cast("double") - cost),
-        )
+        .withColumn("unrealized_gain_loss", F.col("market_value").cast("double") * ratio - cost)
         .withColumn("unrealized_gain_loss_pct", F.when(cost != 0, F.lit(100.0) * gain / cost))
+        .drop("_price_rate", "_cost_rate")
     )
 
 
+SNAPSHOT = (
+    "snapshot_date", *POSITION, "quantity_held", "avg_cost_basis", "total_cost_basis", "cost_basis_currency",
+    "current_price", "price_currency", "price_date", "market_value", "unrealized_gain_loss", "unrealized_gain_loss_pct",
+)
+
+
 def portfolio_snapshot(
     txns: DataFrame,
     prices: DataFrame,
+    days: DataFrame,
     as_of: str,
     max_age_days: int = 5,
     last_open: str | None = None,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Every open position at a date with its cost, its as-of price, value and quality flag.
+    """Every open position at a date, one row each, with its cost, as-of price, value and quality flag.
 
-    ``prices`` has asset_key, snapshot_date, close_price, price_currency; of several rows of
+    Closed positions are left out, negative ones stay. ``txns`` comes from ``trade_costs``, ``days`` from
+    ``daily_rates``. ``prices`` has asset_key, snapshot_date, close_price, price_currency; of several rows of
     an asset and date the greatest by ``tie_break`` counts. A single date needs no ordered
     pass: the as-of price is one partial aggregate.
     """
-    held = positions(txns, as_of)
+    day = F.lit(as_of).cast("date")
+    held = positions(txns, as_of).filter("quantity_held <> 0").withColumn("snapshot_date", day)
     quoted = latest_per_key(
         upto(prices, as_of, "snapshot_date"),
         ["asset_key"],
@@ -157,27 +166,12 @@ def portfolio_snapshot(
     ).select(
         "asset_key",
         F.col("snapshot_date").alias("price_date"),
-        F.col("close_price").alias("current_price"),
+        F.col("close_price").cast(AMOUNT).alias("current_price"),
         "price_currency",
     )
-    day = F.lit(as_of).cast("date")
     open_day = None if last_open is None else F.lit(last_open).cast("date")
-    valued = value_positions(held.join(quoted, "asset_key", "left"))
-    return valued.select(
-        day.alias("snapshot_date"),
-        *POSITION,
-        "quantity_held",
-        "avg_cost_basis",
-        "total_cost_basis",
-        "cost_basis_currency",
-        F.col("current_price").cast(AMOUNT).alias("current_price"),
-        "price_currency",
-        "price_date",
-        "market_value",
-        "unrealized_gain_loss",
-        "unrealized_gain_loss_pct",
-        price_quality(F.col("price_date"), day, max_age_days, open_day).alias("data_quality"),
-    )
+    valued = value_positions(held.join(quoted, "asset_key", "left"), days.filter(F.col("rate_day") == day))
+    return valued.select(*SNAPSHOT, price_quality(F.col("price_date"), day, max_age_days, open_day).alias("data_quality"))
 
 
 def store_snapshot(snapshot: DataFrame, calculated_at: Column) -> DataFrame:
@@ -205,17 +199,18 @@ def _runs(changes: DataFrame, by: Sequence[str], date: str, end: str) -> DataFra
 def portfolio_history(
     txns: DataFrame,
     prices: DataFrame,
+    days: DataFrame,
     start: str,
     end: str,
     max_age_days: int = 5,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per open position, cost currency and day of [start, end], valued at the as-of price.
+    """One row per open position and day of [start, end], valued at the as-of price.
 
     Everything before ``start`` counts as of ``start``: it is summed up (transactions) or
     reduced to the last quote (prices) by a partial aggregate, so the running pass sees at
     most one row per position and day of the range. Holdings and prices are then spread
-    over the days on which they hold, and meet in an equi join.
+    over the days on which they hold, and meet in an equi join. ``txns`` and ``days`` as for a snapshot.
     """
     first = F.lit(start).cast("date")
     held_by = [*POSITION, "cost_basis_currency"]
@@ -224,21 +219,17 @@ def portfolio_history(
     )
     daily = (
         upto(txns, end)
-        .withColumn("cost_basis_currency", F.col("currency_code"))
         .withColumn("transaction_date", F.greatest("transaction_date", first))
         .groupBy(*held_by, "transaction_date")
-        .agg(
-            F.sum(signed_quantity()).alias("_q"),
-            F.sum(bought_quantity()).alias("_bq"),
-            F.sum(bought_cost()).alias("_bc"),
-        )
+        .agg(*cost_sums())
     )
+    so_far = {c: F.sum(c).over(running) for c in ("_q", "_bq", "_bc", "_unknown")}
     changes = daily.select(
         *held_by,
         "transaction_date",
-        F.sum("_q").over(running).cast(AMOUNT).alias("quantity_held"),
-        F.sum("_bq").over(running).cast(AMOUNT).alias("quantity_bought"),
-        F.sum("_bc").over(running).cast(AMOUNT).alias("purchase_cost"),
+        so_far["_q"].cast(AMOUNT).alias("quantity_held"),
+        so_far["_bq"].cast(AMOUNT).alias("quantity_bought"),
+        known_cost(so_far["_bc"], so_far["_unknown"]).alias("purchase_cost"),
     )
     held = _runs(changes, held_by, "transaction_date", end)
     held = held.filter("quantity_held <> 0")
@@ -247,7 +238,7 @@ def portfolio_history(
             "asset_key",
             F.greatest("snapshot_date", first).alias("effective"),
             F.col("snapshot_date").alias("price_date"),
-            F.col("close_price").alias("current_price"),
+            F.col("close_price").cast(AMOUNT).alias("current_price"),
             "price_currency",
             *tie_break,
         ),
@@ -256,21 +247,10 @@ def portfolio_history(
         keep=["price_date", "current_price", "price_currency"],
     )
     quoted = _runs(quotes, ["asset_key"], "effective", end)
-    valued = value_positions(held.join(quoted, ["asset_key", "snapshot_date"], "left"))
+    rates = days.filter(F.col("rate_day").between(first, F.lit(end).cast("date")))
+    valued = value_positions(held.join(quoted, ["asset_key", "snapshot_date"], "left"), rates)
     return valued.select(
-        "snapshot_date",
-        *POSITION,
-        "quantity_held",
-        "avg_cost_basis",
-        "total_cost_basis",
-        "cost_basis_currency",
-        F.col("current_price").cast(AMOUNT).alias("current_price"),
-        "price_currency",
-        "price_date",
-        "market_value",
-        "unrealized_gain_loss",
-        "unrealized_gain_loss_pct",
-        price_quality(F.col("price_date"), F.col("snapshot_date"), max_age_days).alias("data_quality"),
+        *SNAPSHOT, price_quality(F.col("price_date"), F.col("snapshot_date"), max_age_days).alias("data_quality")
     )
 
 

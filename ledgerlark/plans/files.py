@@ -12,7 +12,7 @@ from ledgerlark.plans.prices import RECORDS, _records, as_wall_clock
 from ledgerlark.plans.registry import query
 from ledgerlark.schemas import BATCH_RECORD, BOND_STAGING, DIM_ASSET, STAGED_PRICES, TRANSACTIONS
 from ledgerlark.session import fresh_path
-from ledgerlark.sinks import tables
+from ledgerlark.sinks import file_table, tables
 from ledgerlark.sources import files, landing, payloads
 from ledgerlark.streaming.ingest import FILES, IngestPaths, ingest_new_files
 
@@ -182,6 +182,22 @@ def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
 
 
+@query(f"""WITH {model.DAILY}
+SELECT asset_key, snapshot_date, close_price, CASE WHEN asset_key % 16 = 3 AND month(snapshot_date) = 6 THEN volume + 1 ELSE volume END AS volume,
+  CAST(asset_key % 16 AS INTEGER) AS bucket, asset_key % 16 = 3 AS rewritten FROM daily""")
+def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert that rewrites files, not partitions, and every row with whether its file was rewritten."""
+    path = fresh_path(spark, "fact-files")
+    fact = _fact(spark, sf_dir).withColumn("bucket", (F.col("asset_key") % 16).cast("int"))
+    file_table.create(fact.filter("snapshot_date <> date'1998-06-15' OR bucket <> 3"), path, "bucket", ["asset_key", "snapshot_date"])
+    june = fact.filter("bucket = 3 AND month(snapshot_date) = 6").withColumn("volume", F.col("volume") + 1)
+    change = file_table.merge_files(spark, june, path, ["bucket", "asset_key", "snapshot_date"], ["close_price", "volume"], "bucket")
+    kept = spark.createDataFrame([(n,) for n in change["kept"]], "name string")
+    name = F.regexp_extract("_metadata.file_path", "/data/(.*)$", 1).alias("name")
+    rows = file_table.read(spark, path).select("*", name).join(kept.withColumn("_kept", F.lit(True)), "name", "left")
+    return rows.select(*fact.columns, F.col("_kept").isNull().alias("rewritten"))
+
+
 @query(f"WITH {ORDER_SPINE} SELECT * FROM spine")
 def dim_date_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "dim-date")

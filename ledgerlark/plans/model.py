@@ -170,14 +170,71 @@ signed AS (
 )"""
 
 
-def positions_sql(date_filter: str, by: str = "user_id, asset_key") -> str:
-    """Positions from the signed transactions, in the types the plans return."""
+# The last day on which rates are asked for; all tables end before it.
+RATES_UNTIL = "2010-12-31"
+
+
+def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates to USD: one for pesos on every Monday with orders, a constant one for dollars."""
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("rate_date"))
+    peso = F.dayofyear("rate_date").cast("decimal(9,0)") + F.lit(800)
+    pesos = days.filter(F.weekday("rate_date") == 0).distinct().select(
+        F.lit("ARS").alias("currency_code"),
+        "rate_date",
+        (peso * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(15,9)").alias("rate_to_usd"),
+    )
+    dollars = days.agg(F.min("rate_date").alias("rate_date")).select(
+        F.lit("USD").alias("currency_code"), "rate_date", F.lit(1).cast("decimal(15,9)").alias("rate_to_usd")
+    )
+    # Every rate is delivered a second time, corrected downwards; the higher one counts.
+    corrected = F.col("rate_to_usd") - F.lit("0.000000001").cast("decimal(15,9)")
+    again = pesos.withColumn("rate_to_usd", corrected.cast("decimal(15,9)"))
+    return pesos.unionByName(again).unionByName(dollars)
+
+
+RATES = """
+rate_dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_date FROM orders),
+delivered AS (
+  SELECT 'ARS' AS currency_code, rate_date,
+    CAST(CAST(800 + dayofyear(rate_date) AS DECIMAL(9,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(15,9)) AS rate_to_usd
+  FROM rate_dates WHERE isodow(rate_date) = 1
+  UNION ALL SELECT 'USD', min(rate_date), CAST(1 AS DECIMAL(15,9)) FROM rate_dates
+),
+rates AS (
+  SELECT currency_code, rate_date, max(rate_to_usd) AS rate_to_usd
+  FROM (SELECT * FROM delivered UNION ALL SELECT currency_code, rate_date, CAST(rate_to_usd - 0.000000001 AS DECIMAL(15,9))
+        FROM delivered WHERE currency_code = 'ARS') GROUP BY ALL
+)"""
+
+
+def cross_rate_sql(source: str, target: str, source_rate: str, target_rate: str) -> str:
+    """Units of the target currency for one of the source currency, of whole billionths."""
+    whole = "CAST(CAST(CAST({} AS DECIMAL(28,9)) * 1000000000 AS BIGINT) AS DOUBLE)"
+    return f"CASE WHEN {source} = {target} THEN 1.0::DOUBLE ELSE {whole.format(source_rate)} / {whole.format(target_rate)} END"
+
+
+COSTED = f"""
+costed AS (
+  SELECT s.*, a.currency_code AS cost_basis_currency, CASE WHEN transaction_type <> 'BUY' THEN 0
+    WHEN s.currency_code = a.currency_code THEN bought_cost
+    ELSE CAST(CAST(round(CAST(CAST(CAST(bought_cost AS DECIMAL(28,6)) * 1000000 AS BIGINT) AS DOUBLE)
+      * ({cross_rate_sql("s.currency_code", "a.currency_code", "p.rate_to_usd", "o.rate_to_usd")})) AS BIGINT) AS DECIMAL(20,0))
+      * CAST(0.000001 AS DECIMAL(7,6)) END AS buy_cost
+  FROM signed s LEFT JOIN assets a USING (asset_key)
+  ASOF LEFT JOIN rates p ON s.currency_code = p.currency_code AND s.transaction_date >= p.rate_date
+  ASOF LEFT JOIN rates o ON a.currency_code = o.currency_code AND s.transaction_date >= o.rate_date
+)"""
+
+
+def positions_sql(date_filter: str, by: str = "user_id, asset_key", source: str = "costed") -> str:
+    """Positions from the transactions, in the types the plans return: one row each, cost in the asset's currency."""
     return f"""
 positions AS (
-  SELECT {by}, CAST(sum(signed_quantity) AS DECIMAL(38,9)) AS quantity_held,
+  SELECT {by}, any_value(cost_basis_currency) AS cost_basis_currency,
+         CAST(sum(signed_quantity) AS DECIMAL(38,9)) AS quantity_held,
          CAST(sum(bought_quantity) AS DECIMAL(38,9)) AS quantity_bought,
-         CAST(sum(bought_cost) AS DECIMAL(38,9)) AS purchase_cost
-  FROM signed WHERE {date_filter} GROUP BY ALL
+         CASE WHEN count(*) FILTER (buy_cost IS NULL) = 0 THEN CAST(sum(buy_cost) AS DECIMAL(38,9)) END AS purchase_cost
+  FROM {source} WHERE {date_filter} GROUP BY {by}
 )"""
 
 

@@ -4,61 +4,91 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlark.operators import asof, calendar, portfolio
+from ledgerlark.operators import asof, calendar, currency, increments, moving_cost, portfolio
 from ledgerlark.plans import model
 from ledgerlark.plans.registry import query
 from ledgerlark.session import fresh_path
+from ledgerlark.sinks import file_table
 from ledgerlark.sinks.tables import append_fact
 
 AS_OF = "1998-06-30"
 HISTORY = ("1998-06-17", "1998-06-30")
-PER_CURRENCY = "user_id, asset_key, currency_code AS cost_basis_currency"
+YEAR = ("1997-07-01", "1998-06-30")
 
-SNAPSHOT = f"""
-{model.DAILY},
-{model.TRANSACTIONS},
-{model.positions_sql(f"transaction_date <= DATE '{AS_OF}'", PER_CURRENCY)},
-held AS (SELECT * FROM positions WHERE quantity_held <> 0),
+TRADES = f"{model.ASSETS}, {model.RATES}, {model.TRANSACTIONS}, {model.COSTED}"
+
+
+def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with their cost in the asset's currency."""
+    days = currency.daily_rates(model.rates(spark, sf_dir), model.RATES_UNTIL)
+    return currency.trade_costs(model.transactions(spark, sf_dir), model.assets(spark, sf_dir), days)
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return currency.daily_rates(model.rates(spark, sf_dir), model.RATES_UNTIL)
+
+
+def _valued_sql(positions: str) -> str:
+    """The rows of a snapshot from positions that have a ``snapshot_date``."""
+    ratio = model.cross_rate_sql("price_currency", "cost_basis_currency", "v.rate_to_usd", "c.rate_to_usd")
+    return f"""
 priced AS (
-  SELECT h.*, d.close_price AS current_price, d.price_currency, d.snapshot_date AS price_date
-  FROM (SELECT *, DATE '{AS_OF}' AS as_of FROM held) h
-  ASOF LEFT JOIN daily d ON h.asset_key = d.asset_key AND h.as_of >= d.snapshot_date
+  SELECT h.*, CAST(d.close_price AS DECIMAL(38,9)) AS current_price, d.price_currency, d.snapshot_date AS price_date
+  FROM (SELECT * FROM {positions} WHERE quantity_held <> 0) h
+  ASOF LEFT JOIN daily d ON h.asset_key = d.asset_key AND h.snapshot_date >= d.snapshot_date
 ),
-costed AS (
+averaged AS (
   SELECT *, CASE WHEN quantity_bought > 0 THEN CAST(purchase_cost AS DOUBLE) / CAST(quantity_bought AS DOUBLE) END AS avg_cost_basis,
     CAST(CAST(quantity_held AS DECIMAL(20,6)) * CAST(current_price AS DECIMAL(18,6)) AS DECIMAL(38,9)) AS market_value
   FROM priced
 ),
-valued AS (SELECT *, avg_cost_basis * CAST(quantity_held AS DOUBLE) AS total_cost_basis FROM costed),
-snapshot AS (
-  SELECT as_of AS snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_cost_basis,
-    cost_basis_currency, CAST(current_price AS DECIMAL(38,9)) AS current_price,
-    price_currency, price_date, market_value,
-    CASE WHEN cost_basis_currency = price_currency THEN CAST(market_value AS DOUBLE) - total_cost_basis END AS unrealized_gain_loss,
-    CASE WHEN total_cost_basis <> 0 AND cost_basis_currency = price_currency
-         THEN 100.0::DOUBLE * (CAST(market_value AS DOUBLE) - total_cost_basis) / total_cost_basis END AS unrealized_gain_loss_pct,
+gained AS (
+  SELECT a.*, avg_cost_basis * CAST(quantity_held AS DOUBLE) AS total_cost_basis,
+    CAST(market_value AS DOUBLE) * ({ratio}) - avg_cost_basis * CAST(quantity_held AS DOUBLE) AS gain
+  FROM averaged a
+  ASOF LEFT JOIN rates v ON a.price_currency = v.currency_code AND a.snapshot_date >= v.rate_date
+  ASOF LEFT JOIN rates c ON a.cost_basis_currency = c.currency_code AND a.snapshot_date >= c.rate_date
+),
+valued AS (
+  SELECT snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_cost_basis, cost_basis_currency,
+    current_price, price_currency, price_date, market_value, gain AS unrealized_gain_loss,
+    CASE WHEN total_cost_basis <> 0 THEN 100.0::DOUBLE * gain / total_cost_basis END AS unrealized_gain_loss_pct,
     CASE WHEN price_date IS NULL THEN 'MISSING_PRICE'
-         WHEN as_of - price_date > 5 THEN 'STALE_PRICE' ELSE 'COMPLETE' END AS data_quality
-  FROM valued
+         WHEN snapshot_date - price_date > 5 THEN 'STALE_PRICE' ELSE 'COMPLETE' END AS data_quality
+  FROM gained
 )"""
 
 
+SNAPSHOT = f"""{model.DAILY}, {TRADES},
+{model.positions_sql(f"transaction_date <= DATE '{AS_OF}'")},
+held AS (SELECT *, DATE '{AS_OF}' AS snapshot_date FROM positions),
+{_valued_sql("held")}"""
+
+
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices, trades = model.ticks(spark, sf_dir), model.transactions(spark, sf_dir)
-    return portfolio.portfolio_snapshot(trades, prices, AS_OF, tie_break=model.TICK_ORDER)
+    prices, trades = model.ticks(spark, sf_dir), _trades(spark, sf_dir)
+    return portfolio.portfolio_snapshot(trades, prices, _days(spark, sf_dir), AS_OF, tie_break=model.TICK_ORDER)
 
 
-@query(f"WITH {SNAPSHOT} SELECT * FROM snapshot")
+@query(f"WITH {SNAPSHOT} SELECT * FROM valued")
 def portfolio_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapshot(spark, sf_dir)
 
 
+# Stored amounts come back as whole thousandths, half up; what is within a ten-thousandth of a half counts as one, so
+# that the last binary digit of a double decides nothing.
+STORED = ("avg_cost_basis", "total_cost_basis", "unrealized_gain_loss", "unrealized_gain_loss_pct")
+
+
 @query(f"""WITH {SNAPSHOT}
 SELECT snapshot_date, user_id, asset_key, quantity_held, cost_basis_currency, current_price, price_currency, market_value,
-  avg_cost_basis IS NOT NULL AS has_cost, unrealized_gain_loss IS NOT NULL AS has_gain,
-  TIMESTAMP '{model.INGESTED_AT}' AS calculated_at, data_quality FROM snapshot""")
+  {", ".join(f"CAST(floor({c} * 1000 + 0.5001) AS BIGINT) AS {c}" for c in STORED)},
+  TIMESTAMP '{model.INGESTED_AT}' AS calculated_at, data_quality FROM valued""")
 def snapshot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshot in its day-partitioned table; a second run replaces its own day."""
+    """The snapshot in its day-partitioned table; a second run replaces its own day.
+
+    The four stored amounts come back as whole thousandths.
+    """
     path = fresh_path(spark, "snapshots")
     stored = portfolio.store_snapshot(_snapshot(spark, sf_dir), model.ingested_at())
     for _ in range(2):
@@ -66,17 +96,17 @@ def snapshot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = spark.read.schema(stored.schema).parquet(path)
     return kept.select(
         "snapshot_date", *portfolio.POSITION, "quantity_held", "cost_basis_currency", "current_price", "price_currency",
-        "market_value", F.col("avg_cost_basis").isNotNull().alias("has_cost"),
-        F.col("unrealized_gain_loss").isNotNull().alias("has_gain"), model.ntz("calculated_at"), "data_quality",
+        "market_value", *[F.floor(F.col(c) * 1000 + F.lit(0.5001)).cast("bigint").alias(c) for c in STORED],
+        model.ntz("calculated_at"), "data_quality",
     )
 
 
-@query(f"""WITH {SNAPSHOT}, {model.ASSETS}
+@query(f"""WITH {SNAPSHOT}
 SELECT price_currency, exchange_country, asset_type,
   GROUPING(price_currency, exchange_country, asset_type) AS level, count(*) AS positions,
   count(*) FILTER (data_quality <> 'COMPLETE') AS flagged,
   CAST(sum(market_value) AS DECIMAL(38,9)) AS market_value
-FROM snapshot LEFT JOIN assets USING (asset_key)
+FROM valued LEFT JOIN assets USING (asset_key)
 GROUP BY GROUPING SETS ((price_currency), (price_currency, exchange_country), (price_currency, exchange_country, asset_type))""")
 def portfolio_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.portfolio_rollup(
@@ -86,8 +116,9 @@ def portfolio_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {model.TRANSACTIONS}, {model.positions_sql(f"transaction_date <= DATE '{AS_OF}'")}
-SELECT user_id, asset_key, quantity_held FROM positions""")
+@query(f"""WITH {model.TRANSACTIONS}
+SELECT user_id, asset_key, CAST(sum(signed_quantity) AS DECIMAL(38,9)) AS quantity_held
+FROM signed WHERE transaction_date <= DATE '{AS_OF}' GROUP BY ALL""")
 def holdings_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.holdings(model.transactions(spark, sf_dir), AS_OF)
 
@@ -105,39 +136,120 @@ def holdings_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running.select("transaction_id", "user_id", "asset_key", "transaction_date", "quantity_held")
 
 
-@query(f"""WITH {model.TRANSACTIONS}, {model.positions_sql(f"transaction_date <= DATE '{AS_OF}'", PER_CURRENCY)}
+@query(f"""WITH {TRADES}, {model.positions_sql(f"transaction_date <= DATE '{AS_OF}'")}
 SELECT user_id, asset_key, cost_basis_currency, quantity_bought, purchase_cost,
   CASE WHEN quantity_bought > 0 THEN CAST(purchase_cost AS DOUBLE) / CAST(quantity_bought AS DOUBLE) END AS avg_cost_basis
 FROM positions""")
 def cost_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portfolio.cost_basis(model.transactions(spark, sf_dir), AS_OF)
+    return portfolio.cost_basis(_trades(spark, sf_dir), AS_OF)
+
+
+def _moving_sql(by: str) -> str:
+    """The cost after every trade by a recursion over the trades of a position."""
+    rule = """CASE WHEN o.q <= 0 THEN 0.0::DOUBLE
+      WHEN o.transaction_type = 'BUY' AND o.q0 >= 0 THEN {c} + o.cost
+      WHEN o.transaction_type = 'BUY' THEN o.cost * o.q / o.bought
+      WHEN o.q0 <= 0 THEN 0.0::DOUBLE
+      WHEN o.transaction_type = 'SELL' THEN {c} * (o.q / o.q0) ELSE {c} END"""
+    return f"""
+numbered AS (
+  SELECT *, row_number() OVER w AS n, sum(signed_quantity) OVER (w ROWS UNBOUNDED PRECEDING) AS held,
+    CAST(buy_cost AS DOUBLE) AS cost, CAST(bought_quantity AS DOUBLE) AS bought
+  FROM costed WINDOW w AS (PARTITION BY {by} ORDER BY transaction_date, l_orderkey, l_linenumber, l_suppkey)
+),
+steps AS (SELECT *, CAST(held AS DOUBLE) AS q, CAST(held - signed_quantity AS DOUBLE) AS q0 FROM numbered),
+moving AS (
+  SELECT o.*, {rule.format(c="0.0::DOUBLE")} AS moving_cost FROM steps o WHERE n = 1
+  UNION ALL SELECT o.*, {rule.format(c="m.moving_cost")} FROM moving m JOIN steps o
+    ON o.n = m.n + 1 AND {" AND ".join(f"o.{c} = m.{c}" for c in by.split(", "))}
+)
+SELECT transaction_id, user_id, asset_key, transaction_date, cost_basis_currency, CAST(held AS DECIMAL(38,9)) AS quantity_held,
+  CAST(floor(moving_cost * 100 + 0.5001) AS BIGINT) AS cost_cents FROM moving"""
+
+
+def _moving(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
+    """Whole cents, half up: what is within a ten-thousandth of a half counts as one, whatever the order of the sums."""
+    order = ["transaction_date", *model.TICK_ORDER]
+    costs = moving_cost.moving_cost(_trades(spark, sf_dir), order, by=by)
+    cents = F.floor(F.col("moving_cost") * 100 + F.lit(0.5001)).cast("bigint").alias("cost_cents")
+    return costs.select("transaction_id", *portfolio.POSITION, "transaction_date", "cost_basis_currency", "quantity_held", cents)
+
+
+@query(f"WITH RECURSIVE {TRADES}, {_moving_sql('user_id, asset_key')}")
+def cost_basis_moving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moving-average cost of every position after each of its trades."""
+    return _moving(spark, sf_dir, portfolio.POSITION)
 
 
-@query(f"""WITH {model.DAILY}, {model.TRANSACTIONS},
+@query(f"WITH RECURSIVE {TRADES}, {_moving_sql('asset_key')}")
+def cost_basis_moving_desk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the desk as a whole: all users' trades of an asset are one position."""
+    return _moving(spark, sf_dir, ["asset_key"])
+
+
+HELD_DAILY = model.positions_sql("transaction_date <= snapshot_date", "snapshot_date, user_id, asset_key", "costed, days")
+HISTORY_SQL = f"""{model.DAILY}, {TRADES},
 days AS (SELECT CAST(unnest(generate_series(DATE '{HISTORY[0]}', DATE '{HISTORY[1]}', INTERVAL 1 DAY)) AS DATE) AS snapshot_date),
-{model.positions_sql("transaction_date <= snapshot_date", "snapshot_date, " + PER_CURRENCY).replace("FROM signed", "FROM signed, days")},
-priced AS (
-  SELECT p.*, d.close_price AS current_price, d.price_currency, d.snapshot_date AS price_date
-  FROM (SELECT * FROM positions WHERE quantity_held <> 0) p
-  ASOF LEFT JOIN daily d ON p.asset_key = d.asset_key AND p.snapshot_date >= d.snapshot_date
+{HELD_DAILY}, {_valued_sql("positions")}"""
+
+
+@query(f"WITH {HISTORY_SQL} SELECT * FROM valued")
+def portfolio_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trades, prices = _trades(spark, sf_dir), model.ticks(spark, sf_dir)
+    return portfolio.portfolio_history(trades, prices, _days(spark, sf_dir), *HISTORY, tie_break=model.TICK_ORDER)
+
+
+@query(f"""WITH {model.DAILY}, {TRADES},
+daily_sums AS (
+  SELECT user_id, asset_key, any_value(cost_basis_currency) AS cost_basis_currency,
+    greatest(transaction_date, DATE '{YEAR[0]}') AS first_day, sum(signed_quantity) AS q, sum(bought_quantity) AS b,
+    count(*) FILTER (buy_cost IS NULL) AS unknown, sum(buy_cost) AS cost
+  FROM costed WHERE transaction_date <= DATE '{YEAR[1]}' GROUP BY user_id, asset_key, first_day
 ),
-costed AS (
-  SELECT *, CASE WHEN quantity_bought > 0 THEN CAST(purchase_cost AS DOUBLE) / CAST(quantity_bought AS DOUBLE) END AS avg_cost_basis,
-    CAST(CAST(quantity_held AS DECIMAL(20,6)) * CAST(current_price AS DECIMAL(18,6)) AS DECIMAL(38,9)) AS market_value
-  FROM priced
+runs AS (
+  SELECT user_id, asset_key, cost_basis_currency, first_day, CAST(sum(q) OVER w AS DECIMAL(38,9)) AS quantity_held,
+    CAST(sum(b) OVER w AS DECIMAL(38,9)) AS quantity_bought,
+    CASE WHEN sum(unknown) OVER w = 0 THEN CAST(sum(cost) OVER w AS DECIMAL(38,9)) END AS purchase_cost,
+    coalesce(lead(first_day) OVER w, DATE '{YEAR[1]}' + 1) - 1 AS last_day
+  FROM daily_sums WINDOW w AS (PARTITION BY user_id, asset_key ORDER BY first_day)
 ),
-valued AS (SELECT *, avg_cost_basis * CAST(quantity_held AS DOUBLE) AS total_cost_basis FROM costed)
-SELECT snapshot_date, user_id, asset_key, quantity_held, avg_cost_basis, total_cost_basis, cost_basis_currency,
-  CAST(current_price AS DECIMAL(38,9)) AS current_price, price_currency, price_date, market_value,
-  CASE WHEN cost_basis_currency = price_currency THEN CAST(market_value AS DOUBLE) - total_cost_basis END AS unrealized_gain_loss,
-  CASE WHEN total_cost_basis <> 0 AND cost_basis_currency = price_currency
-       THEN 100.0::DOUBLE * (CAST(market_value AS DOUBLE) - total_cost_basis) / total_cost_basis END AS unrealized_gain_loss_pct,
-  CASE WHEN price_date IS NULL THEN 'MISSING_PRICE'
-       WHEN snapshot_date - price_date > 5 THEN 'STALE_PRICE' ELSE 'COMPLETE' END AS data_quality
-FROM valued""")
-def portfolio_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trades, prices = model.transactions(spark, sf_dir), model.ticks(spark, sf_dir)
-    return portfolio.portfolio_history(trades, prices, *HISTORY, tie_break=model.TICK_ORDER)
+held AS (
+  SELECT * EXCLUDE (first_day, last_day), CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS snapshot_date
+  FROM runs WHERE quantity_held <> 0
+),
+{_valued_sql("held")}
+SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS month, price_currency, data_quality, count(*) AS position_days,
+  count(DISTINCT snapshot_date) AS days, CAST(sum(market_value) AS DECIMAL(38,9)) AS value_days,
+  count(unrealized_gain_loss) AS gains
+FROM valued GROUP BY ALL""")
+def portfolio_history_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year of daily history, summed up by month, currency and quality flag."""
+    trades, prices = _trades(spark, sf_dir), model.ticks(spark, sf_dir)
+    history = portfolio.portfolio_history(trades, prices, _days(spark, sf_dir), *YEAR, tie_break=model.TICK_ORDER)
+    month = F.trunc("snapshot_date", "month").alias("month")
+    daily = history.groupBy(month, "snapshot_date", "price_currency", "data_quality").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("market_value").alias("value"), F.count("unrealized_gain_loss").alias("gains")
+    )
+    return daily.groupBy("month", "price_currency", "data_quality").agg(
+        F.sum("n").alias("position_days"), F.count(F.lit(1)).alias("days"),
+        F.sum("value").cast("decimal(38,9)").alias("value_days"), F.sum("gains").alias("gains"),
+    )
+
+
+@query(f"WITH {HISTORY_SQL} SELECT * FROM valued")
+def history_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history kept up to date over three deliveries, the later ones with trades of any date.
+
+    After each, only the days from a position's first new trade on are computed and only files that hold them
+    are rewritten; in the end the table is what a full rebuild gives.
+    """
+    path = fresh_path(spark, "history")
+    prices, days = model.ticks(spark, sf_dir), _days(spark, sf_dir)
+    trades = _trades(spark, sf_dir).withColumn("delivery", F.when(F.col("l_orderkey") % 50 < 2, F.col("l_orderkey") % 50 + 1).otherwise(0))
+    for n in range(3):
+        known, new = trades.filter(F.col("delivery") <= n), trades.filter(F.col("delivery") == n)
+        increments.refresh_history(spark, path, known, prices, days, new, *HISTORY, tie_break=model.TICK_ORDER)
+    return file_table.read(spark, path)
 
 
 @query(f"""WITH {model.DAILY}, {model.TRANSACTIONS}
@@ -155,37 +267,7 @@ def asof_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates to USD: one for pesos on every Monday with orders, a constant one for dollars."""
-    days = model.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("rate_date"))
-    peso = F.dayofyear("rate_date").cast("decimal(9,0)") + F.lit(800)
-    pesos = days.filter(F.weekday("rate_date") == 0).distinct().select(
-        F.lit("ARS").alias("currency_code"),
-        "rate_date",
-        (peso * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(15,9)").alias("rate_to_usd"),
-    )
-    dollars = days.agg(F.min("rate_date").alias("rate_date")).select(
-        F.lit("USD").alias("currency_code"), "rate_date", F.lit(1).cast("decimal(15,9)").alias("rate_to_usd")
-    )
-    # Every rate is delivered a second time, corrected downwards; the higher one counts.
-    corrected = F.col("rate_to_usd") - F.lit("0.000000001").cast("decimal(15,9)")
-    again = pesos.withColumn("rate_to_usd", corrected.cast("decimal(15,9)"))
-    return pesos.unionByName(again).unionByName(dollars)
-
-
-@query(f"""WITH {model.ASSETS}, {model.DAILY},
-days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_date FROM orders),
-delivered AS (
-  SELECT 'ARS' AS currency_code, rate_date,
-    CAST(CAST(800 + dayofyear(rate_date) AS DECIMAL(9,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(15,9)) AS rate_to_usd
-  FROM days WHERE isodow(rate_date) = 1
-  UNION ALL SELECT 'USD', min(rate_date), CAST(1 AS DECIMAL(15,9)) FROM days
-),
-rates AS (
-  SELECT currency_code, rate_date, max(rate_to_usd) AS rate_to_usd
-  FROM (SELECT * FROM delivered UNION ALL SELECT currency_code, rate_date, CAST(rate_to_usd - 0.000000001 AS DECIMAL(15,9))
-        FROM delivered WHERE currency_code = 'ARS') GROUP BY ALL
-),
+@query(f"""WITH {model.ASSETS}, {model.DAILY}, {model.RATES},
 held AS (SELECT asset_key, snapshot_date, CAST(sum(volume) AS DECIMAL(38,9)) AS quantity FROM ticks GROUP BY ALL),
 local AS (
   SELECT h.*, close_price, currency_code,
@@ -203,10 +285,11 @@ def fx_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.max_by("close_price", F.struct(*model.TICK_ORDER)).alias("close_price")
     held = ticks.groupBy("asset_key", "snapshot_date").agg(quantity, last)  # one pass for both
     local = portfolio.investment_snapshot(held)
-    currency = model.assets(spark, sf_dir).select("asset_key", "currency_code")
-    facts = local.join(currency, "asset_key", "left")
-    usd = asof.convert_currency(
-        facts, _rates(spark, sf_dir), "snapshot_date", "currency_code", "total_value_local"
+    own = model.assets(spark, sf_dir).select("asset_key", "currency_code")
+    facts = local.join(own, "asset_key", "left")
+    rates = model.rates(spark, sf_dir)
+    usd = currency.convert_currency(
+        facts, rates, "snapshot_date", "currency_code", "total_value_local", until=model.RATES_UNTIL
     )
     return usd.withColumn("snapshot_timestamp", model.ntz("snapshot_timestamp"))
 

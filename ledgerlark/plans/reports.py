@@ -114,6 +114,12 @@ def payload_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
+def _spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines, narrow as they are, over all tasks before texts are made of them and parsed."""
+    columns = [*LINE_KEY, "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag"]
+    return model.table(spark, sf_dir, "lineitem").select(*columns).repartition(*LINE_KEY)
+
+
 def _price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-line CSV payload per order line; every other one is oldest first."""
 
@@ -146,20 +152,25 @@ def payload_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REFUSED = f"note\n{payloads.QUOTA_MARKER}"
 ERROR_BODY = '{\n"Error Message": "no such call"\n}'
+ONE_LINE_ERROR = '{"Error Message": "no such call"}'
 
 
 @query(f"""SELECT {", ".join(LINE_KEY)}, CAST(l_shipdate AS DATE) AS "timestamp", l_extendedprice AS "close",
   CAST(NULL AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS reject_reason FROM lineitem WHERE l_linenumber < 5
 UNION ALL SELECT {", ".join(LINE_KEY)}, CAST(l_shipdate AS DATE) - 1, l_quantity, NULL, NULL FROM lineitem WHERE l_linenumber < 5
 UNION ALL SELECT {", ".join(LINE_KEY)}, NULL, NULL, line, reason FROM lineitem, (VALUES
-  (5, '{payloads.QUOTA_MARKER}', 'rate_limited'), (6, '"Error Message": "no such call"', 'corrupt_line'), (6, '{"}"}', 'corrupt_line'))
-  AS r(n, line, reason) WHERE l_linenumber = n""")
+  (5, 0, 'note', 'rate_limited'), (5, 1, '{payloads.QUOTA_MARKER}', 'rate_limited'),
+  (6, 0, '"Error Message": "no such call"', 'corrupt_line'), (6, 0, '{"}"}', 'corrupt_line'),
+  (6, 1, '{ONE_LINE_ERROR}', 'corrupt_body'), (7, 0, NULL, 'corrupt_body'), (7, 1, NULL, 'no_answer'))
+  AS r(n, kind, line, reason) WHERE l_linenumber = n AND l_orderkey % 2 = kind""")
 def payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price rows and refused lines of payloads among which are quota notices, errors and nulls."""
+    """Price rows and refusals of payloads among which are quota notices, errors of one and more lines, empty ones and nulls."""
+    no, odd = F.col("l_linenumber"), F.col("l_orderkey") % 2 == 1
     body = (
-        F.when(F.col("l_linenumber") == 5, REFUSED)
-        .when(F.col("l_linenumber") == 6, ERROR_BODY)
-        .when(F.col("l_linenumber") < 5, F.col("text"))
+        F.when(no == 5, F.when(odd, payloads.QUOTA_MARKER).otherwise(REFUSED))
+        .when(no == 6, F.when(odd, ONE_LINE_ERROR).otherwise(ERROR_BODY))
+        .when(no == 7, F.when(~odd, " \n"))
+        .otherwise(F.col("text"))
     )
     answers = _price_payloads(spark, sf_dir).withColumn("text", body)
     nothing = F.lit(None).cast("string")
@@ -192,8 +203,7 @@ def series_json_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     error = F.lit('{"Error Message": "Invalid API call"}')
     payload = F.when(F.col("l_returnflag") == "N", error).otherwise(series)
-    lines = model.table(spark, sf_dir, "lineitem")
-    rows = evaluate_once(lines, symbol=F.concat_ws("-", *LINE_KEY), payload=payload)
+    rows = evaluate_once(_spread_lines(spark, sf_dir), symbol=F.concat_ws("-", *LINE_KEY), payload=payload)
     return payloads.latest_from_series_json(rows)
 
 
@@ -249,7 +259,7 @@ def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     no = F.col("l_linenumber")
     spanish = F.replace(F.replace(day(30), F.lit("-Jan-"), F.lit("-ene-")), F.lit("-Aug-"), F.lit("-ago-"))
     cells = evaluate_once(
-        model.table(spark, sf_dir, "lineitem"),
+        _spread_lines(spark, sf_dir),
         ticker=F.concat(F.lit("S"), (F.col("l_suppkey") % 90 + 10).cast("string"), F.lit("E5")),
         issue=day(0),
         payment=day(30),

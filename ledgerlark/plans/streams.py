@@ -9,8 +9,6 @@ from ledgerlark.plans.registry import query
 from ledgerlark.session import fresh_path
 from ledgerlark.streaming import monitor
 
-DELAY_HOURS = 2
-
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table with instants, which event-time windows need."""
@@ -46,22 +44,20 @@ def error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(rates, "user_id")
 
 
-# The watermark trails the last error by the delay; windows that end after it stay open.
-CLOSED = f"(SELECT date_trunc('millisecond', max(ts)) - INTERVAL {DELAY_HOURS} HOUR FROM events WHERE event_type = 'error')"
+def _error_windows(spark: SparkSession, sf_dir: str, window: str, *by: str) -> DataFrame:
+    """Rates from a stream of several micro-batches, the events dealt to files in no order of time."""
+    out, error = fresh_path(spark, "windows"), F.col("event_type") == "error"
+    events = _events(spark, sf_dir)
+    events.repartition(4, "event_id").write.parquet(f"{out}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/events")
+    monitor.count_windows(stream, error, f"{out}/data", f"{out}/checkpoint", by=by, window=window)
+    return monitor.window_rates(spark.read.parquet(f"{out}/data"), by)
 
 
-@query(f"SELECT * FROM ({MINUTES}) WHERE window_end <= {CLOSED}")
+@query(MINUTES)
 def error_rate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rates from a stream, into a file sink that only gets closed windows."""
-    out = fresh_path(spark, "rates")
-    rates = monitor.error_rate(
-        _event_stream(spark, sf_dir),
-        F.col("event_type") == "error",
-        by=["user_id"],
-        delay=f"{DELAY_HOURS} hours",
-    )
-    monitor.run_to_end(rates, f"{out}/data", f"{out}/checkpoint")
-    return _windows(spark.read.parquet(f"{out}/data"), "user_id")
+    """The same rates from a stream, open windows included."""
+    return _windows(_error_windows(spark, sf_dir, monitor.ALIGNMENT, "user_id"), "user_id")
 
 
 HOURS = """
@@ -76,26 +72,38 @@ breaches AS (
 )"""
 
 
-def _breaches(events: DataFrame, delay: str) -> DataFrame:
-    error = F.col("event_type") == "error"
-    rates = monitor.error_rate(events, error, window="1 hour", delay=delay)
-    return monitor.sustained_breach(rates, slots=5, window="1 hour", hold="5 hours")
+def _held(rates: DataFrame) -> DataFrame:
+    held = monitor.sustained_breach(rates, slots=5, window="1 hour", hold="5 hours")
+    return held.select(model.ntz("breach_start"), model.ntz("breach_end"), "errors")
 
 
 @query(f"WITH {HOURS} SELECT * FROM breaches")
 def sustained_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = _breaches(_events(spark, sf_dir), f"{DELAY_HOURS} hours")
-    return held.select(model.ntz("breach_start"), model.ntz("breach_end"), "errors")
+    return _held(monitor.error_rate(_events(spark, sf_dir), F.col("event_type") == "error", window="1 hour"))
 
 
-@query(f"WITH {HOURS} SELECT * FROM breaches WHERE breach_end <= {CLOSED}")
+@query(f"WITH {HOURS} SELECT * FROM breaches")
 def sustained_breach_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same alerts from a stream of two chained event-time aggregations."""
-    out = fresh_path(spark, "breaches")
-    held = _breaches(_event_stream(spark, sf_dir), f"{DELAY_HOURS} hours")
-    monitor.run_to_end(held, f"{out}/data", f"{out}/checkpoint")
-    stored = spark.read.parquet(f"{out}/data")
-    return stored.select(model.ntz("breach_start"), model.ntz("breach_end"), "errors")
+    """The same alerts over the window table that a stream keeps."""
+    return _held(_error_windows(spark, sf_dir, "1 hour"))
+
+
+@query("""WITH slots AS (
+  SELECT user_id % 3 AS service, time_bucket(INTERVAL 6 HOUR, ts) AS h, count(*) AS errors
+  FROM events WHERE event_type = 'error' GROUP BY ALL
+),
+numbered AS (SELECT *, h - INTERVAL 6 HOUR * row_number() OVER (PARTITION BY service ORDER BY h) AS run FROM slots),
+held AS (
+  SELECT service, h, errors, count(*) OVER w AS n, CAST(sum(errors) OVER w AS BIGINT) AS errors_held
+  FROM numbered WINDOW w AS (PARTITION BY service, run ORDER BY h ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
+)
+SELECT service, h - INTERVAL 18 HOUR AS breach_start, h + INTERVAL 6 HOUR AS breach_end, errors_held AS errors FROM held WHERE n = 4""")
+def sustained_breach_by_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hold of a whole day for each service."""
+    events = _events(spark, sf_dir).withColumn("service", F.col("user_id") % 3)
+    rates = monitor.error_rate(events, F.col("event_type") == "error", by=["service"], window="6 hours")
+    held = monitor.sustained_breach(rates, by=["service"], slots=4, window="6 hours", hold="1 day")
+    return held.select("service", model.ntz("breach_start"), model.ntz("breach_end"), "errors")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value FROM events")

@@ -53,3 +53,9 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a folder, on whatever file system the path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)

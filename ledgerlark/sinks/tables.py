@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerlark.operators.merge import append_new, upsert
 from ledgerlark.schemas import TABLES
@@ -17,15 +17,27 @@ def append_fact(
     cluster: Sequence[str] = ("asset_key",),
     mode: str = "append",
     observation: Observation | None = None,
+    bounds: Mapping[str, Sequence[int]] | None = None,
+    cells: int = 1,
 ) -> None:
     """Add rows to a day-partitioned fact, clustered across and inside its files.
 
-    Write tasks are ranges of (day, cluster key), as many as adaptive execution finds right:
-    small days share a task, a hot day is cut at its cluster keys, and every file holds a narrow key range that scans can skip. An
-    ``observation`` gets the number of rows written as ``inserted``; it looks behind the
-    range shuffle, whose sampling reads the rows before it twice.
+    The input is read once: rows are dealt to tasks by their day and cell under a rebalancing hint, so that
+    adaptive execution joins small tasks and cuts large ones by the sizes it finds. Without ``bounds`` a day is one cell and
+    rows are sorted by the ``cluster`` columns in turn. With ``bounds`` (:func:`cluster_bounds`) the
+    columns count alike: rows are sorted by their interleaved ranks, and a day is cut into ``cells`` (a
+    power of two) ranges of them, so that files have narrow ranges of every column; take some cells more than a day has
+    files. An ``observation`` gets the number of rows written as ``inserted``.
     """
-    laid_out = df.repartitionByRange(partition, *cluster).sortWithinPartitions(partition, *cluster)
+    if bounds:
+        bits = _bits(max(len(bounds[c]) + 1 for c in cluster))
+        z = interleaved([quantile_rank(df, c, bounds[c]) for c in cluster], bits)
+        coarse = max(bits * len(cluster) - _bits(cells), 0)
+        ranked = df.withColumn("_z", z).withColumn("_cell", F.shiftright("_z", coarse))
+        spread, order = [partition, "_cell"], [partition, "_z", *cluster]
+    else:
+        ranked, spread, order = df, [partition], [partition, *cluster]
+    laid_out = ranked.hint("rebalance", *[F.col(c) for c in spread]).sortWithinPartitions(*order).select(*df.columns)
     if observation is not None:
         laid_out = laid_out.observe(observation, F.count(F.lit(1)).alias("inserted"))
     (
@@ -36,6 +48,47 @@ def append_fact(
     )
 
 
+def _bits(n: int) -> int:
+    return max(n - 1, 0).bit_length()
+
+
+def ordered_number(df: DataFrame, column: str) -> Column:
+    """A whole number in the order of the column: the value, the day, or the first seven bytes of a text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(column)).cast("bigint")
+    return F.floor(F.col(column)).cast("bigint")
+
+
+def cluster_bounds(df: DataFrame, columns: Sequence[str], parts: int = 16) -> dict[str, list[int]]:
+    """Approximate quantiles that cut each column into ``parts``: some numbers a column, from one aggregate.
+
+    Take them from a table smaller than the fact, such as a dimension, or from an earlier load.
+    """
+    at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    row = df.agg(*[F.percentile_approx(ordered_number(df, c), at, 10_000).alias(c) for c in columns]).first()
+    return {c: sorted(set(row[c] or [])) for c in columns}
+
+
+def quantile_rank(df: DataFrame, column: str, bounds: Sequence[int]) -> Column:
+    """How many bounds a value reaches; null reaches none."""
+    steps = F.array(*[F.lit(b).cast("bigint") for b in bounds]).cast("array<bigint>")
+    value = ordered_number(df, column)
+    return F.coalesce(F.size(F.filter(steps, lambda b: b <= value)), F.lit(0)).cast("bigint")
+
+
+def interleaved(ranks: Sequence[Column], bits: int) -> Column:
+    """The ranks' bits in turn, the highest of each first: near numbers are near in every rank."""
+    out = F.lit(0).cast("bigint")
+    for bit in range(bits - 1, -1, -1):
+        for rank in ranks:
+            out = F.shiftleft(out, 1) + F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("bigint"))
+    return out
+
+
 def write_dim_date(df: DataFrame, path: str) -> None:
     """The date dimension, one partition per year."""
     df.repartition("year").sortWithinPartitions("date_key").write.mode("overwrite").partitionBy(
@@ -106,7 +159,8 @@ def append_observed(
 ) -> dict[str, int]:
     """Idempotent append; returns how many rows were staged and inserted.
 
-    The inserted count is observed on the write itself, not recounted.
+    The inserted count is observed on the write itself, not recounted. The staged one is a count of its own: adaptive
+    execution drops an observation below a join that it finds empty.
     """
     target = spark.read.schema(source.schema).parquet(path)
     fresh, seen = append_new(target, source, keys, dedupe_by), Observation()

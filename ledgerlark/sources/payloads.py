@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlark.functions import evaluate_once
 from ledgerlark.schemas import PAYLOAD_PRICES
@@ -53,27 +53,42 @@ def parse_price_payloads(df: DataFrame, text: str = "text", daily: bool = False)
 
 
 def rejected_price_lines(df: DataFrame, text: str = "text") -> DataFrame:
-    """The lines of price payloads that are no price rows, with a reason."""
+    """What of price payloads is no price row: ``line`` and ``reject_reason``.
+
+    A line that does not parse comes back as ``corrupt_line``. A payload without any line after its header comes
+    back as one row: ``no_answer`` if it is null, ``rate_limited`` if it was refused for quota, else ``corrupt_body``,
+    with its first line. So every payload gives a price row or a row here.
+    """
     keep = [c for c in df.columns if c != text]
-    refused = F.contains(F.col(text), F.lit(QUOTA_MARKER))
-    reason = F.when(F.col("_refused"), "rate_limited").otherwise("corrupt_line")
-    marked = _price_lines(df.withColumn("_refused", refused), text, False, gated=False)
-    bad = marked.filter(f"_refused OR {BAD_PRICE_LINE}")
-    return bad.select(*keep, F.col("_line").alias("line"), reason.alias("reject_reason"))
+    bad = _price_lines(df, text, False).filter(BAD_PRICE_LINE)
+    lines = bad.select(*keep, F.col("_line").alias("line"), F.lit("corrupt_line").alias("reject_reason"))
+    body = F.col(text)
+    reason = (
+        F.when(body.isNull(), "no_answer")
+        .when(F.contains(body, F.lit(QUOTA_MARKER)), "rate_limited")
+        .when(F.size(_filled_lines(body)) < 2, "corrupt_body")
+    )
+    judged = evaluate_once(df, _reason=reason).filter("_reason IS NOT NULL")
+    whole = judged.select(*keep, F.get(_filled_lines(body), F.lit(0)).alias("line"), F.col("_reason").alias("reject_reason"))
+    return lines.unionByName(whole)
+
+
+def _filled_lines(text: Column) -> Column:
+    """The lines of a payload that are not blank."""
+    split = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n")
+    return F.filter(split, lambda x: F.trim(x) != "")
 
 
 # A line without a date is none either.
 BAD_PRICE_LINE = "(_r._bad IS NOT NULL OR _r.timestamp IS NULL)"
 
 
-def _price_lines(df: DataFrame, text: str, daily: bool, gated: bool = True) -> DataFrame:
-    """The body lines of payloads, parsed into ``_r``; ``_r._bad`` holds a line that does not parse."""
-    if gated:
-        df = df.filter(F.col(text).isNotNull() & ~F.contains(F.col(text), F.lit(QUOTA_MARKER)))
+def _price_lines(df: DataFrame, text: str, daily: bool) -> DataFrame:
+    """The body lines of answered payloads, parsed into ``_r``; ``_r._bad`` holds a line that does not parse."""
+    df = df.filter(F.col(text).isNotNull() & ~F.contains(F.col(text), F.lit(QUOTA_MARKER)))
     keep = [c for c in df.columns if c != text]
     # Lines are their own column, so that the split is not repeated below.
-    split = F.split(F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")), "\n")
-    lined = df.select(*keep, F.filter(split, lambda x: F.trim(x) != "").alias("_lines"))
+    lined = df.select(*keep, _filled_lines(F.col(text)).alias("_lines"))
     body = F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PAYLOAD_PRICES.fields)
     if daily:

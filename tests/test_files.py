@@ -2,11 +2,11 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from ledgerlark.functions import split_list
 from ledgerlark.schemas import BATCH_RECORD, TABLES
-from ledgerlark.sinks import tables
+from ledgerlark.sinks import file_table, tables
 from ledgerlark.sources import files, landing
 from ledgerlark.streaming.ingest import IngestPaths, ingest_new_files
 
@@ -145,6 +145,92 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert {p.name for p in Path(path, "snapshot_date=2025-01-02").iterdir()} == untouched
 
 
+def test_a_merge_rewrites_only_files_with_a_match(spark, tmp_path):
+    path = str(tmp_path / "files")
+    df = spark.range(60).select("id", (F.col("id") % 6).cast("int").alias("part"), F.col("id").alias("v"))
+    file_table.create(df.filter("id < 57"), path, "part", ["id"])
+    before = file_table.files(spark, path)
+    assert {n.split("/")[0] for n in before} == {f"part={i}" for i in range(6)}
+    change = spark.sql("select 8L id, 2 part, 80L v union all select 58L, 4, 580L union all select cast(null as long), 1, 7L")
+    report = file_table.merge_files(spark, change, path, ["part", "id"], ["v"], "part")
+    assert {n.split("/")[0] for n in report["rewritten"]} == {"part=2"} and {n.split("/")[0] for n in report["new"]} == {"part=1", "part=2", "part=4"}
+    assert set(report["kept"]) == {n for n in before if "part=2" not in n} and set(report["kept"]) < set(file_table.files(spark, path))
+    got = {r["id"]: r["v"] for r in file_table.read(spark, path).collect()}
+    assert got == {i: i for i in range(57)} | {8: 80, 58: 580, None: 7}
+    assert file_table.version(spark, path) == 2 and file_table.files(spark, path, at=1) == before
+    assert file_table.read(spark, path, file_table.files(spark, path, at=1)).count() == 57
+    none = file_table.merge_files(spark, change.filter("id = 0"), path, ["part", "id"], ["v"], "part")
+    assert not none["rewritten"] and not none["new"]
+
+
+def test_two_writers_of_one_version_conflict(spark, tmp_path):
+    path = str(tmp_path / "files")
+    df = spark.sql("select 1 part, 1 v")
+    file_table.create(df, path, "part", ["v"])
+    with pytest.raises(Exception, match="already exists"):
+        file_table._commit(spark, path, 1, ["other"])
+
+
+def test_files_are_narrow_in_both_cluster_columns(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    n, path = 40_000, str(tmp_path / "fact")
+    df = spark.range(n).select(
+        F.lit("2025-01-01").cast("date").alias("snapshot_date"), F.format_string("user%04d", F.xxhash64("id") % 500 + 500).alias("user_id"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).alias("asset_key"),
+    )
+    bounds = tables.cluster_bounds(df, ["user_id", "asset_key"], 16)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",)}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1KB")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        seen = Observation()
+        tables.append_fact(df, path, cluster=["user_id", "asset_key"], bounds=bounds, cells=16, observation=seen)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert seen.get["inserted"] == n == spark.read.parquet(path).count()
+    ranges = {"user_id": [], "asset_key": []}
+    for file in Path(path).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            for c in range(meta.num_columns):
+                column = meta.row_group(g).column(c)
+                if column.path_in_schema in ranges:
+                    ranges[column.path_in_schema].append((column.statistics.min, column.statistics.max))
+    assert len(ranges["asset_key"]) >= 8
+    for column, value in (("asset_key", 123), ("user_id", "user0700")):
+        hit = sum(low <= value <= high for low, high in ranges[column])
+        assert hit <= len(ranges[column]) / 2, (column, hit, len(ranges[column]))
+
+
+def test_ranks_interleave(spark):
+    rows = spark.createDataFrame([(x, y) for x in range(4) for y in range(4)], "x long, y long")
+    z = tables.interleaved([tables.quantile_rank(rows, c, [1, 2, 3]) for c in ("x", "y")], 2)
+    got = {(r["x"], r["y"]): r["z"] for r in rows.select("*", z.alias("z")).collect()}
+    assert sorted(got.values()) == list(range(16))
+    assert [got[p] for p in ((0, 0), (0, 1), (1, 0), (1, 1), (0, 2), (2, 0), (3, 3))] == [0, 1, 2, 3, 4, 8, 15]
+    names = spark.createDataFrame([("",), ("a",), ("ab",), ("b",), ("é",), (None,)], "s string")
+    numbers = [r[0] for r in names.select(tables.ordered_number(names, "s")).collect()]
+    assert numbers[:5] == sorted(numbers[:5]) and len(set(numbers[:5])) == 5 and numbers[5] is None
+
+
+def test_a_fact_is_written_from_one_read(spark, tmp_path):
+    count = spark.sparkContext.accumulator(0)
+    source = spark.range(1000).select(F.col("id").alias("asset_key"), F.lit("2025-01-01").cast("date").alias("snapshot_date"))
+
+    def look(batches):
+        for b in batches:
+            count.add(b.num_rows)
+            yield b
+
+    tables.append_fact(source.mapInArrow(look, source.schema), str(tmp_path / "fact"))
+    assert count.value == 1000
+
+
 def test_transactions_export(spark, tmp_path):
     header = ",".join(["transaction_id", "user_id", "asset_key", "transaction_timestamp", "transaction_date",
                        "transaction_type", "quantity", "price_per_unit", "commission", "currency_code", "notes",

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.operators import asof, portfolio
+from ledgerlark.operators import asof, currency, portfolio
 
 START = datetime(2024, 1, 1)
 
@@ -53,7 +53,7 @@ def test_currency_conversion_with_repeated_rates(spark):
         "i int, currency string, d string",
     ).select("i", "currency", F.col("d").cast("date").alias("day"), F.lit(Decimal("10")).alias("value"))
 
-    out = asof.convert_currency(facts, rates, "day", "currency", "value").collect()
+    out = currency.convert_currency(facts, rates, "day", "currency", "value").collect()
     values = {(r["i"], r["currency"]): r["total_value_usd"] for r in out}
     assert len(out) == facts.count()
     assert values[2, "ARS"] is None and values[3, "ARS"] == Decimal("0.01") == values[5, "ARS"]

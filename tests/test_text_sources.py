@@ -130,7 +130,22 @@ def test_payload_rows(spark):
     assert [(r["symbol"], str(r["timestamp"]), r["close"], r["volume"]) for r in newest] == [("QQZ", "2019-03-05", 8.5, 41)]
     rejected = payloads.rejected_price_lines(df).collect()
     assert sorted((r["symbol"], r["reject_reason"]) for r in rejected) == [
-        ("E", "corrupt_line"), ("E", "corrupt_line"), ("H", "corrupt_line"), ("L", "rate_limited"), ("L", "rate_limited")]
+        ("E", "corrupt_line"), ("E", "corrupt_line"), ("H", "corrupt_line"), ("L", "rate_limited"), ("N", "no_answer"), ("X", "corrupt_body")]
+
+
+def test_every_payload_gives_a_price_or_a_rejection(spark):
+    row = "2019-03-04,7,9,6.5,8.25,40"
+    bodies = {"good": f"h\n{row}", "mixed": f"h\n{row}\nx", "bad": "h\nx", "empty": "", "blank": " \n\t\r\n", "null": None, "header": "h\n",
+              "error": '{"Error Message": "no"}', "quota": payloads.QUOTA_MARKER, "long quota": f"a\n{payloads.QUOTA_MARKER}\n{row}"}
+    df = spark.createDataFrame(list(bodies.items()), "symbol string, text string")
+    priced = {r["symbol"] for r in payloads.parse_price_payloads(df).collect()}
+    rejected = {r["symbol"]: (r["reject_reason"], r["line"]) for r in payloads.rejected_price_lines(df).collect()}
+    assert priced == {"good", "mixed"} and priced | set(rejected) == set(bodies)
+    assert rejected == {
+        "mixed": ("corrupt_line", "x"), "bad": ("corrupt_line", "x"), "empty": ("corrupt_body", None), "blank": ("corrupt_body", "\t"),
+        "null": ("no_answer", None), "header": ("corrupt_body", "h"), "error": ("corrupt_body", '{"Error Message": "no"}'),
+        "quota": ("rate_limited", payloads.QUOTA_MARKER), "long quota": ("rate_limited", "a"),
+    }
 
 
 def test_series_json(spark):
