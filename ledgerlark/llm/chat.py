@@ -11,7 +11,7 @@ def conversation_turns(turns: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """One row a conversation: ``conv_id, turns`` (role, text) in the order of turn, role, text.
 
     A conversation is one training record and so one row. Rows without a conversation id
-    belong to none and are left out; a repeated row is a repeated turn.
+    belong to none and are left out; a repeated row is a repeated turn; an empty table has no conversation.
     """
     entry = F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -72,15 +72,20 @@ def swapped_answers(conversations: DataFrame, trained: str = "assistant") -> Dat
     """Pairs from conversations without preference labels: ``conv_id, other_id, chosen, rejected``.
 
     Conversations 2k and 2k+1 are partners. Each is chosen once; its rejected form has its last
-    trained turn, and what follows it, replaced by the partner's last trained turn. Partners
-    without such a turn give nothing to reject and form no pair.
+    trained turn, and what follows it, replaced by the partner's last trained turn. A conversation
+    without such a turn, or whose partner has none or is missing, has a null ``other_id`` and nothing
+    rejected. An empty table gives no rows.
     """
     at = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), trained) + 1
-    answered = conversations.withColumn("at", at.cast("int")).filter(F.col("at") <= F.size("turns"))
-    mine = answered.select("conv_id", F.col("turns").alias("chosen"), "at")
+    placed = conversations.withColumn("at", at.cast("int"))
+    answered = F.col("at") <= F.size("turns")
+    # Only the answered look for a partner.
+    mine = placed.select("conv_id", F.col("turns").alias("chosen"), "at", F.when(answered, F.col("conv_id")).alias("_own"))
     answer = F.slice("turns", F.col("at"), F.lit(1))
-    theirs = answered.select(
-        F.col("conv_id").alias("other_id"), F.expr("conv_id ^ 1").alias("conv_id"), answer.alias("answer")
+    theirs = placed.filter(answered).select(
+        F.col("conv_id").alias("other_id"), F.expr("conv_id ^ 1").alias("_own"), answer.alias("answer")
     )
-    before = F.slice("chosen", F.lit(1), F.col("at") - 1)
-    return mine.join(theirs, "conv_id").select("conv_id", "other_id", "chosen", F.concat(before, "answer").alias("rejected"))
+    swapped = F.concat(F.slice("chosen", F.lit(1), F.col("at") - 1), "answer")
+    nothing = F.array().cast(conversations.schema["turns"].dataType)
+    rejected = F.when(F.col("other_id").isNull(), nothing).otherwise(swapped)
+    return mine.join(theirs, "_own", "left").select("conv_id", "other_id", "chosen", rejected.alias("rejected"))

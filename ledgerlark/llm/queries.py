@@ -105,8 +105,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
     coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 a AS (SELECT conv_id, max(i) AS at FROM t WHERE role = 'assistant' GROUP BY conv_id),
-p AS (SELECT x.conv_id, y.conv_id AS other_id, x.at AS at, y.at AS other_at FROM a x JOIN a y ON y.conv_id = xor(x.conv_id, 1)),
-r AS (SELECT p.conv_id, t.i, t.role, t.text FROM p JOIN t ON t.conv_id = p.conv_id WHERE t.i < p.at
+p AS (SELECT k.conv_id, y.conv_id AS other_id, x.at AS at, y.at AS other_at FROM (SELECT DISTINCT conv_id FROM t) k
+  LEFT JOIN a x ON x.conv_id = k.conv_id LEFT JOIN a y ON y.conv_id = xor(x.conv_id, 1)),
+r AS (SELECT p.conv_id, t.i, t.role, t.text FROM p JOIN t ON t.conv_id = p.conv_id WHERE t.i < p.at AND p.other_id IS NOT NULL
   UNION ALL SELECT p.conv_id, p.at, t.role, t.text FROM p JOIN t ON t.conv_id = p.other_id AND t.i = p.other_at),
 c AS (SELECT t.* FROM t JOIN p USING (conv_id)),
 j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.i, r.i) AS i,
@@ -122,9 +123,9 @@ g AS (SELECT side, conv_id, any_value(n_prefix) AS n_prefix, coalesce(string_agg
   coalesce(string_agg(line, '' ORDER BY i) FILTER (tail), '') AS completion,
   coalesce(string_agg(b::BIGINT || '-' || (b + length(text))::BIGINT, ',' ORDER BY i) FILTER (tail AND role = 'assistant'), '') AS mask
   FROM z GROUP BY side, conv_id)
-SELECT p.conv_id, p.other_id, x.n_prefix::INT AS n_prefix, x.prompt, x.completion AS chosen_text, y.completion AS rejected_text,
-  x.mask AS chosen_mask, y.mask AS rejected_mask
-FROM p JOIN g x ON x.conv_id = p.conv_id AND x.side = 'c' JOIN g y ON y.conv_id = p.conv_id AND y.side = 'r'
+SELECT p.conv_id, p.other_id, x.n_prefix::INT AS n_prefix, x.prompt, x.completion AS chosen_text,
+  coalesce(y.completion, '') AS rejected_text, x.mask AS chosen_mask, coalesce(y.mask, '') AS rejected_mask
+FROM p JOIN g x ON x.conv_id = p.conv_id AND x.side = 'c' LEFT JOIN g y ON y.conv_id = p.conv_id AND y.side = 'r'
 """)
 def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")

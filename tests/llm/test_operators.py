@@ -217,7 +217,10 @@ def test_preferences(spark):
              (None, 0, "user", "lost"), (6, 0, None, "odd"), (6, 1, "assistant", ""), (7, 5, "assistant", "z" * 5000), (7, 5, "assistant", "z" * 5000)]
     df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
     got = {x.conv_id: x for x in chat.format_preferences(chat.swapped_answers(chat.conversation_turns(df))).collect()}
-    assert sorted(got) == [0, 1, 4, 5, 6, 7]
+    assert sorted(got) == list(range(8))
+    assert {k: x.other_id for k, x in got.items()} == {0: 1, 1: 0, 2: None, 3: None, 4: 5, 5: 4, 6: 7, 7: 6}
+    assert (got[3].n_prefix, got[3].prompt, got[3].chosen_text, got[3].rejected_text) == (0, "", "<|user|>\nx\n<|end|>\n", "")
+    assert got[2].chosen_mask == got[2].rejected_mask == "" and got[2].rejected == []
     x = got[0]
     assert x.n_prefix == 3 and x.chosen_text == "<|assistant|>\nso\n<|end|>\n" and x.rejected_text == "<|assistant|>\nno\n<|end|>\n"
     assert x.prompt == "<|user|>\nhi\n<|end|>\n<|assistant|>\nyes\n<|end|>\n<|user|>\nwhy\n<|end|>\n" and x.chosen_mask == "14-16"
@@ -227,6 +230,14 @@ def test_preferences(spark):
     assert got[6].prompt == "<|" + "|>\nodd\n<|end|>\n" and got[6].chosen_mask == "14-14"
 
 
+def test_preferences_of_no_conversation_and_of_clashing_columns(spark):
+    turns = spark.createDataFrame([(4, 1, "assistant", "a", "x", "y"), (9, 1, "user", "b", "x", "y")],
+                                  "conv_id bigint, turn bigint, role string, text string, chosen string, at string")
+    pairs = lambda df: chat.format_preferences(chat.swapped_answers(chat.conversation_turns(df)))
+    assert [(x.conv_id, x.other_id, x.rejected_text) for x in pairs(turns).orderBy("conv_id").collect()] == [(4, None, ""), (9, None, "")]
+    assert pairs(turns.filter("false")).collect() == []
+
+
 def brute_grams(text, n):
     padded = re.sub(r"(?:[^\w]|[\d_])+", " ", " " + text.lower() + " ")
     return [padded[i : i + n] for i in range(len(padded) - n + 1)] if padded.strip() else []
