@@ -45,9 +45,9 @@ class Setup:
     stem: int = 4
     longest: int = 32
     penalty: float = 1.0
-    decay: float = 1e-4
-    steps: int = 400
-    rate: float = 0.5
+    decay: float = 1e-5
+    steps: int = 600
+    rate: float = 1.0
 
 
 # A stem's levels: it occurs this often, and this often in a hundred words.
