@@ -178,7 +178,7 @@ def contamination(
     reached = F.coalesce(F.max("end").over(before), F.lit(0))
     fresh = F.greatest(F.col("end") - F.greatest(F.col("begin"), reached), F.lit(0))
     covered = ends.select("row", fresh.alias("fresh")).groupBy("row").agg(F.sum("fresh").alias("n_hit"))
-    dirty = covered.join(listed, "row")
+    dirty = written(covered.join(listed, "row"), "hit-rows")  # its size is known, so few rows go to the documents
     nothing = F.array().cast("array<string>")
     return (
         counted.join(dirty, "row", "left")
