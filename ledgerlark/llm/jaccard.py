@@ -302,7 +302,7 @@ def near_duplicates(
     levels = broadcast(spark, token_levels(lines, n))
     sets = written(described(lines, n, percent, levels), "shingle-sets")
     first = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
-    classes = sets.groupBy("digest").agg(F.min("row").alias("class"), F.max("n").alias("n"), F.min(first).alias("first"))
+    classes = sets.groupBy("digest").agg(F.min("row").alias("class"), F.max("n").alias("n"), F.min(first).alias("first"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "shingle-classes")
 
     known = classes.filter("n > 0").select(F.col("class").alias("row"))
@@ -348,9 +348,12 @@ def near_duplicates(
     roots = connected(links.union(more).union(roots.select("node", "root")))
 
     joined = classes.join(roots, F.col("class") == F.col("node"), "left")
-    joined = joined.select("digest", "first", F.coalesce("root", "class").alias("root"))
-    tops = joined.groupBy("root").agg(F.min("first").alias("top"))
-    named = written(joined.join(tops, "root").select("digest", "top"), "shingle-components")
-    return sets.select("row", "doc", "n", "digest").join(named, "digest").select(
-        "doc", F.col("n").alias("n_shingles"), F.col("top.id").alias("component_id"), (F.col("row") == F.col("top.row")).alias("kept")
+    joined = joined.select("digest", "first", "members", F.coalesce("root", "class").alias("root"))
+    tops = joined.groupBy("root").agg(F.min("first").alias("top"), F.sum("members").alias("rows"))
+    # A row that is alone is its own component and needs no look-up.
+    named = written(joined.join(tops.filter("rows > 1"), "root").select("digest", "top"), "shingle-components")
+    alone = F.col("top").isNull()
+    return sets.select("row", "id", "doc", "n", "digest").join(named, "digest", "left").select(
+        "doc", F.col("n").alias("n_shingles"), F.when(alone, F.col("id")).otherwise(F.col("top.id")).alias("component_id"),
+        (alone | (F.col("row") == F.col("top.row"))).alias("kept"),
     )
