@@ -199,18 +199,6 @@ class LanguageFilter:
         return names, np.where(seen, score, 0.0)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches of about ``size`` characters, with their texts."""
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        begin = held = 0
-        for i, t in enumerate(texts):
-            held += len(t or "")
-            if held >= size or i + 1 == len(texts):
-                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-                begin, held = i + 1, 0
-
-
 def text_slices(
     batches: Iterator[pa.RecordBatch], text: str | None = None, size: int = PORTION
 ) -> Iterator[tuple[pa.RecordBatch, list]]:

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlark.llm.common import broadcast, written
-from ledgerlark.llm.langid import chunks
+from ledgerlark.llm.langid import text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 LEVEL = re.compile(r"[*%]")
@@ -144,7 +144,7 @@ def learn(
     schema = "toxic int, features array<string>, swapped array<string>"
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in text_slices(batches):
             found = [WORD.findall((t or "").lower()) for t in texts]
             own = [sorted(features_of(w, setup)) for w in found]
             other = [sorted(features_of([swap.get(x, x) for x in w], setup)) for w in found]
@@ -202,19 +202,22 @@ def score_toxicity(
 
     Learns from the labels of the rows where ``held_out`` (over the id column, which both
     tables have) is false. An empty or null text has the score of a text without features; without any
-    labelled text all scores are next to 0. Rows are scored one by one, repeated rows alike.
+    labelled text all scores are next to 0. Rows are scored one by one, whole and repeated rows alike, so
+    there are no ties to break; an empty table gives no rows.
     """
     held = F.coalesce(held_out, F.lit(False))
     mine = labels.filter(~held).select(F.col(doc_id).alias("id"), F.col(toxic).cast("double").alias("toxic"))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     model = broadcast(docs.sparkSession, learn(texts, mine, groups, setup))
-    lines = docs.select(
-        F.struct(*(keep or docs.columns)).alias("doc"), held.alias("held_out"), F.col(text).cast("string").alias("text")
-    )
+    # A text that is among the kept columns is sent to the workers once.
+    kept = keep or docs.columns
+    inside = text if text in kept and docs.schema[text].dataType == T.StringType() else None
+    apart = [] if inside else [F.col(text).cast("string").alias("text")]
+    lines = docs.select(F.struct(*kept).alias("doc"), held.alias("held_out"), *apart)
     schema = lines.select("doc", "held_out").schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, some in chunks(batches):
+        for batch, some in text_slices(batches, inside):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("held_out"), pa.array([model.value.score(t) for t in some], pa.float64())],
                 names=["doc", "held_out", "score"],
