@@ -107,6 +107,55 @@ def test_lm_tells_words_of_one_ending_apart(spark):
     assert gain / n > 0.4
 
 
+def test_lm_scores_equal_a_loop_over_the_tokens(docs, rows, monkeypatch):
+    seen, fitted = {}, lm.fitted
+
+    def kept(train, start, inner, shared):
+        seen.update(start=start, inner=inner, shared=shared.value, flat=fitted(train, start, inner, shared))
+        return seen["flat"]
+
+    monkeypatch.setattr(lm, "fitted", kept)
+    setup = lm.Setup(words=5, endings=3, size=4, least=2)
+    got = lm.score_texts(docs, is_remainder(F.col("doc_id"), 7, 2), setup=setup).select("doc.*", "*").collect()
+    model, inner, (names, class_of, n_head, _, _, entry_of) = seen["start"], seen["inner"], seen["shared"]
+    model.load(seen["flat"])
+    inner.load(seen["flat"][len(model.flat()) :])
+    setup, place = model.setup, {w: i for i, w in enumerate(names)}
+    groups = np.bincount(inner.entry_class, minlength=setup.classes)[setup.words + setup.endings :]
+    assert len(groups) > 1 and groups.max() <= math.ceil(math.sqrt(groups.sum()))  # bounded, though endings are uneven
+    rest = [sum(n_head[i] + 1 for i, w in enumerate(names) if class_of[i] == setup.words + e) + 1 for e in range(setup.endings)]
+
+    def token(w):
+        """(class, entry or none, the word's share of a rare class)"""
+        i = place.get(w)
+        c = setup.words + lm.ending(w, setup.endings) if i is None else class_of[i]
+        e = c - setup.words
+        if 0 <= e < setup.endings:
+            return c, e, ((0 if i is None else n_head[i]) + 1) / rest[e]
+        return c, (None if i is None or entry_of[i] < 0 else entry_of[i]), 1.0
+
+    def log10_of(text):
+        out, before = 0.0, []
+        for w in [*words(text), b""]:
+            c, e, share = token(w)
+            p = np.zeros(setup.size)
+            for j in range(setup.order):
+                bc, be, _ = before[-1 - j] if j < len(before) else (setup.classes, None, 1.0)
+                p += model.weight[j] * (model.context[bc] + (0 if be is None else inner.context[be]))
+            scores = [math.exp(float(model.target[k] @ p) + float(model.bias[k])) for k in range(setup.classes)]
+            out += math.log10(scores[c] / sum(scores) * share)
+            if c >= setup.words + setup.endings:
+                inside = {k: math.exp(float(inner.target[k] @ p) + float(inner.bias[k])) for k in np.flatnonzero(inner.entry_class == c)}
+                out += math.log10(inside[e] / sum(inside.values()))
+            before.append((c, e, share))
+        return out
+
+    want = sorted((str(i), log10_of(text)) for i, text, *_ in rows)
+    found = sorted((str(x.doc_id), x.score) for x in got)
+    assert [i for i, _ in found] == [i for i, _ in want]
+    assert [v for _, v in found] == pytest.approx([v for _, v in want], rel=1e-4)
+
+
 def test_lm_beats_unigrams_on_held_out_text(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet".replace("sf0.001", "sf0.1")).select("doc_id", "text")
     got = lm.score_texts(docs, is_remainder(F.col("doc_id"), 7, 2)).filter("held_out").agg(F.sum("base_score"), F.sum("score")).first()
