@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlark.session import fresh_path
@@ -135,13 +136,15 @@ class Words:
 def portions(batches: Iterable[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with about ``size`` bytes of text, and their texts (null: empty)."""
     for batch in batches:
-        texts = [t or b"" for t in binaries(batch, "text")]
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
         begin = held = 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= size or i + 1 == len(texts):
-                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
+        for i, n in enumerate(sizes.tolist()):
+            held += n
+            if held >= size or i + 1 == len(sizes):
+                part = batch.slice(begin, i + 1 - begin)  # only these texts become objects
+                yield part, [t or b"" for t in binaries(part, "text")]
                 begin, held = i + 1, 0
+    pa.default_memory_pool().release_unused()  # a worker lives on, with the tasks of the next stage
 
 
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
