@@ -82,7 +82,7 @@ class WordHasher:
     place 0, whatever its length; long input is cut at blanks, so that memory stays bounded.
     """
 
-    def __init__(self, table: bytes = BLANKS, limit: int = 1 << 21):
+    def __init__(self, table: bytes = BLANKS, limit: int = 1 << 18):
         self.table, self.limit = table, limit
         self.values = mix(np.arange(1, 257, dtype=U64), 3)
         self.up = self.down = np.ones(1, U64)
@@ -133,7 +133,7 @@ class Words:
         return self.hashes[self.starts[i] : self.starts[i + 1]]
 
 
-def portions(batches: Iterable[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def portions(batches: Iterable[pa.RecordBatch], size: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with about ``size`` bytes of text, and their texts (null: empty)."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

@@ -93,11 +93,11 @@ def token_levels(lines: DataFrame, n: int) -> np.ndarray:
         for _, sets in shingle_sets(batches, n):
             held += [bucket(s) for s in sets]
             size += sum(map(len, sets))
-            if size > 2_000_000:
-                load += np.bincount(np.concatenate(held), minlength=len(load)).astype(np.uint32)
+            if size > 1 << 18:
+                np.add.at(load, np.concatenate(held), np.uint32(1))
                 held, size = [], 0
         if held:
-            load += np.bincount(np.concatenate(held), minlength=len(load)).astype(np.uint32)
+            np.add.at(load, np.concatenate(held), np.uint32(1))
         yield packed({i: p for i, p in enumerate(load.reshape(-1, SKETCH_PIECE)) if p.any()})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
