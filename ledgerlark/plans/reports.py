@@ -100,6 +100,61 @@ def page_class_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.first_classed_link(kept, "pdf").select("page_id", "menu_href", F.col("href").alias("file_href"))
 
 
+HOPS = """
+parts AS (
+  SELECT page_id, url, regexp_extract(url, '^([a-z]+:)', 1) AS scheme, regexp_extract(url, '^[a-z]+:(//[^/?#]+)', 1) AS host,
+    regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '([?][^#]*)', 1) AS query,
+    regexp_extract_all(html, '<a href="([^"]*)">', 1)[-1] AS last_href FROM pages
+),
+files AS (
+  SELECT scheme || host || path || query AS address, min(page_id) AS report_id,
+    arg_min(scheme || host || last_href, page_id) AS file_link FROM parts GROUP BY address
+),
+entries AS (
+  SELECT p.page_id, CASE p.page_id % 5
+      WHEN 0 THEN upper(q.scheme) || upper(q.host) || ':' || if(q.scheme = 'http:', '80', '443') || '/./x/..' || q.path || q.query || '#part'
+      WHEN 1 THEN q.host || q.path || q.query
+      WHEN 2 THEN '../../../..' || q.path || q.query
+      WHEN 3 THEN '?page=2&ref=x' END AS href,
+    CASE p.page_id % 5
+      WHEN 0 THEN q.scheme || q.host || q.path || q.query
+      WHEN 1 THEN p.scheme || q.host || q.path || q.query
+      WHEN 2 THEN p.scheme || p.host || q.path || q.query
+      WHEN 3 THEN p.scheme || p.host || p.path || '?page=2&ref=x' END AS address
+  FROM parts p JOIN parts q ON q.page_id = p.page_id - p.page_id % 10
+)"""
+
+
+@query(f"""WITH {HOPS}
+SELECT page_id, href, e.address, report_id, file_link FROM entries e LEFT JOIN files f ON e.address = f.address""")
+def page_two_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From an entry page over the first link of its menu to a report page, and to the file that page links to.
+
+    Ten pages each link to the first of them, in the ways that links are written: in full with capitals, the
+    scheme's port and dot segments, without a scheme, up from the page's folder, as a query alone, or not at all.
+    """
+    table = model.table(spark, sf_dir, "pages")
+    scheme, host, path, part = (F.regexp_extract("url", p, 1) for p in ("^([a-z]+:)", "^[a-z]+:(//[^/?#]+)", "^[a-z]+://[^/?#]+([^?#]*)", "([?][^#]*)"))
+    port = F.when(scheme == "http:", ":80").otherwise(":443")
+    goals = table.filter("page_id % 10 = 0").select(
+        F.col("page_id").alias("_first"),
+        F.concat(F.upper(scheme), F.upper(host), port, F.lit("/./x/.."), path, part, F.lit("#part")).alias("_full"),
+        F.concat(host, path, part).alias("_host"),
+        F.concat(F.lit("../../../.."), path, part).alias("_up"),
+    )
+    kind = F.col("page_id") % 5
+    way = F.when(kind == 0, F.col("_full")).when(kind == 1, F.col("_host")).when(kind == 2, F.col("_up")).when(kind == 3, F.lit("?page=2&ref=x"))
+    menu = F.concat(F.lit("<nav class='top'><a"), F.coalesce(F.concat(F.lit(' href="'), F.replace(way, F.lit("&"), F.lit("&amp;")), F.lit('"')), F.lit("")), F.lit(">m</a></nav>"))
+    asking = table.select("page_id", "url", (F.col("page_id") - F.col("page_id") % 10).alias("_first"))
+    entries = asking.join(goals, "_first").select("page_id", "url", menu.alias("html"))
+    links = pages.first_container_link(entries, "nav", "top").select("page_id", "href", "link")
+    marked = F.regexp_replace("html", "<a (href=[^>]*>[^<]*</a></li></ul>)", "<a class='file' $1")
+    files = pages.first_classed_link(table.select("page_id", "url", marked.alias("html")), "file")
+    reports = files.select(F.col("page_id").alias("report_id"), "url", pages.absolute(F.col("href"), F.col("url")).alias("file_link"))
+    found = pages.follow_links(links, reports, "link", "url", "report_id")
+    return found.select("page_id", "href", "address", "report_id", "file_link")
+
+
 # --- payloads ------------------------------------------------------------
 
 

@@ -1,4 +1,5 @@
 from decimal import Decimal
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,41 @@ def test_links(spark):
     ]
 
 
+def test_links_mean_what_the_standard_library_says(spark):
+    """Against urljoin, for every kind of link on every kind of page."""
+    urls = ["http://a/b/c/d;p?q", "https://h.example", "http://h.example/x/", "http://h.example?k=1", "https://u@h:8080/a/../b/./c#z"]
+    hrefs = ["g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x?y#s", "", ".", "./", "..", "../", "../g",
+             "../..", "../../", "../../g", "../../../g", "/./g", "/../g", "g.", ".g", "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h",
+             "g;x=1/./y", "g?y/./x", "g?y/../x", "g#s/../x", "mailto:x@y", "http://o.example/é/%2e?q#f", "//o.example"]
+    cases = spark.createDataFrame([(u, h) for u in urls for h in hrefs], "url string, href string")
+    for row in cases.select("url", "href", pages.absolute(F.col("href"), F.col("url")).alias("link")).collect():
+        page = row["url"]
+        want = urljoin(page, row["href"])
+        if row["href"] == "":  # the standard library keeps the page's fragment
+            want = page.split("#")[0]
+        assert row["link"] == want, (page, row["href"])
+    doubled = spark.createDataFrame([("http://a/b/c", "d//e/../f")], "url string, href string")  # an empty segment is a segment
+    assert doubled.select(pages.absolute(F.col("href"), F.col("url"))).first()[0] == "http://a/b/d//f"
+    empty = spark.createDataFrame([(None, "/x"), ("http://a/b", None), ("no scheme", "/x"), ("no scheme", "http://a/b")], "url string, href string")
+    assert [r[0] for r in empty.select(pages.absolute(F.col("href"), F.col("url"))).collect()] == [None, None, None, "http://a/b"]
+
+
+def test_one_spelling_for_one_address(spark):
+    pairs = [("HTTP://A.Example:80", "http://a.example/"), ("https://u:P@H:443/%7ea/%2e%2E/b%c3%a9?q=%2f%41#f", "https://u:P@h/b%C3%A9?q=%2FA"),
+             ("https://h:80/a/./b/..", "https://h:80/a/"), ("http://h/100%", "http://h/100%"), ("mailto:x@y", "mailto:x@y"), ("http://h:/", "http://h/")]
+    df = spark.createDataFrame(pairs, "a string, want string")
+    assert [r[0] for r in df.select(pages.normal_address(F.col("a"))).collect()] == [w for _, w in pairs]
+
+
+def test_links_lead_to_one_page_or_none(spark):
+    links = spark.createDataFrame([(1, "http://H/a#x"), (2, "http://h/%61"), (3, "http://h/none"), (4, None), (4, None)], "id long, link string")
+    there = spark.createDataFrame([(9, "http://h/a", "second"), (7, "http://h:80/./a", "first"), (5, None, "lost")], "page long, url string, file string")
+    found = pages.follow_links(links, there, "link", "url", "page")
+    assert sorted((r["id"], r["file"]) for r in found.collect() if r["file"]) == [(1, "first"), (2, "first")]
+    assert found.count() == 5
+    assert pages.follow_links(links, there.limit(0), "link", "url", "page").count() == 5
+
+
 def test_container_and_class_links(spark):
     def first(tag, css=None, html=HTML):
         return pages.first_container_link(page(spark, html), tag, css).first()["href"]
