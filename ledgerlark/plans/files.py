@@ -209,16 +209,29 @@ def dim_date_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {model.ASSETS}
 SELECT asset_key, ticker_symbol, ticker_symbol || ' at ' || exchange_code AS asset_name, asset_type, exchange_code,
-  exchange_country, currency_code, is_active, TIMESTAMP '{model.INGESTED_AT}' AS last_updated FROM assets""")
+  exchange_country, currency_code, is_active, TIMESTAMP '{model.INGESTED_AT}' AS last_updated,
+  CASE WHEN asset_key % 7 <> 0 THEN '{{"brand":"' || p_brand || '","size":' || p_size || ',"tags":["' || p_type || '"]}}' END AS metadata,
+  CASE WHEN asset_key % 7 <> 0 THEN CAST(p_size AS BIGINT) END AS "size",
+  CASE WHEN asset_key % 7 <> 0 THEN p_type END AS first_tag
+FROM assets JOIN part ON p_partkey = asset_key""")
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The asset dimension in a table that is created from its declared schema if absent."""
+    """The asset dimension in a table that is created from its declared schema if absent, its JSON stored as VARIANT.
+
+    The metadata of every seventh asset is cut short and thus no JSON. Attributes are read from the stored column.
+    """
     path = fresh_path(spark, "assets")
     name = "assets_" + path.rsplit("-", 1)[1]
     for _ in range(2):
         tables.ensure_table(spark, name, "dim_asset", path)
-    named = model.assets(spark, sf_dir).withColumns(
+    parts = model.table(spark, sf_dir, "part")
+    tags = F.array("p_type").alias("tags")
+    document = F.to_json(F.struct(F.col("p_size").alias("size"), tags, F.col("p_brand").alias("brand")))
+    broken = F.when(F.col("p_partkey") % 7 == 0, F.substring(document, 1, 9)).otherwise(document)
+    texts = parts.select(F.col("p_partkey").alias("asset_key"), broken.alias("_json"))
+    named = model.assets(spark, sf_dir).join(texts, "asset_key", "left").withColumns(
         {
             "asset_name": F.concat_ws(" at ", "ticker_symbol", "exchange_code"),
+            "metadata": landing.stored_json("_json"),
             "last_updated": model.ingested_at(),
         }
     )
@@ -227,8 +240,14 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         for f in DIM_ASSET.fields
     ]
     named.select(*columns).write.insertInto(name)
-    kept = spark.table(name).drop("asset_subtype", "exchange_name", "isin", "metadata")
-    return kept.withColumn("last_updated", model.ntz("last_updated"))
+    kept = spark.table(name).drop("asset_subtype", "exchange_name", "isin")
+    return kept.select(
+        *[c for c in kept.columns if c not in ("last_updated", "metadata")],
+        model.ntz("last_updated"),
+        F.to_json("metadata").alias("metadata"),
+        landing.stored_field("metadata", "$.size", "bigint").alias("size"),
+        landing.stored_field("metadata", "$.tags[0]", "string").alias("first_tag"),
+    )
 
 
 # --- incremental ---------------------------------------------------------

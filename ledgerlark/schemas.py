@@ -58,7 +58,7 @@ DIM_ASSET = _struct(
     ("currency_code", _STR),
     ("isin", _STR),
     ("is_active", _BOOL),
-    ("metadata", _STR),
+    ("metadata", T.VariantType()),
     ("last_updated", _TS),
 )
 

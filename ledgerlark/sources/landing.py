@@ -53,5 +53,15 @@ def scan_manifest(spark: SparkSession, path: str, layout: str = "document") -> D
 
 def json_field(col: Column | str, path: str, type_name: str) -> Column:
     """One typed attribute of a JSON text column; null if absent or of another type."""
-    return F.try_variant_get(F.try_parse_json(col), path, type_name)
+    return stored_field(stored_json(col), path, type_name)
+
+
+def stored_json(col: Column | str) -> Column:
+    """JSON text as a VARIANT, parsed once and stored so; null if it is no JSON."""
+    return F.try_parse_json(col)
+
+
+def stored_field(col: Column | str, path: str, type_name: str) -> Column:
+    """One typed attribute of a VARIANT column; null if absent or of another type."""
+    return F.try_variant_get(col, path, type_name)
 
