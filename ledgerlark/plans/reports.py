@@ -38,15 +38,27 @@ lines AS (
 )"""
 
 
-@query(f"""WITH {LINES}, rows AS (
+SECTION_ROWS = f"""WITH {LINES}, rows AS (
   {_section_sql(*TITLES)} UNION ALL {_section_sql(*TITLES[::-1])}
 ) SELECT doc_id, section, {", ".join(f"t[{i + 1}] AS {w}" for i, w in enumerate(WORDS))}
-FROM rows WHERE len(t) >= {len(WORDS)}""")
+FROM rows WHERE len(t) >= {len(WORDS)}"""
+
+
+@query(SECTION_ROWS)
 def section_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = model.table(spark, sf_dir, "documents").select("doc_id", "text")
     return text.extract_section_rows(docs, "text", TITLES, FIRST_WORD, WORDS)
 
 
+@query(SECTION_ROWS)
+def section_rows_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows of texts that come in chunks of 300 characters, cut inside lines and words."""
+    docs = model.table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", "text")
+    starts = F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(300))
+    cut = docs.select("doc_id", F.posexplode(F.transform(starts, lambda a: F.substr(F.col("text"), a + 1, F.lit(300)))).alias("chunk_no", "text"))
+    return text.extract_chunked_section_rows(cut, titles=TITLES, row_pattern=FIRST_WORD, headers=WORDS)
+
+
 SPAN = ("the ", "License")
 SENTENCE = {"first": "[A-Z][a-z]+", "second": "[a-z]+", "rest": "[A-Za-z ,.]+"}
 

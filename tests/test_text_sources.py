@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 from urllib.parse import urljoin
 
@@ -81,6 +82,27 @@ def test_bond_typing_and_quarantine(spark):
         failing.collect()
 
 
+def test_chunked_reports_give_the_rows_of_whole_ones(spark):
+    """Cut at random into chunks, some empty, some within a title or a row; titles come again and in any order."""
+    dice = random.Random(3)
+    kinds = ["A one", "B two", "A and B", "row1 x y", "row2  x y z", "row3 x", "noise", "", "row4 A x"]
+    texts = ["\n".join(dice.choices(kinds, k=dice.randrange(12))) for _ in range(60)] + ["", "A", "B\nrow1 a b", "\n\n"]
+    chunks = []
+    for i, t in enumerate(texts):
+        edges = [0, *sorted(dice.choices(range(len(t) + 1), k=dice.randrange(8))), len(t)]
+        chunks += [(i, n * 10, t[a:b] or None) for n, (a, b) in enumerate(zip(edges, edges[1:]))]
+    dice.shuffle(chunks)
+    rule = {"titles": ("A", "B"), "row_pattern": "^row", "headers": ("c1", "c2", "c3")}
+    whole = text.extract_section_rows(docs(spark, *texts), **rule)
+    parts = spark.createDataFrame(chunks, "doc_id long, chunk_no long, text string")
+    found = text.extract_chunked_section_rows(parts.repartition(5), **rule)
+    rows = sorted(map(tuple, whole.collect()))
+    assert len(rows) > 30 and sorted(map(tuple, found.select(*whole.columns).collect())) == rows
+    nobody = parts.withColumn("doc_id", F.when(F.col("doc_id") != 62, F.col("doc_id")).cast("long")).filter("doc_id IS NULL")
+    assert text.extract_chunked_section_rows(nobody, **rule).count() == 1
+    assert text.extract_chunked_section_rows(parts.limit(0), **rule).count() == 0
+
+
 HTML = """<html><!-- <a href="/hidden">x</a> --><script>var a='<a href="/script">';</script>
 <div class="top"><a href="/menu">m</a></div>
 <div id=x class="listing Quick-Access"><div><span>deep</span></div><A  title='t' HREF='/r/1?a=1&amp;b=2'>r</A></div>
