@@ -287,6 +287,19 @@ def enrich(fact: DataFrame, dim_asset: DataFrame, dim_date: DataFrame, date: str
     return fact.join(dim_asset, "asset_key", "left").join(days, date, "left")
 
 
+def enrich_chosen_days(
+    fact: DataFrame, dim_asset: DataFrame, days: DataFrame, date: str, partition: dict[str, Column] | None = None
+) -> DataFrame:
+    """Facts of the days that a filtered date dimension leaves, with their asset and date attributes.
+
+    The fact must be a table partitioned by ``date``, or by the columns of ``partition``, which gives each of them as an
+    expression over the dimension's ``full_date``. The days are known only at run time; Spark then prunes the fact's
+    partitions by them before it reads a file (dynamic partition pruning).
+    """
+    chosen = days.withColumns(partition or {}).withColumnRenamed("full_date", date)
+    return fact.join(chosen, [date, *(partition or {})]).join(dim_asset, "asset_key", "left")
+
+
 def missing_assets(txns: DataFrame, dim_asset: DataFrame, natural: Sequence[str]) -> DataFrame:
     """Assets that transactions name and the dimension lacks, with their new keys."""
     named = txns.select(*natural).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlark.functions import evaluate_once, run_date_or_today, split_list
-from ledgerlark.operators import bonds, calendar, prices, quality
+from ledgerlark.operators import bonds, calendar, portfolio, prices, quality
 from ledgerlark.plans import model
 from ledgerlark.plans.calendars import ORDER_SPINE
 from ledgerlark.plans.prices import RECORDS, _records, as_wall_clock
@@ -198,6 +198,25 @@ def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*fact.columns, F.col("_kept").isNull().alias("rewritten"))
 
 
+@query(f"""WITH {model.DAILY}, {model.ASSETS}
+SELECT asset_key, snapshot_date, close_price, volume, ticker_symbol, CAST(strftime(snapshot_date, '%Y%m%d') AS BIGINT) AS date_key,
+  strftime(snapshot_date, '%A') AS day_of_week_name FROM daily JOIN assets USING (asset_key)
+WHERE year(snapshot_date) = 1997 AND quarter(snapshot_date) = 2 AND dayofweek(snapshot_date) = 1""")
+def fact_chosen_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Mondays of a quarter out of a stored fact, chosen by a stored date dimension; only their months are read."""
+    base, month = fresh_path(spark, "chosen-days"), F.trunc("snapshot_date", "month").alias("snapshot_month")
+    fact = _fact(spark, sf_dir).select(month, "*")
+    tables.append_fact(fact, f"{base}/fact", "snapshot_month", ["asset_key", "snapshot_date"])
+    spine = calendar.spine_between(model.date_bounds(model.table(spark, sf_dir, "lineitem"), "l_shipdate"))
+    tables.write_dim_date(spine, f"{base}/dates")
+    stored = spark.read.schema(fact.schema).parquet(f"{base}/fact")
+    dates = spark.read.schema(spine.schema).parquet(f"{base}/dates")
+    days = dates.filter("year = 1997 AND quarter = 2 AND day_of_week_name = 'Monday'").select("full_date", "date_key", "day_of_week_name")
+    named = model.assets(spark, sf_dir).select("asset_key", "ticker_symbol")
+    found = portfolio.enrich_chosen_days(stored, named, days, "snapshot_date", {"snapshot_month": F.trunc("full_date", "month")})
+    return found.drop("snapshot_month")
+
+
 @query(f"WITH {ORDER_SPINE} SELECT * FROM spine")
 def dim_date_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "dim-date")
@@ -267,6 +286,36 @@ def incremental_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_wall_clock(spark.read.parquet(paths.facts).drop("ingest_batch"))
 
 
+@query("""SELECT CASE WHEN p_size % 2 = 0 THEN 0 ELSE 1 END AS delivery, count(*) AS inserted, count(*) AS stored,
+  true AS files_agree, true AS bytes_agree FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the streams' own metrics say of two deliveries, beside what the tables hold of them.
+
+    Rows are counted by the write itself, files and bytes by the micro-batch; the file report and the landed files are read for comparison.
+    """
+    base = fresh_path(spark, "ingest-counts")
+    paths = IngestPaths(f"{base}/raw", f"{base}/facts", f"{base}/reports", f"{base}/checkpoint")
+    staged = model.staged_prices(spark, sf_dir)
+    seen = []
+    for n, wave in enumerate([F.col("country") == "US", F.col("country") != "US"]):
+        tables.write_raw_csv(staged.filter(wave), f"{paths.landing}/delivery{n}")
+        seen += [(n, *c) for c in ingest_new_files(spark, paths, model.ingested_at())]
+    counts = spark.createDataFrame(seen, "delivery int, ingest_batch int, files long, bytes long, inserted long")
+    rows = spark.read.parquet(paths.facts).groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("stored"))
+    listed = spark.read.format("binaryFile").schema(FILES).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(paths.landing)
+    sizes = listed.select(F.col("_metadata.file_path").alias(files.FILE), "length")
+    report = spark.read.parquet(paths.reports).join(sizes, files.FILE).groupBy("ingest_batch").agg(
+        F.count(F.lit(1)).alias("_files"), F.sum("length").alias("_bytes")
+    )
+    both = counts.join(rows, "ingest_batch", "left").join(report, "ingest_batch", "left")
+    return both.groupBy("delivery").agg(
+        F.sum("inserted").alias("inserted"),
+        F.sum("stored").alias("stored"),
+        F.bool_and(F.col("files").eqNullSafe(F.col("_files"))).alias("files_agree"),
+        F.bool_and(F.col("bytes").eqNullSafe(F.col("_bytes"))).alias("bytes_agree"),
+    )
+
+
 LANDED_BATCH = """CASE WHEN month(l_shipdate) = 2 AND l_linenumber = 7 THEN 'bad-' ELSE 'good-' END
   || strftime(l_shipdate, '%Y-%m')"""
 

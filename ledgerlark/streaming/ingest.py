@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerlark.operators.prices import PRICE_SOURCE, to_price_fact
 from ledgerlark.schemas import STAGED_PRICES
@@ -23,6 +24,15 @@ class IngestPaths:
     files_a_batch: int = 1000
 
 
+class BatchCounts(NamedTuple):
+    """What a micro-batch landed and inserted; files and bytes are null once Spark has dropped the batch's progress."""
+
+    ingest_batch: int
+    files: int | None
+    bytes: int | None
+    inserted: int
+
+
 # The columns of Spark's whole-file reader; only names and lengths are read here.
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -58,7 +68,7 @@ def ingest_new_files(
     paths: IngestPaths,
     ingested_at: Column | None = None,
     source: str = PRICE_SOURCE,
-) -> None:
+) -> list[BatchCounts]:
     """Load what landed since the last run into the price facts, and report every file.
 
     The checkpoint remembers the files, so a rerun adds nothing. A batch writes its own
@@ -67,25 +77,32 @@ def ingest_new_files(
     rejected and none of its rows is kept; once corrected, deliver it under a new name. Files
     without rows are reported too. Loaded files move to the archive, if there is one, after
     facts and report are written; rejected ones stay where they landed.
+
+    Returns the counts of each micro-batch of this run that had files. Nothing is read again for them: inserted rows are
+    observed on the write, files and bytes on the stream, whose progress Spark keeps for the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches.
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
+    inserted: dict[int, int] = {}
 
     def load(batch: DataFrame, batch_id: int) -> None:
         columns = STAGED_PRICES.fieldNames()
-        names = [r[FILE] for r in batch.select(FILE).collect()]  # ``files_a_batch`` at most
-        if not names:
+        found = batch.collect()  # ``files_a_batch`` names and lengths at most
+        if not found:
             return
-        listed = spark.createDataFrame(batch.select(FILE, "bytes").collect(), f"{FILE} string, bytes bigint")
-        rows, report = split_files(read_files(spark, names), listed, columns)
-        outputs = ((to_price_fact(rows, stamp, source), paths.facts), (report, paths.reports))
-        for df, path in outputs:
+        listed = spark.createDataFrame(found, f"{FILE} string, bytes bigint")
+        rows, report = split_files(read_files(spark, [r[FILE] for r in found]), listed, columns)
+        written = Observation()
+        facts = to_price_fact(rows, stamp, source).withColumn("ingest_batch", F.lit(batch_id))
+        counted = facts.observe(written, F.count(F.lit(1)).alias("inserted"))
+        for df, path in ((counted, paths.facts), (report.withColumn("ingest_batch", F.lit(batch_id)), paths.reports)):
             (
-                df.withColumn("ingest_batch", F.lit(batch_id))
-                .write.mode("overwrite")
+                df.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("ingest_batch")
                 .parquet(path)
             )
+        inserted[batch_id] = written.get["inserted"]
         if paths.archive:
             stored = spark.read.parquet(paths.reports).filter((F.col("ingest_batch") == batch_id) & (F.col("status") == "loaded"))
             for row in stored.select(FILE).collect():
@@ -93,9 +110,17 @@ def ingest_new_files(
 
     query = (
         open_landing(spark, paths)
+        .observe("landed", F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", paths.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    landed = {p.batchId: p.observedMetrics.get("landed") for p in query.recentProgress}
+
+    def counts(batch_id: int, rows: int) -> BatchCounts:
+        seen = landed.get(batch_id)
+        return BatchCounts(batch_id, seen and seen["files"], seen and seen["bytes"], rows)
+
+    return [counts(*b) for b in sorted(inserted.items())]

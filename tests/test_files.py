@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from ledgerlark.functions import split_list
+from ledgerlark.operators import portfolio
 from ledgerlark.schemas import BATCH_RECORD, TABLES
 from ledgerlark.sinks import file_table, tables
 from ledgerlark.sources import files, landing
@@ -86,6 +87,35 @@ def test_written_manifest(spark, tmp_path):
     assert sorted(r["uri"] for r in got.collect()) == sorted(f"u{i}" for i in range(10) if i % 2)
 
 
+def test_batches_count_what_they_insert(spark, tmp_path):
+    paths = IngestPaths(*[str(tmp_path / p) for p in ("raw", "facts", "reports", "checkpoint")], files_a_batch=2)
+    raw = Path(paths.landing)
+    land(raw / "one", a=HEADER + line("2025-01-02") + line("2025-01-03"), bad=HEADER + line("2025-01-02", "n/a"), bare=HEADER)
+    counts = ingest_new_files(spark, paths)
+    assert [c.files for c in counts] == [2, 1] and sum(c.inserted for c in counts) == 2
+    assert sum(c.bytes for c in counts) == sum(f.stat().st_size for f in raw.rglob("*.csv"))
+    assert ingest_new_files(spark, paths) == []
+    land(raw / "two", worse=HEADER + line("2025-01-02", "n/a"))
+    assert [tuple(c)[1:] for c in ingest_new_files(spark, paths)] == [(1, (raw / "two" / "worse.csv").stat().st_size, 0)]
+
+
+def test_chosen_days_read_their_partitions_only(spark, tmp_path):
+    """Files of all other days are no Parquet: the join fails if it reads one."""
+    day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 30).cast("int"))
+    fact = spark.range(300).select((F.col("id") % 7).alias("asset_key"), day.alias("snapshot_date"), "id")
+    path, dates = str(tmp_path / "fact"), str(tmp_path / "dates")
+    tables.append_fact(fact, path)
+    fact.select(F.col("snapshot_date").alias("full_date"), F.dayofweek("snapshot_date").alias("day_of_week")).distinct().write.parquet(dates)
+    for file in Path(path).rglob("*.parquet"):
+        if file.parent.name not in {f"snapshot_date=2025-01-{d:02}" for d in (6, 13, 20, 27)}:
+            file.write_text("no parquet")
+    stored = spark.read.schema("asset_key long, id long, snapshot_date date").parquet(path)
+    days = spark.read.schema("full_date date, day_of_week int").parquet(dates).filter("day_of_week = 2")
+    found = portfolio.enrich_chosen_days(stored, fact.select("asset_key").distinct(), days, "snapshot_date")
+    assert "dynamicpruning" in found._jdf.queryExecution().toString()
+    assert sorted(r["id"] for r in found.collect()) == [i for i in range(300) if i % 30 in (5, 12, 19, 26)]
+
+
 def test_incremental_ingest(spark, tmp_path):
     paths = IngestPaths(*[str(tmp_path / p) for p in ("raw", "facts", "reports", "checkpoint", "archive")])
     raw = Path(paths.landing)

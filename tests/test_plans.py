@@ -11,7 +11,7 @@ from ledgerlark.plans import QUERIES, model
 # Queries that run jobs while they are built.
 EAGER = {"csv_typed_scan", "file_atomic_load", "file_report", "manifest_scan", "ndjson_scan", "csv_infer_scan",
          "positional_csv", "fact_append_roundtrip", "merge_partitions", "dim_date_roundtrip", "table_roundtrip",
-         "incremental_file_ingest", "landed_files", "daily_pipeline", "snapshot_store", "history_increments", "merge_files", "transactions_load", "error_rate_stream", "sustained_breach_stream", "stream_dedupe"}
+         "incremental_file_ingest", "landed_files", "daily_pipeline", "snapshot_store", "history_increments", "merge_files", "ingest_counts", "fact_chosen_days", "transactions_load", "error_rate_stream", "sustained_breach_stream", "stream_dedupe"}
 
 
 def plan(df):
