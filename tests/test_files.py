@@ -105,10 +105,10 @@ def test_chosen_days_read_their_partitions_only(spark, tmp_path):
     fact = spark.range(300).select((F.col("id") % 7).alias("asset_key"), day.alias("snapshot_date"), "id")
     path, dates = str(tmp_path / "fact"), str(tmp_path / "dates")
     tables.append_fact(fact, path)
-    fact.select(F.col("snapshot_date").alias("full_date"), F.dayofweek("snapshot_date").alias("day_of_week")).distinct().write.parquet(dates)
+    fact.select(F.col("snapshot_date").alias("full_date"), F.dayofweek("snapshot_date").alias("day_of_week")).distinct().coalesce(1).write.parquet(dates)
     for file in Path(path).rglob("*.parquet"):
         if file.parent.name not in {f"snapshot_date=2025-01-{d:02}" for d in (6, 13, 20, 27)}:
-            file.write_text("no parquet")
+            file.write_text("no parquet" * 5000)  # a fact is larger than its days, so the days are what is broadcast
     stored = spark.read.schema("asset_key long, id long, snapshot_date date").parquet(path)
     days = spark.read.schema("full_date date, day_of_week int").parquet(dates).filter("day_of_week = 2")
     found = portfolio.enrich_chosen_days(stored, fact.select("asset_key").distinct(), days, "snapshot_date")
