@@ -294,7 +294,8 @@ def enrich_chosen_days(
 
     The fact must be a table partitioned by ``date``, or by the columns of ``partition``, which gives each of them as an
     expression over the dimension's ``full_date``. The days are known only at run time; Spark then prunes the fact's
-    partitions by them before it reads a file (dynamic partition pruning).
+    partitions by them before it reads a file (dynamic partition pruning), provided that it broadcasts the days, as it does
+    by their measured size.
     """
     chosen = days.withColumns(partition or {}).withColumnRenamed("full_date", date)
     return fact.join(chosen, [date, *(partition or {})]).join(dim_asset, "asset_key", "left")

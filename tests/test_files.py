@@ -25,8 +25,9 @@ def land(folder: Path, **contents):
 
 
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
-def test_only_whole_good_files_load(spark, tmp_path, threshold):
+def test_only_whole_good_files_load(spark, tmp_path, threshold, request):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     raw = tmp_path / "raw"
     land(
         raw,
