@@ -96,6 +96,13 @@ def test_history_equals_daily_snapshots(txns, prices, days):
         assert sorted(map(str, same.collect())) == sorted(map(str, snapshot.select(*history.columns).collect()))
 
 
+def test_history_spreads_over_days_after_prices_are_joined(txns, prices, days):
+    history = portfolio.portfolio_history(txns, prices, days, "2024-01-02", "2024-01-06")
+    lines = history._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    spread = next(i for i, line in enumerate(lines) if "Generate explode(sequence(" in line)
+    assert not [line for line in lines[:spread] if "Join" in line and "asset_key" in line]
+
+
 def test_missing_assets(spark):
     txns = spark.createDataFrame([("A", "X"), ("A", "X"), ("B", "X")], "ticker string, exchange string")
     dim = spark.createDataFrame([("B", "X")], "ticker string, exchange string")
