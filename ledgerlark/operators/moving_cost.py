@@ -81,37 +81,41 @@ def moving_cost(
     its first column being ``block``, a date as a rule. A buy of unknown cost makes the cost null until the position is
     closed. No task sorts more than a position's block or holds more than a position's blocks, one map each.
     """
-    payload = F.struct(*txns.columns)
-    cut = txns.select("*", signed_quantity().alias("_value"), F.struct(*by).alias("_pos"), F.struct(*by, block).alias("_block"))
-    inside = Window.partitionBy("_block").orderBy(*order)
+    # What all trades of a block share travels once, in its key.
+    shared = [*by, *([] if block in by else [block])]
+    rest = [c for c in txns.columns if c not in shared]
+    position = F.struct(*[F.col(f"_block.{c}").alias(c) for c in by])
+    cut = txns.select(*rest, signed_quantity().alias("_value"), F.struct(*shared).alias("_block"))
+    inside = Window.partitionBy("_block").orderBy(*[o for o in order if o not in shared])
     sums = F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     numbered = cut.select("*", F.row_number().over(inside).alias("_n"), sums.alias("_sum"))
 
-    totals = cut.groupBy("_block").agg(F.first("_pos").alias("_pos"), F.first(block).alias("_at"), F.sum("_value").alias("_sum"))
-    earlier = Window.partitionBy("_pos").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy("_block").agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*[F.col(f"_block.{c}") for c in by]).orderBy(F.col(f"_block.{block}")).rowsBetween(Window.unboundedPreceding, -1)
     opening = totals.select("_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).cast(AMOUNT).alias("_before"))
     held = numbered.join(opening, "_block").withColumn("quantity_held", (F.col("_before") + F.col("_sum")).cast(AMOUNT))
 
     a, b = trade_map()
-    trade = F.struct("_n", F.struct(a.alias("a"), b.alias("b")).cast(MAP).alias("m"), "quantity_held", payload.alias("row"))
+    trade = F.struct("_n", F.struct(a.alias("a"), b.alias("b")).cast(MAP).alias("m"), "quantity_held", F.struct(*rest).alias("row"))
     pieces = (
-        held.select("_block", "_pos", F.col(block).alias("_at"), F.floor((F.col("_n") - 1) / piece).alias("_piece"), trade.alias("t"))
+        held.select("_block", F.floor((F.col("_n") - 1) / piece).alias("_piece"), trade.alias("t"))
         .groupBy("_block", "_piece")
-        .agg(F.first("_pos").alias("_pos"), F.first("_at").alias("_at"), F.sort_array(F.collect_list("t")).alias("trades"))
+        .agg(F.sort_array(F.collect_list("t")).alias("trades"))
     )
-    small = pieces.select("_block", "_pos", "_at", "_piece", composed(F.col("trades.m")).alias("m"))
+    small = pieces.select("_block", "_piece", composed(F.col("trades.m")).alias("m"))
     of_blocks = (
         small.groupBy("_block")
-        .agg(F.first("_pos").alias("_pos"), F.first("_at").alias("_at"), F.sort_array(F.collect_list(F.struct("_piece", "m"))).alias("p"))
-        .select("_block", "_pos", "_at", composed_before(F.col("p.m")).alias("before"), composed(F.col("p.m")).alias("m"))
+        .agg(F.sort_array(F.collect_list(F.struct("_piece", "m"))).alias("p"))
+        .select("_block", composed_before(F.col("p.m")).alias("before"), composed(F.col("p.m")).alias("m"))
     )
-    in_turn = of_blocks.groupBy("_pos").agg(F.sort_array(F.collect_list(F.struct("_at", "_block", "before", "m"))).alias("p"))
+    in_turn = of_blocks.groupBy(position.alias("_pos")).agg(F.sort_array(F.collect_list(F.struct(F.col(f"_block.{block}").alias("_at"), "_block", "before", "m"))).alias("p"))
     costs = walked(F.col("p.m"), F.lit(0.0))
     opened = in_turn.select(F.explode(F.arrays_zip(F.col("p._block").alias("block"), F.col("p.before").alias("before"), costs.alias("c"))).alias("o"))
     opened = opened.filter("o.block IS NOT NULL").select(F.col("o.block").alias("_block"), F.col("o.before").alias("_maps"), F.col("o.c").alias("_open"))
 
     entry = applied(F.get("_maps", F.col("_piece").cast("int")), F.col("_open"))
-    met = pieces.join(opened, "_block").select("trades", entry.alias("_entry"))
+    met = pieces.join(opened, "_block").select("_block", "trades", entry.alias("_entry"))
     states = F.slice(walked(F.col("trades.m"), F.col("_entry")), F.lit(2), F.size("trades"))
-    rows = met.select(F.explode(F.arrays_zip(F.col("trades").alias("t"), states.alias("c"))).alias("x"))
-    return rows.select("x.t.row.*", F.col("x.t.quantity_held").alias("quantity_held"), F.col("x.c").alias("moving_cost"))
+    rows = met.select("_block", F.explode(F.arrays_zip(F.col("trades").alias("t"), states.alias("c"))).alias("x"))
+    columns = [F.col(f"_block.{c}" if c in shared else f"x.t.row.{c}").alias(c) for c in txns.columns]
+    return rows.select(*columns, F.col("x.t.quantity_held").alias("quantity_held"), F.col("x.c").alias("moving_cost"))

@@ -49,3 +49,9 @@ def test_text_and_page_rows_do_not_shuffle(spark, sf_dir):
 def test_running_totals_scan_the_lines_twice(spark, sf_dir):
     text = queries()["holdings_running"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("l_linenumber") and len(re.findall(r"Relation \[[^]]*l_partkey", text)) <= 2
+
+
+def test_moving_cost_shuffles_only_what_it_returns(spark, sf_dir):
+    for name in ("cost_basis_moving", "cost_basis_moving_desk"):
+        text = queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_tax" not in "".join(line for line in text.splitlines() if "Relation" not in line), name
