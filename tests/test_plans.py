@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from ledgerlark.operators import prices
+from ledgerlark.operators import portfolio, prices
 from ledgerlark.plans import QUERIES, model
 
 # Queries that run jobs while they are built.
@@ -55,3 +56,15 @@ def test_moving_cost_shuffles_only_what_it_returns(spark, sf_dir):
     for name in ("cost_basis_moving", "cost_basis_moving_desk"):
         text = queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert "l_tax" not in "".join(line for line in text.splitlines() if "Relation" not in line), name
+
+
+def test_running_totals_shuffle_the_rows_of_a_block_once(spark):
+    rows = spark.range(10).select(F.col("id").cast("string").alias("user_id"), F.lit(1).alias("asset_key"), F.lit("d").alias("day"), "id")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(portfolio.running_total(rows, portfolio.POSITION, ["id"], F.col("id"), "total", [F.col("day")]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    # One of the rows; of the sums one for their total, one for their window, one for the join.
+    assert text.count("Exchange hashpartitioning") <= 4
