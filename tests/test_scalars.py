@@ -4,6 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerlark import functions as fn
+from ledgerlark.functions import scalars
 
 
 def values(spark, rows, expr):
@@ -75,3 +76,10 @@ def test_run_date(spark):
 def test_half_up_ratio(spark):
     df = spark.createDataFrame([(5, 2), (4, 3), (7, 2), (1, 3)], "a long, b long")
     assert [r[0] for r in df.select(fn.half_up_ratio(F.col("a"), F.col("b"))).collect()] == [3, 1, 4, 0]
+
+
+def test_a_report_date_is_parsed_once(spark):
+    df = spark.createDataFrame([("1-Jan-69",), ("31-dic-68",), (" 29-feb-72 ",), ("1-Jan-1970",)], "t string")
+    got = df.select(scalars.parse_report_date("t").alias("d"))
+    assert [str(r["d"]) for r in got.collect()] == ["1969-01-01", "2068-12-31", "1972-02-29", "None"]
+    assert "year(" not in got._jdf.queryExecution().optimizedPlan().toString()
