@@ -47,11 +47,14 @@ def load_files_atomic(
     path: str | Sequence[str],
     schema: T.StructType = STAGED_PRICES,
     expected: DataFrame | None = None,
+    member: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, file report): a file with any bad line is left out whole.
 
     ``path`` is a folder or glob. ``expected`` (column ``uri``, for example a manifest scan)
     limits the load to the files it names and reports the ones that are not there.
+    With ``member``, a column of the schema, files are packs of many small ones: each line names its own,
+    and these members (:func:`member_uri`), not the packs, are expected, judged and reported; a member has no size.
     """
     parsed = (
         spark.read.schema(with_bad_line(schema))
@@ -59,19 +62,30 @@ def load_files_atomic(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias(FILE))
+        .select("*", (F.col("_metadata.file_path") if member is None else member_uri(member)).alias(FILE))
     )
+    if member is not None:
+        listed = parsed.select(FILE).distinct().withColumn("bytes", F.lit(0).cast("bigint"))
+        return split_files(*_wanted(parsed, listed, expected), [f.name for f in schema.fields])
     # The listing sees files without rows too; only paths are read, not contents.
     listed = (
         spark.read.format("binaryFile")
         .load(path)
         .select(F.col("_metadata.file_path").alias(FILE), F.col("length").alias("bytes"))
     )
-    if expected is not None:
-        wanted = expected.select(file_uri(F.col("uri")).alias(FILE)).distinct()
-        parsed = parsed.join(wanted, FILE, "left_semi")
-        listed = wanted.join(listed, FILE, "left")
-    return split_files(parsed, listed, [f.name for f in schema.fields])
+    return split_files(*_wanted(parsed, listed, expected), [f.name for f in schema.fields])
+
+
+def member_uri(member: str) -> Column:
+    """The address of a small file inside a pack: the pack's, and what the line calls its own."""
+    return file_uri(F.concat(F.col("_metadata.file_path"), F.lit("#"), F.col(member)))
+
+
+def _wanted(parsed: DataFrame, listed: DataFrame, expected: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    if expected is None:
+        return parsed, listed
+    wanted = expected.select(file_uri(F.col("uri")).alias(FILE)).distinct()
+    return parsed.join(wanted, FILE, "left_semi"), wanted.join(listed, FILE, "left")
 
 
 def split_files(

@@ -2,10 +2,11 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import Observation, functions as F, types as T
 
 from ledgerlark.functions import split_list
 from ledgerlark.operators import portfolio
+from ledgerlark.plans import files as plans_files
 from ledgerlark.schemas import BATCH_RECORD, TABLES
 from ledgerlark.sinks import file_table, tables
 from ledgerlark.sources import files, landing
@@ -300,3 +301,21 @@ def test_positional_and_inferred_csv(spark, tmp_path):
     df = files.scan_csv_infer(spark, str(tmp_path / "i.csv"))
     assert [f.dataType.simpleString() for f in df.schema] == ["int", "boolean", "string"]
     assert [r[0] for r in df.select(split_list("holiday_markets")).collect()] == [["US", "AR"], []]
+
+
+def test_a_daily_run_lands_packs_not_a_file_a_symbol(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(plans_files, "fresh_path", lambda _, name: f"{tmp_path}/{name}")
+    n = plans_files.daily_pipeline(spark, sf_dir).count()
+    landed = list((tmp_path / "daily" / "landed").rglob("*.csv"))
+    assert n > 8 >= len(landed)
+
+
+def test_members_of_a_pack_are_loaded_or_left_out_alone(spark, tmp_path):
+    (tmp_path / "pack.csv").write_text("n,own\n1,a b\n2,a b\nx,c\n3,c\n4,d\n")
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("own", T.StringType())])
+    where = f"file:{tmp_path}/pack.csv#"
+    expected = spark.createDataFrame([(where + "a b",), (where + "c",), (where + "e",)], "uri string")
+    rows, report = files.load_files_atomic(spark, str(tmp_path / "pack.csv"), schema, expected, "own")
+    assert sorted(r["n"] for r in rows.collect()) == [1, 2]
+    got = {r[files.FILE].rsplit("#", 1)[1]: r["status"] for r in report.collect()}
+    assert got == {"a%20b": "loaded", "c": "rejected", "e": "missing"}
