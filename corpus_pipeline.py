@@ -30,7 +30,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8."""
-    return jaccard.near_duplicates(docs, n=5, percent=80, keep=docs.columns).filter("kept").select("doc.*")
+    return jaccard.near_duplicates(docs, n=5, percent=80, keep=docs.columns, kept_only=True).select("doc.*")
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -260,6 +260,24 @@ def postings(prefixes: DataFrame) -> DataFrame:
     return written(found, "prefix-postings")
 
 
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose number ``row`` is not in ``gone``; next to none of them are shuffled.
+
+    A bitmap of fixed size tells the rows that are surely left. The others are told by their
+    numbers alone; those it took wrongly, a few, are fetched by a join of their own. ``rows``
+    is read twice, so it must be a written table.
+    """
+    spark = rows.sparkSession
+
+    def found_in(numbers: DataFrame) -> Column:
+        held = broadcast(spark, bitmap_of(numbers, "row", bits=25))
+        return F.arrow_udf(lambda row: pa.array(held.value.has(row.to_numpy().view(U64))), "boolean")("row")
+
+    doubted = found_in(gone)
+    wrongly = written(rows.select("row").filter(doubted).join(gone, "row", "left_anti"), "rows-left")
+    return rows.filter(~doubted).unionByName(rows.filter(found_in(wrongly)).join(wrongly, "row", "left_semi"))
+
+
 def room(x: str, y: str, percent: int) -> Column:
     """Whether two postings leave room for a link: sizes near enough, and at least the needed
     overlap left from either token's place on."""
@@ -279,7 +297,8 @@ def coarsely_close(x: str, y: str, percent: int) -> Column:
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = 5, percent: int = 80, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, n: int = 5, percent: int = 80, keep: list[str] | None = None, doc_id: str = "doc_id", text: str = "text",
+    kept_only: bool = False,
 ) -> DataFrame:
     """Classes of documents linked by the Jaccard similarity of their ``n``-word shingles.
 
@@ -287,7 +306,8 @@ def near_duplicates(
     documents link if 100 * intersection >= ``percent`` * union. Returns the columns ``keep`` of ``docs`` (all
     but the text) packed in ``doc``, with ``n_shingles``, ``component_id`` (the smallest id reachable by links,
     its own included; null ids count last) and ``kept``: true for one row of each component,
-    that of the smallest id, of several the first read. A null or empty text has no shingles
+    that of the smallest id, of several the first read. With ``kept_only`` only these rows come back, and what they
+    keep is not shuffled. A null or empty text has no shingles
     and links with nothing; repeated rows link with each other. ``docs`` must be a table scan or a
     deterministic selection from one, since its texts are read again; rows are numbered once.
     """
@@ -300,13 +320,14 @@ def near_duplicates(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     levels = broadcast(spark, token_levels(lines, n))
-    sets = written(described(lines, n, percent, levels), "shingle-sets")
+    sets = written(described(lines, n, percent, levels), "shingle-sets", compression="zstd")
     first = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
     classes = sets.groupBy("digest").agg(F.min("row").alias("class"), F.max("n").alias("n"), F.min(first).alias("first"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "shingle-classes")
 
-    known = classes.filter("n > 0").select(F.col("class").alias("row"))
-    tokens = postings(written(sets.join(known, "row").select("row", "n", "rare", "prefix"), "class-prefixes"))
+    again = sets.select("row", "digest").join(classes.filter("members > 1").select("digest", "class"), "digest")
+    copies = written(again.filter("row <> class").select("row"), "class-copies")
+    tokens = postings(without(sets.filter("n > 0").select("row", "n", "rare", "prefix"), copies))
     leaders = (
         tokens.groupBy("token").agg(F.count("row").alias("members"), F.min(F.struct("rare", "row", "n", "at")).alias("l"))
         .filter("members > 1").select("token", F.col("l.row").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.at").alias("leader_at"))
@@ -352,6 +373,12 @@ def near_duplicates(
     tops = joined.groupBy("root").agg(F.min("first").alias("top"), F.sum("members").alias("rows"))
     # A row that is alone is its own component and needs no look-up.
     named = written(joined.join(tops.filter("rows > 1"), "root").select("digest", "top"), "shingle-components")
+    if kept_only:
+        members = sets.select("row", "digest").join(named, "digest")
+        gone = written(members.filter(F.col("row") != F.col("top.row")).select("row"), "rows-gone")
+        left = without(sets.select("row", "id", "doc", "n"), gone)
+        # A kept row has the smallest id of its component.
+        return left.select("doc", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     alone = F.col("top").isNull()
     return sets.select("row", "id", "doc", "n", "digest").join(named, "digest", "left").select(
         "doc", F.col("n").alias("n_shingles"), F.when(alone, F.col("id")).otherwise(F.col("top.id")).alias("component_id"),
