@@ -236,18 +236,15 @@ def extract_pattern_rows(
     keep = [c for c in docs.columns if c != text]
     # Each step is a column of its own, so that no step is evaluated twice.
     found = docs.select(*keep, text, F.locate(start, F.col(text)).alias("_begin"))
-    tails = found.filter("_begin > 0").select(
-        *keep, F.substring(F.col(text), F.col("_begin"), F.length(text)).alias("_tail")
-    )
-    stops = tails.select("*", F.locate(end, F.col("_tail")).alias("_stop"))
-    span = F.when(F.col("_stop") > 0, F.substring("_tail", F.lit(1), F.col("_stop") - 1))
-    lines = F.split(span.otherwise(F.col("_tail")), "\n")
-    rows = F.filter(lines, lambda x: x.rlike(pattern))
-    # One replacement puts a separator between all groups: the pattern runs once per row.
-    mark = "\u0001"
-    parts = F.split(F.regexp_replace("_line", pattern, mark.join(f"${i + 1}" for i in range(len(fields)))), mark)
+    tails = found.filter("_begin > 0").select(*keep, F.substr(text, "_begin").alias("_tail"))
+    lines = F.split(F.substring_index("_tail", end, 1), "\n")
+    # One replacement puts a line break, which no line has, before every group: the pattern runs once per line, and
+    # a line that begins with a break is a row.
+    mark = "".join(f"\n${i + 1}" for i in range(len(fields)))
+    marked = F.transform(lines, lambda x: F.regexp_replace(x, F.lit(pattern), F.lit(mark)))
+    rows = F.filter(marked, lambda x: F.startswith(x, F.lit("\n")))
     return (
-        stops.select(*keep, F.explode(rows).alias("_line"))
-        .select(*keep, parts.alias("_parts"))
-        .select(*keep, *[F.col("_parts")[i].alias(n) for i, n in enumerate(fields)])
+        tails.select(*keep, F.explode(rows).alias("_line"))
+        .select(*keep, F.split("_line", "\n").alias("_parts"))
+        .select(*keep, *[F.col("_parts")[i + 1].alias(n) for i, n in enumerate(fields)])
     )
