@@ -24,12 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlark.llm.common import U64, WordHasher, bitmap_of, broadcast, gram_hashes, mix, portions, rows_of, written
+from ledgerlark.llm.common import U64, WordHasher, batches_of, bitmap_of, broadcast, gram_hashes, mix, portions, rows_of, written
 from ledgerlark.llm.components import connected
 
 SKETCH_BITS = 21
 SKETCH_PIECE = 1 << 15
 ORDERS = 3
+TEXTS = 2000  # a batch: it lies in the JVM and in the worker at once
 
 
 FINE, COARSE = 512, 16  # parts of a signature
@@ -235,47 +236,67 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, levels) -> DataFrame
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def postings(prefixes: DataFrame) -> DataFrame:
-    """(row, n, rare, at, token) of the prefix tokens that several rows may have.
+def postings(sets: DataFrame, gone: DataFrame) -> DataFrame:
+    """(row, n, rare, at, token) of the prefix tokens that several rows may have, without the rows ``gone``.
 
     Tokens are counted first. Those of several rows go into a bitmap of fixed size, and only
     what it lets through is shuffled with its row; it may let others through, but drops none.
+    Rows and tokens are told by the same Python step: with one for each, a task would hold two workers.
     """
-    counts = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("token").alias("members"))
-    several = broadcast(prefixes.sparkSession, bitmap_of(counts.filter("members > 1").select("token"), "token", bits=25))
+    spark, sides = sets.sparkSession, told(sets, gone)
+    counts = (
+        kept(sets.select("row", "prefix"), sides).select(F.explode("prefix").alias("token"))
+        .groupBy("token").agg(F.count("token").alias("members"))
+    )
+    several = broadcast(spark, bitmap_of(counts.filter("members > 1").select("token"), "token", bits=25))
     schema = pa.schema([(c, pa.int64()) for c in ("row", "n", "rare", "at", "token")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column("prefix")
-            sizes = np.diff(column.offsets.to_numpy())
-            token = column.flatten().to_numpy()
-            seen = several.value.has(token.view(U64))
-            of = np.repeat(np.arange(batch.num_rows), sizes)[seen]
-            at = (np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[seen]
-            fixed = [batch.column(c).to_numpy()[of] for c in ("row", "n", "rare")]
-            yield rows_of(schema, [*fixed, at, token[seen]])
+    def chosen(held, inside: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch.filter(pa.array(held.value.has(batch.column("row").to_numpy().view(U64)) == inside))
+                column = batch.column("prefix")
+                sizes = np.diff(column.offsets.to_numpy())
+                token = column.flatten().to_numpy()
+                seen = several.value.has(token.view(U64))
+                of = np.repeat(np.arange(batch.num_rows), sizes)[seen]
+                at = (np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[seen]
+                fixed = [batch.column(c).to_numpy()[of] for c in ("row", "n", "rare")]
+                yield rows_of(schema, [*fixed, at, token[seen]])
 
-    found = prefixes.mapInArrow(run, "row bigint, n bigint, rare bigint, at bigint, token bigint")
-    return written(found, "prefix-postings")
+        return sets.mapInArrow(run, "row bigint, n bigint, rare bigint, at bigint, token bigint")
 
+    doubted, wrongly, again = sides
+    return written(chosen(doubted, False).unionByName(chosen(again, True).join(wrongly, "row", "left_semi")), "prefix-postings")
 
-def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose number ``row`` is not in ``gone``; next to none of them are shuffled.
+
+def told(rows: DataFrame, gone: DataFrame) -> tuple:
+    """What tells the rows whose number ``row`` is not in ``gone``, next to none of which are shuffled.
 
     A bitmap of fixed size tells the rows that are surely left. The others are told by their
-    numbers alone; those it took wrongly, a few, are fetched by a join of their own. ``rows``
-    is read twice, so it must be a written table.
+    numbers alone; of those that it took wrongly, a few, there is a table, and a bitmap as well.
     """
     spark = rows.sparkSession
+    doubted = broadcast(spark, bitmap_of(gone, "row", bits=25))
+    wrongly = written(rows.select("row").filter(found_in(doubted)).join(gone, "row", "left_anti"), "rows-left")
+    return doubted, wrongly, broadcast(spark, bitmap_of(wrongly, "row", bits=25))
+
+
+def found_in(held) -> Column:
+    return F.arrow_udf(lambda row: pa.array(held.value.has(row.to_numpy().view(U64))), "boolean")("row")
 
-    def found_in(numbers: DataFrame) -> Column:
-        held = broadcast(spark, bitmap_of(numbers, "row", bits=25))
-        return F.arrow_udf(lambda row: pa.array(held.value.has(row.to_numpy().view(U64))), "boolean")("row")
 
-    doubted = found_in(gone)
-    wrongly = written(rows.select("row").filter(doubted).join(gone, "row", "left_anti"), "rows-left")
-    return rows.filter(~doubted).unionByName(rows.filter(found_in(wrongly)).join(wrongly, "row", "left_semi"))
+def kept(rows: DataFrame, sides: tuple) -> DataFrame:
+    doubted, wrongly, again = sides
+    return rows.filter(~found_in(doubted)).unionByName(rows.filter(found_in(again)).join(wrongly, "row", "left_semi"))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose number ``row`` is not in ``gone``; next to none of them are shuffled.
+
+    ``rows`` is read twice, so it must be a written table.
+    """
+    return kept(rows, told(rows, gone))
 
 
 def room(x: str, y: str, percent: int) -> Column:
@@ -313,12 +334,18 @@ def near_duplicates(
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be over 0 and at most 100")
-    spark = docs.sparkSession
     keep = keep or [c for c in docs.columns if c != text]
     lines = docs.select(
         F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("doc"), F.col(doc_id).alias("id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
+    with batches_of(docs.sparkSession, TEXTS):
+        return classes_of(lines, n, percent, kept_only)
+
+
+def classes_of(lines: DataFrame, n: int, percent: int, kept_only: bool) -> DataFrame:
+    """``near_duplicates`` of the numbered rows ``lines`` (row, doc, id, text)."""
+    spark = lines.sparkSession
     levels = broadcast(spark, token_levels(lines, n))
     sets = written(described(lines, n, percent, levels), "shingle-sets", compression="zstd")
     first = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
@@ -327,7 +354,7 @@ def near_duplicates(
 
     again = sets.select("row", "digest").join(classes.filter("members > 1").select("digest", "class"), "digest")
     copies = written(again.filter("row <> class").select("row"), "class-copies")
-    tokens = postings(without(sets.filter("n > 0").select("row", "n", "rare", "prefix"), copies))
+    tokens = postings(sets.filter("n > 0").select("row", "n", "rare", "prefix"), copies)
     leaders = (
         tokens.groupBy("token").agg(F.count("row").alias("members"), F.min(F.struct("rare", "row", "n", "at")).alias("l"))
         .filter("members > 1").select("token", F.col("l.row").alias("leader"), F.col("l.n").alias("leader_n"), F.col("l.at").alias("leader_at"))

@@ -46,3 +46,40 @@ def test_rows_without_others_however_small_the_bitmap(spark, tmp_path, monkeypat
     rows, gone = spark.read.parquet(str(tmp_path / "rows")), spark.range(0, 20_000, 3).select(F.col("id").alias("row"))
     got = [r.row for r in jaccard.without(rows, gone).collect()]
     assert sorted(got) == [i for i in range(20_000) if i % 3]
+
+
+def python_steps(plan):
+    """The most Python steps that a task of the plan holds at once, by the tree of the physical plan."""
+    above, most = [], 0
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        name = line.lstrip(" :+-*").split("(")[0].split(" ")[0]
+        while above and above[-1][0] >= depth:
+            above.pop()
+        here = above[-1][1] if above else 0
+        here = 0 if "Exchange" in name else here + (name in ("MapInArrow", "ArrowEvalPython"))
+        above.append((depth, here))
+        most = max(most, here)
+    return most
+
+
+def test_a_task_holds_one_python_worker(docs, monkeypatch):
+    found, write = {}, jaccard.written
+
+    def seen(df, name, **options):
+        found[name] = max(found.get(name, 0), python_steps(df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name, **options)
+
+    monkeypatch.setattr(jaccard, "written", seen)
+    last = jaccard.near_duplicates(docs, n=3, percent=80, keep=docs.columns, kept_only=True)
+    found["result"] = python_steps(last._jdf.queryExecution().executedPlan().toString())
+    assert found["prefix-postings"] == found["result"] == 1
+    assert max(found.values()) == 1
+
+
+def test_texts_go_to_python_in_small_batches(spark, docs, monkeypatch):
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", set(), jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name, **o: (seen.add(int(spark.conf.get(key))), write(df, name, **o))[1])
+    before = spark.conf.get(key)
+    jaccard.near_duplicates(docs, n=3, percent=80, kept_only=True)
+    assert seen == {jaccard.TEXTS} and spark.conf.get(key) == before
