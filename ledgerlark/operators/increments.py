@@ -11,6 +11,9 @@ from ledgerlark.session import fresh_path
 from ledgerlark.sinks import file_table
 
 
+PIECE_DAYS = 16  # that a task writes at most
+
+
 def dirty_by_trades(delivered: DataFrame) -> DataFrame:
     """Positions with new trades, and the first day on which each changes."""
     return delivered.groupBy(*POSITION).agg(F.min("transaction_date").alias("from_day"))
@@ -40,6 +43,8 @@ def refresh_history(
     ``txns`` and ``prices`` hold everything that is known, the delivery included. A new trade, or price, dirties
     its position from its date on. Only these ranges are computed, from the trades and quotes of their positions and assets, and
     only files that hold a row of them are rewritten. Positions have a user and an asset. The first call makes the table.
+    Rows of a day are not shuffled: runs of days are dealt to the tasks that write their days, and rows that stay are copied
+    where they are read.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     found = [dirty_by_trades(new_txns)] if new_txns is not None else []
@@ -58,10 +63,11 @@ def refresh_history(
         return {"kept": file_table.files(spark, path), "rewritten": [], "new": []}
     mine = txns.join(dirty.select(*POSITION), POSITION, "left_semi")
     quotes = prices.join(dirty.select("asset_key").distinct(), "asset_key", "left_semi")
-    history = portfolio_history(mine, quotes, days, earliest or start, end, max_age_days, tie_break=tie_break)
-    fresh = history.join(dirty, POSITION).filter(F.col("snapshot_date") >= F.col("from_day")).drop("from_day").select(*history.columns)
+    fresh = portfolio_history(
+        mine, quotes, days, earliest or start, end, max_age_days, tie_break=tie_break, since=dirty, piece_days=PIECE_DAYS
+    )
     if not made:
-        return file_table.swap(spark, path, [], fresh, "snapshot_date", POSITION)
+        return file_table.swap(spark, path, [], [], "snapshot_date", POSITION, dealt=[fresh])
     within = F.col("t.snapshot_date") >= F.col("h.from_day")
     later = file_table.read(spark, path).filter(F.col("snapshot_date") >= F.lit(earliest).cast("date"))
     return file_table.replace_rows(spark, path, dirty, POSITION, within, fresh, "snapshot_date", POSITION, later)

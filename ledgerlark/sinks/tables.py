@@ -19,6 +19,8 @@ def append_fact(
     observation: Observation | None = None,
     bounds: Mapping[str, Sequence[int]] | None = None,
     cells: int = 1,
+    dealt: bool = False,
+    compression: str | None = None,
 ) -> None:
     """Add rows to a day-partitioned fact, clustered across and inside its files.
 
@@ -27,7 +29,7 @@ def append_fact(
     rows are sorted by the ``cluster`` columns in turn. With ``bounds`` (:func:`cluster_bounds`) the
     columns count alike: rows are sorted by their interleaved ranks, and a day is cut into ``cells`` (a
     power of two) ranges of them, so that files have narrow ranges of every column; take some cells more than a day has
-    files. An ``observation`` gets the number of rows written as ``inserted``.
+    files. Rows that are ``dealt`` already, many of few days to a task, are written by the tasks that have them. An ``observation`` gets the number of rows written as ``inserted``.
     """
     if bounds:
         bits = _bits(max(len(bounds[c]) + 1 for c in cluster))
@@ -37,12 +39,14 @@ def append_fact(
         spread, order = [partition, "_cell"], [partition, "_z", *cluster]
     else:
         ranked, spread, order = df, [partition], [partition, *cluster]
-    laid_out = ranked.hint("rebalance", *[F.col(c) for c in spread]).sortWithinPartitions(*order).select(*df.columns)
+    placed = ranked if dealt else ranked.hint("rebalance", *[F.col(c) for c in spread])
+    laid_out = placed.sortWithinPartitions(*order).select(*df.columns)
     if observation is not None:
         laid_out = laid_out.observe(observation, F.count(F.lit(1)).alias("inserted"))
     (
         laid_out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
+        .options(**{"compression": compression} if compression else {})
         .partitionBy(partition)
         .parquet(path)
     )
