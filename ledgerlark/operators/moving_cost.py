@@ -84,15 +84,21 @@ def moving_cost(
     # What all trades of a block share travels once, in its key.
     shared = [*by, *([] if block in by else [block])]
     rest = [c for c in txns.columns if c not in shared]
-    position = F.struct(*[F.col(f"_block.{c}").alias(c) for c in by])
-    cut = txns.select(*rest, signed_quantity().alias("_value"), F.struct(*shared).alias("_block"))
+    position = F.struct(*[F.col(f"_block.{c}").alias(c) for c in by]).alias("_pos")
+    at = F.col(f"_block.{block}").alias("_at")
+    # A position's block, again from both: it doesn't travel beside them.
+    of_position = F.struct(*[(F.col("_at") if c == block else F.col(f"_pos.{c}")).alias(c) for c in shared]).alias("_block")
+    dealt = txns.select(*rest, F.struct(*shared).alias("_block")).repartition("_block")
+    cut = dealt.withColumn("_value", signed_quantity())
     inside = Window.partitionBy("_block").orderBy(*[o for o in order if o not in shared])
     sums = F.sum("_value").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     numbered = cut.select("*", F.row_number().over(inside).alias("_n"), sums.alias("_sum"))
 
-    totals = cut.groupBy("_block").agg(F.sum("_value").alias("_sum"))
-    earlier = Window.partitionBy(*[F.col(f"_block.{c}") for c in by]).orderBy(F.col(f"_block.{block}")).rowsBetween(Window.unboundedPreceding, -1)
-    opening = totals.select("_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).cast(AMOUNT).alias("_before"))
+    # The sums name every column (the condition always holds), so that they are made from the same shuffle as the rows.
+    same = F.pmod(F.xxhash64(*rest), F.lit(1)) == 0
+    totals = cut.groupBy("_block").agg(F.sum(F.when(same, F.col("_value"))).alias("_sum")).select(position, at, "_sum")
+    earlier = Window.partitionBy("_pos").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    opening = totals.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).cast(AMOUNT)).select(of_position, "_before")
     held = numbered.join(opening, "_block").withColumn("quantity_held", (F.col("_before") + F.col("_sum")).cast(AMOUNT))
 
     a, b = trade_map()
@@ -106,14 +112,16 @@ def moving_cost(
     of_blocks = (
         small.groupBy("_block")
         .agg(F.sort_array(F.collect_list(F.struct("_piece", "m"))).alias("p"))
-        .select("_block", composed_before(F.col("p.m")).alias("before"), composed(F.col("p.m")).alias("m"))
+        .select(position, at, F.when(F.size("p") > 1, composed_before(F.col("p.m"))).alias("before"), composed(F.col("p.m")).alias("m"))
     )
-    in_turn = of_blocks.groupBy(position.alias("_pos")).agg(F.sort_array(F.collect_list(F.struct(F.col(f"_block.{block}").alias("_at"), "_block", "before", "m"))).alias("p"))
-    costs = walked(F.col("p.m"), F.lit(0.0))
-    opened = in_turn.select(F.explode(F.arrays_zip(F.col("p._block").alias("block"), F.col("p.before").alias("before"), costs.alias("c"))).alias("o"))
-    opened = opened.filter("o.block IS NOT NULL").select(F.col("o.block").alias("_block"), F.col("o.before").alias("_maps"), F.col("o.c").alias("_open"))
-
-    entry = applied(F.get("_maps", F.col("_piece").cast("int")), F.col("_open"))
+    in_turn = of_blocks.groupBy("_pos").agg(F.sort_array(F.collect_list(F.struct("_at", "before", "m"))).alias("p"))
+    costs = F.slice(walked(F.col("p.m"), F.lit(0.0)), F.lit(1), F.size("p"))
+    opened = in_turn.select("_pos", F.explode(F.arrays_zip(F.col("p").alias("p"), costs.alias("c"))).alias("o"))
+    opened = opened.select(*[F.col(f"_pos.{c}").alias(c) for c in by if c != block], F.col("o.p._at").alias(block), F.col("o.p.before").alias("_maps"), F.col("o.c").alias("_open"))
+    opened = opened.select(F.struct(*shared).alias("_block"), "_maps", "_open")
+
+    # A block of a single piece has no maps before it.
+    entry = applied(F.coalesce(F.get("_maps", F.col("_piece").cast("int")), unchanged()), F.col("_open"))
     met = pieces.join(opened, "_block").select("_block", "trades", entry.alias("_entry"))
     states = F.slice(walked(F.col("trades.m"), F.col("_entry")), F.lit(2), F.size("trades"))
     rows = met.select("_block", F.explode(F.arrays_zip(F.col("trades").alias("t"), states.alias("c"))).alias("x"))

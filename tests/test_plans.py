@@ -68,3 +68,13 @@ def test_running_totals_shuffle_the_rows_of_a_block_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     # One of the rows; of the sums one for their total, one for their window, one for the join.
     assert text.count("Exchange hashpartitioning") <= 4
+
+
+def test_moving_cost_shuffles_a_trade_by_its_block_once(spark, sf_dir):
+    for name in ("cost_basis_moving", "cost_basis_moving_desk"):
+        df = queries()[name](spark, sf_dir)
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("concat_ws") == 1, name  # a trade's name, made last
+        df.collect()
+        text = plan(df).partition("Initial Plan")[0]
+        assert len(re.findall(r"[-+] Exchange hashpartitioning\(_block.*REPARTITION_BY_COL", text)) == 1, name
+        assert len(re.findall(r"ReusedExchange .*hashpartitioning\(_block", text)) >= 2, name
