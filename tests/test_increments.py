@@ -81,3 +81,26 @@ def test_marks_miss_no_key(spark):
     other = hit.withColumn("a", F.col("a").cast("int"))  # another type, another hash
     assert file_table.may_meet(rows, other, on).filter("NOT _may").count() == 0
     assert file_table.may_meet(rows, hit.limit(0), on).filter("_may").count() == 0
+
+
+def test_amounts_add_up_from_their_parts(spark):
+    amounts = ["0.000000001", "-0.000000001", "1.250000007", "-1.250000007", "999999999.999999999", "-1000000000", "12345678901234567890.123456789",
+               "-12345678901234567890123456.987654321", "98765432109876543210987.000000001", "5"]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate([*amounts, *amounts[:4], None])], "g int, v string").select("g", F.col("v").cast(portfolio.AMOUNT).alias("market_value"))
+    parts = df.unionByName(df.limit(1).selectExpr("7 AS g", "CAST(NULL AS DECIMAL(38,9)) AS market_value")).withColumns(portfolio.amount_parts())
+    sums = parts.groupBy("g", F.rand(1) > 0.5).agg(*portfolio.amount_sums()).groupBy("g")
+    want = {r["g"]: r["s"] for r in parts.groupBy("g").agg(F.sum("market_value").alias("s")).collect()}
+    assert {r["g"]: r["s"] for r in sums.agg(portfolio.amount_total().alias("s")).collect()} == want and want[7] is None and len(want) == 4
+
+
+def test_a_day_takes_its_rates_by_their_place(spark, tables):
+    txns, prices, rates = tables
+    some = rates.filter("currency_code = 'ARS' AND day(rate_day) % 3 > 0 OR currency_code = 'USD' AND rate_day > DATE'2024-01-09'")
+    history = portfolio.portfolio_history(txns, prices, some, *SPAN)
+    text = history._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    spread = next(i for i, line in enumerate(text) if "Generate explode(sequence(greatest(" in line)
+    assert not [line for line in text[:spread] if "Join" in line]
+    bare = history.drop("unrealized_gain_loss", "unrealized_gain_loss_pct")
+    joined = portfolio.with_gain(bare.withColumn("_value", F.col("market_value").cast("double")), some).select(*history.columns)
+    assert listed(history) == listed(joined)
+    assert 0 < history.filter("unrealized_gain_loss IS NULL AND market_value IS NOT NULL").count() < history.count()
